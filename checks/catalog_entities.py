@@ -1 +1,742 @@
-QUERIES = {}
+"""Checked queries: de-duplication, contacts, registers, cache, reports, tables, streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from vacancia.functions.similarity import ratio_at_least
+from vacancia.operators import cache, contacts, dedup, export, quality, registry, upsert, waterfall, websites
+from vacancia.plans import runs
+from vacancia.schema import CONTACTS, POSTINGS, conform, union_sources
+from vacancia.session import work_dir
+from vacancia.sources import registers
+from vacancia.streaming import capture
+
+from . import duck
+from .catalog_extract import _seed_cte
+from .fixtures import Inputs, with_views
+
+QUERIES: dict = {}
+AS_OF = "2024-06-01 00:00:00"
+
+
+def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
+    """Register a query; ``sql`` continues the WITH clause of the named views."""
+    def add(fn):
+        QUERIES[name] = (fn, None if sql is None else (with_views(*views) + " " if views else "") + sql)
+        return fn
+    return add
+
+
+def joined(name: str):
+    return F.array_join(name, "|").alias(name if isinstance(name, str) else "x")
+
+
+# ------------------------------------------------------------------ de-duplication
+
+_TEXT = (
+    "job_id source title company company_url location location_city location_postcode salary_text salary_period "
+    "job_type description posted_at expires_at apply_url scraped_at"
+).split()
+_FILL = dedup.FILL_WHEN_NULL
+_SCORE = " + ".join(
+    [f"CAST(coalesce({c}, '') <> '' AS INTEGER)" for c in _TEXT]
+    + [f"CAST({c} IS NOT NULL AS INTEGER)" for c in ("salary_min", "salary_max")]
+    + [f"CAST(len({c}) > 0 AS INTEGER)" for c in ("requirements", "benefits")] + ["3"]
+)
+
+
+def _is_filled(c: str) -> str:
+    if c in ("salary_min", "salary_max"):
+        return f"{c} IS NOT NULL"
+    if c in ("requirements", "benefits"):
+        return f"len({c}) > 0"
+    return f"coalesce({c}, '') <> ''"
+
+
+def _l2_cte() -> str:
+    cols = []
+    for c in ["job_id", "source", "title", "company", "location", "scraped_at"]:
+        cols.append(f"max({c}) FILTER (r = 1) AS {c}")
+    for c in ["title", "company", "location"]:
+        cols.append(f"max(source) FILTER (r = 1 AND {_is_filled(c)}) AS o_{c}")
+    for c in _FILL:
+        cols.append(f"coalesce(max({c}) FILTER (r = 1), arg_min({c}, r)) AS {c}")
+        cols.append(
+            f"CASE WHEN bool_or({c} IS NOT NULL) FILTER (r = 1) THEN max(source) FILTER (r = 1 AND {_is_filled(c)}) "
+            f"ELSE arg_min(source, r) FILTER ({c} IS NOT NULL) END AS o_{c}"
+        )
+    for c in ("requirements", "benefits"):
+        cols.append(f"coalesce(arg_min({c}, r) FILTER (len({c}) > 0), []) AS {c}")
+        cols.append(f"arg_min(source, r) FILTER (len({c}) > 0) AS o_{c}")
+    return (
+        f", l1 AS (SELECT * FROM f_dup QUALIFY row_number() OVER (PARTITION BY source, job_id ORDER BY ord) = 1), "
+        f"l1h AS (SELECT *, {duck.content_hash()} AS hash, {_SCORE} AS score FROM l1), "
+        "l1r AS (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY score DESC, ord) AS r FROM l1h), "
+        f"u AS (SELECT hash, min(ord) AS ord, arg_min(source, ord) AS first_source, list_sort(list(DISTINCT source)) AS all_sources, {', '.join(cols)} "
+        "FROM l1r GROUP BY hash), "
+        "us AS (SELECT *, list_concat([first_source], list_filter(all_sources, lambda s: s <> first_source)) AS sources FROM u)"
+    )
+
+
+L2 = _l2_cte()
+DUP = ("f_dup",)
+
+
+def _dup(i: Inputs) -> DataFrame:
+    return conform(i.view("f_dup"), POSTINGS)
+
+
+def _l2(i: Inputs) -> DataFrame:
+    return dedup.deduplicate(_dup(i), levels=2)
+
+
+@query("dedup_l1", "SELECT ord, source, job_id, title FROM f_dup QUALIFY row_number() OVER (PARTITION BY source, job_id ORDER BY ord) = 1", DUP)
+def dedup_l1(i):
+    return dedup.level1(_dup(i)).select("ord", "source", "job_id", "title")
+
+
+@query(
+    "dedup_l2",
+    L2 + f""" SELECT ord, hash, source, job_id, title, company, location, {', '.join(_FILL)}, array_to_string(requirements, '|') AS requirements,
+    array_to_string(benefits, '|') AS benefits, array_to_string(sources, '|') AS sources, {', '.join('o_' + c for c in _FILL)}, o_benefits FROM us""", DUP)
+def dedup_l2(i):
+    fs = F.col("field_sources")
+    return _l2(i).select(
+        "ord", "hash", "source", "job_id", "title", "company", "location", *_FILL, joined("requirements"), joined("benefits"),
+        joined("sources"), *[F.get(fs[c], F.lit(0)).alias(f"o_{c}") for c in [*_FILL, "benefits"]],
+    )
+
+
+@query("dedup_fuzzy")
+def dedup_fuzzy(i):
+    return dedup.deduplicate(_dup(i)).select("ord", "title", "company", joined("sources"))
+
+
+@query("dedup_fuzzy_by_place")
+def dedup_fuzzy_by_place(i):
+    out = dedup.deduplicate(_dup(i), match_location=True, blank_company="skip")
+    return out.select("ord", "title", "company", "location", joined("sources"))
+
+
+@query(
+    "dedup_stats",
+    L2 + " SELECT (SELECT count(*) FROM f_dup) AS raw_total, (SELECT count(*) FROM us) AS unique_total, (SELECT count(*) FROM f_dup) - (SELECT count(*) FROM us) AS removed", DUP)
+def dedup_stats(i):
+    return dedup.dedup_stats(_dup(i), _l2(i))
+
+
+@query("completeness_score", ", l1 AS (SELECT * FROM f_dup) SELECT ord, CAST(" + _SCORE + " - 1 AS INTEGER) AS score FROM l1", DUP)
+def completeness_score(i):
+    return _dup(i).select("ord", dedup.completeness().alias("score"))
+
+
+@query("initial_origins", " UNION ALL ".join(
+    ([", p AS (SELECT * FROM f_dup) SELECT ord, 'title' AS field, source AS origin FROM p WHERE coalesce(title, '') <> ''"])
+    + [f"SELECT ord, '{c}', source FROM p WHERE {_is_filled(c)}" for c in
+       ["company", "location", "salary_min", "salary_text", "description", "requirements", "benefits", "posted_at", "company_url", "location_city",
+        "salary_max", "salary_period", "job_type", "expires_at", "apply_url", "location_postcode"]]), DUP)
+def initial_origins(i):
+    marked = _dup(i).withColumn("m", dedup.origin_map())
+    return marked.select("ord", F.explode("m").alias("field", "o")).select("ord", "field", F.get("o", F.lit(0)).alias("origin"))
+
+
+# ------------------------------------------------------------------ runs, export, reports
+
+SEED = ", " + _seed_cte("us", name="seed")
+RUN = L2 + SEED
+
+
+def _run(i: Inputs, levels: int = 2) -> runs.RunResult:
+    return runs.run(_dup(i), runs.RunOptions(levels=levels))
+
+
+@query("full_run")
+def full_run(i):
+    o = _run(i, 3).objects()
+    return o.select(
+        "ord", "job_id", "title", "company", "location_city", "location_postcode", "salary_min", "salary_max", joined("sources"),
+        F.array_join("contact.phone_numbers", "|").alias("phones"), F.array_join("contact.emails", "|").alias("emails"),
+        F.col("contact.confidence_score").alias("confidence_score"),
+    )
+
+
+_CONF = "(CASE WHEN len(s.phones) > 0 THEN 30 ELSE 0 END + CASE WHEN len(s.emails) > 0 THEN 30 ELSE 0 END + 10)"
+_SORTED = """list_concat(list_filter(s.emails, lambda e: regexp_matches(e, '(?i)^(hr|recruitment|jobs|careers|talent|people)@')),
+             list_filter(s.emails, lambda e: NOT regexp_matches(e, '(?i)^(hr|recruitment|jobs|careers|talent|people)@')))"""
+
+
+@query(
+    "export_nested",
+    RUN + f""" SELECT ord, job_id, title, us.company, array_to_string(sources, '|') AS sources, s.company IS NOT NULL AS has_contact,
+    array_to_string(s.phones, '|') AS phones, array_to_string({_SORTED}, '|') AS emails, CAST({_CONF} AS INTEGER) * CASE WHEN s.company IS NULL THEN NULL ELSE 1 END AS confidence_score
+    FROM us LEFT JOIN seed s ON s.company = us.company""", DUP)
+def export_nested(i):
+    o = _run(i).objects()
+    return o.select(
+        "ord", "job_id", "title", "company", joined("sources"), F.col("contact").isNotNull().alias("has_contact"),
+        F.array_join("contact.phone_numbers", "|").alias("phones"), F.array_join("contact.emails", "|").alias("emails"),
+        F.col("contact.confidence_score").alias("confidence_score"),
+    )
+
+
+@query(
+    "export_totals",
+    RUN + """ SELECT count(*) AS total_jobs, count(s.company) AS total_with_contact, count(*) FILTER (len(s.phones) > 0) AS total_with_phone,
+    count(*) FILTER (len(s.emails) > 0) AS total_with_email FROM us LEFT JOIN seed s ON s.company = us.company""", DUP)
+def export_totals(i):
+    r = _run(i)
+    return quality.export_totals(quality.with_contact_flags(r.postings, r.contacts))
+
+
+@query(
+    "kpi_summary",
+    RUN + """, j AS (SELECT us.source, coalesce(len(s.phones) > 0, false) AS p, coalesce(len(s.emails) > 0, false) AS e FROM us LEFT JOIN seed s ON s.company = us.company)
+    SELECT 'total_jobs' AS metric, count(*) AS value FROM j UNION ALL SELECT 'with_phone', count(*) FILTER (p) FROM j
+    UNION ALL SELECT 'with_email', count(*) FILTER (e) FROM j UNION ALL SELECT 'with_any_contact', count(*) FILTER (p OR e) FROM j
+    UNION ALL SELECT 'source:' || source, count(*) FROM j GROUP BY source""", DUP)
+def kpi_summary(i):
+    r = _run(i)
+    return quality.kpi_summary(quality.with_contact_flags(r.postings, r.contacts))
+
+
+_COVER = {
+    "company": "coalesce(us.company, '') <> ''", "location": "coalesce(location, '') <> ''",
+    "salary": "salary_min IS NOT NULL OR coalesce(salary_text, '') <> ''", "description": "coalesce(description, '') <> ''",
+    "posted_at": "coalesce(posted_at, '') <> ''", "requirements": "len(requirements) > 0", "benefits": "len(benefits) > 0",
+    "phone": "coalesce(len(s.phones) > 0, false)", "email": "coalesce(len(s.emails) > 0, false)",
+}
+_SAL = duck.salary()
+
+
+@query(
+    "field_coverage",
+    RUN + f""", cl AS (SELECT us.* REPLACE (CASE WHEN coalesce(salary_text, '') <> '' AND coalesce(salary_min, 0) = 0 THEN coalesce({_SAL['min']}, salary_min) ELSE salary_min END AS salary_min) FROM us),
+    j AS (SELECT {', '.join(f'{v} AS {k}_ok' for k, v in _COVER.items()).replace('us.', 'cl.')} FROM cl LEFT JOIN seed s ON s.company = cl.company)
+    """ + " UNION ALL ".join(
+        f"SELECT '{k}' AS field, count(*) FILTER ({k}_ok) AS n, count(*) AS total, CAST(round_even(count(*) FILTER ({k}_ok) / CAST(count(*) AS DOUBLE), 3) AS DOUBLE) AS coverage FROM j" for k in _COVER), DUP)
+def field_coverage(i):
+    r = _run(i)
+    return quality.field_coverage(quality.with_contact_flags(r.postings, r.contacts))
+
+
+@query("per_source_raw", "SELECT source, count(*) AS n FROM f_dup GROUP BY source", DUP)
+def per_source_raw(i):
+    return quality.per_source_raw(_dup(i))
+
+
+@query("per_source_unique", L2 + " SELECT source, count(*) AS n FROM (SELECT unnest(sources) AS source FROM us) q GROUP BY source", DUP)
+def per_source_unique(i):
+    return quality.per_source_unique(_l2(i))
+
+
+@query(
+    "source_counts",
+    L2 + """ SELECT coalesce(r.source, q.source) AS source, coalesce(r.n, 0) AS raw, coalesce(q.n, 0) AS unique_n FROM
+    (SELECT source, count(*) AS n FROM f_dup WHERE source <> 'mirror' GROUP BY source) r
+    FULL JOIN (SELECT source, count(*) AS n FROM (SELECT unnest(sources) AS source FROM us) x GROUP BY source) q ON r.source = q.source""", DUP)
+def source_counts(i):
+    return quality.source_counts(_dup(i).where("source <> 'mirror'"), _l2(i))
+
+
+_TRACKED = ["title", "company", "location", *_FILL, "requirements", "benefits"]
+
+
+@query("attribution_jobs", L2 + " SELECT field, origin, count(*) AS n FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS field, o_{c} AS origin FROM us" for c in _TRACKED) + ") q WHERE origin IS NOT NULL GROUP BY field, origin", DUP)
+def attribution_jobs(i):
+    return quality.attribution_jobs(_l2(i))
+
+
+@query("attribution_lines", L2 + " SELECT field, string_agg(origin || ': ' || n, ', ' ORDER BY n DESC, origin) AS line FROM (SELECT field, origin, count(*) AS n FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS field, o_{c} AS origin FROM us" for c in _TRACKED) + ") q WHERE origin IS NOT NULL GROUP BY field, origin) g GROUP BY field", DUP)
+def attribution_lines(i):
+    return quality.attribution_lines(quality.attribution_jobs(_l2(i)))
+
+
+@query("provenance_filter", L2 + " SELECT ord FROM us WHERE o_benefits = 'mirror' AND list_contains(sources, 'reed')", DUP)
+def provenance_filter(i):
+    hit = quality.has_origin("benefits", "mirror") & F.array_contains("sources", "reed")
+    return _l2(i).where(hit).select("ord")
+
+
+@query(
+    "csv_jobs",
+    L2 + """ SELECT job_id, array_to_string(sources, '|') AS sources, title, company, location, location_city, location_postcode, salary_text, salary_min,
+    salary_max, salary_period, job_type, posted_at, expires_at, apply_url, hash FROM us""", DUP)
+def csv_jobs(i):
+    return export.jobs_csv(_l2(i))
+
+
+@query(
+    "csv_contacts",
+    RUN + f""" SELECT company, array_to_string(phones, '|') AS phone_numbers, array_to_string({_SORTED}, '|') AS emails, CAST(NULL AS VARCHAR) AS contact_person,
+    CAST(NULL AS VARCHAR) AS address, CAST(NULL AS VARCHAR) AS company_website, CAST(NULL AS VARCHAR) AS company_number, CAST(NULL AS VARCHAR) AS company_type,
+    CAST({_CONF} AS INTEGER) AS confidence_score, false AS ai_used, 'job_description' AS enrichment_sources FROM seed s""", DUP)
+def csv_contacts(i):
+    return export.contacts_csv(_run(i).contacts)
+
+
+@query(
+    "csv_round_trip",
+    L2 + " SELECT hash, array_to_string(sources, '|') AS sources, company FROM us", DUP)
+def csv_round_trip(i):
+    path = work_dir(i.spark, "csv")
+    r = _run(i)
+    status = export.export_all(r.postings, r.contacts, path, ["csv", "parquet", "no such format"])
+    if status["csv"] != "ok" or not status["no such format"].startswith("failed"):
+        raise RuntimeError(str(status))
+    return i.spark.read.csv(f"{path}/jobs_csv", header=True, multiLine=True, escape='"').select("hash", "sources", "company")
+
+
+# ------------------------------------------------------------------ contacts
+
+PARTS = ("f_parts",)
+
+
+def _parts(i: Inputs) -> DataFrame:
+    return conform(i.view("f_parts"), waterfall_schema())
+
+
+def waterfall_schema():
+    from vacancia.schema import CONTACT_PARTS
+    return CONTACT_PARTS
+
+
+def _merge_cte(parts: str) -> str:
+    def first(c: str, cond: str) -> str:
+        return f"arg_min({c}, priority) FILTER ({cond})"
+
+    rank_p = "CASE label WHEN 'job_description' THEN 0 WHEN 'website' THEN 1 WHEN 'companies_house' THEN 2 WHEN 'charities' THEN 3 WHEN 'cqc' THEN 4 ELSE 5 END"
+    rank_a = "CASE label WHEN 'companies_house' THEN 0 WHEN 'cqc' THEN 1 WHEN 'charities' THEN 2 WHEN 'website' THEN 3 WHEN 'job_description' THEN 4 ELSE 5 END"
+    known = "label <> 'other'"
+    return f""", x AS (SELECT * FROM {parts}),
+    xp AS (SELECT company, v, min(k) AS k, arg_min(label, k) AS label FROM (SELECT company, label, unnest(phone_numbers) AS v, priority * 100 + generate_subscripts(phone_numbers, 1) AS k FROM x) a GROUP BY company, v),
+    xe AS (SELECT company, arg_min(v, k) AS v, min(k) AS k, arg_min(label, k) AS label FROM (SELECT company, label, unnest(emails) AS v, priority * 100 + generate_subscripts(emails, 1) AS k FROM x) a GROUP BY company, lower(v)),
+    xps AS (SELECT company, list(v ORDER BY k) AS phones FROM xp GROUP BY company), xes AS (SELECT company, list(v ORDER BY k) AS emails FROM xe GROUP BY company),
+    xpl AS (SELECT company, string_agg(label, '|' ORDER BY k) AS phone_src FROM (SELECT company, label, min(k) AS k FROM xp GROUP BY company, label) g GROUP BY company),
+    xs AS (SELECT company, {first('contact_person', "contact_person <> '' AND " + known).replace('priority', rank_p)} AS contact_person,
+      {first('address', "address <> '' AND " + known).replace('priority', rank_a)} AS address,
+      coalesce({first('company_website', "company_website LIKE 'https%'")}, {first('company_website', "company_website <> ''")}) AS company_website,
+      {first('company_number', "company_number <> ''")} AS company_number, {first('company_type', "company_type <> ''")} AS company_type,
+      string_agg(label, '|' ORDER BY priority) AS enrichment_sources, count(*) AS n_parts, bool_or(ai_used) AS ai_used, max(enriched_at) AS enriched_at,
+      {first('label', "company_number <> ''")} AS number_src FROM x GROUP BY company),
+    merged AS (SELECT xs.*, coalesce(phones, []) AS phones, coalesce(emails, []) AS emails, phone_src FROM xs LEFT JOIN xps ON xps.company = xs.company
+      LEFT JOIN xes ON xes.company = xs.company LEFT JOIN xpl ON xpl.company = xs.company),
+    scored AS (SELECT *, CAST(greatest(0, least(100, CASE WHEN len(phones) > 0 THEN 30 ELSE 0 END + CASE WHEN len(emails) > 0 THEN 30 ELSE 0 END
+      + CASE WHEN company_number IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN contact_person IS NOT NULL THEN 10 ELSE 0 END + CASE WHEN company_website IS NOT NULL THEN 10 ELSE 0 END
+      - CASE WHEN ai_used AND n_parts = 1 THEN 20 ELSE 0 END + CASE WHEN '|' || enrichment_sources || '|' LIKE '%|job_description|%' THEN 10 ELSE 0 END)) AS INTEGER) AS confidence_score FROM merged)"""
+
+
+_CONTACT_COLS = f"""company, array_to_string(phones, '|') AS phone_numbers, array_to_string({_SORTED.replace('s.emails', 'emails')}, '|') AS emails, contact_person, address,
+    company_website, company_number, company_type, enrichment_sources, ai_used, enriched_at, confidence_score, phone_src, number_src"""
+
+
+def _contact_row(df: DataFrame) -> DataFrame:
+    fs = F.col("field_sources")
+    return df.select(
+        "company", joined("phone_numbers"), joined("emails"), "contact_person", "address", "company_website", "company_number",
+        "company_type", joined("enrichment_sources"), "ai_used", "enriched_at", "confidence_score",
+        F.array_join(fs["phone_numbers"], "|").alias("phone_src"), F.get(fs["company_number"], F.lit(0)).alias("number_src"),
+    )
+
+
+@query("merge_contacts", _merge_cte("f_parts") + f" SELECT {_CONTACT_COLS} FROM scored", PARTS)
+def merge_contacts(i):
+    return _contact_row(contacts.merge_contacts(_parts(i)))
+
+
+_GATED = """, g AS (SELECT *, max(len(phone_numbers)) OVER w AS seen_p, max(len(emails)) OVER w AS seen_e FROM f_parts
+    WINDOW w AS (PARTITION BY company ORDER BY priority ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    gated AS (SELECT * FROM g WHERE NOT (coalesce(seen_p, 0) > 0 AND coalesce(seen_e, 0) > 0))"""
+
+
+@query("waterfall_gate", _GATED + " SELECT company, priority FROM gated", PARTS)
+def waterfall_gate(i):
+    return waterfall.gate_parts(_parts(i)).select("company", "priority")
+
+
+_ALL_COMPANIES = " UNION ALL SELECT company, '', '', NULL, NULL, NULL, NULL, NULL, '', false, NULL, 0, NULL, NULL FROM f_companies WHERE company NOT IN (SELECT company FROM scored)"
+# A seed without phone and e-mail is no part.
+_GATED_SEED = _GATED.replace("FROM f_parts", "FROM f_parts WHERE NOT (priority = 0 AND len(phone_numbers) = 0 AND len(emails) = 0)")
+
+
+@query("waterfall_run", _GATED_SEED + _merge_cte("gated") + f" SELECT {_CONTACT_COLS} FROM scored" + _ALL_COMPANIES, ("f_parts", "f_companies"))
+def waterfall_run(i):
+    parts = _parts(i)
+
+    def lookup(priority: int):
+        return priority, lambda pending: parts.where(F.col("priority") == priority).join(pending.select("company"), "company", "left_semi")
+
+    companies = i.view("f_companies").select("company")
+    seeds = parts.where("priority = 0")
+    found = waterfall.run_waterfall(companies, seeds, [lookup(p) for p in range(1, 7)])
+    return _contact_row(waterfall.contacts_for(companies, found))
+
+
+@query("enriched_count", _merge_cte("f_parts") + " SELECT count(*) AS companies, count(*) FILTER (len(phones) > 0 OR len(emails) > 0 OR address IS NOT NULL) AS enriched FROM scored", PARTS)
+def enriched_count(i):
+    return waterfall.enriched_count(contacts.merge_contacts(_parts(i)))
+
+
+@query("attribution_contacts", _merge_cte("f_parts") + """ SELECT field, origin, count(*) AS n FROM (SELECT 'phone_numbers' AS field, unnest(string_split(phone_src, '|')) AS origin FROM scored
+    UNION ALL SELECT 'company_number', number_src FROM scored) q WHERE origin IS NOT NULL GROUP BY field, origin""", PARTS)
+def attribution_contacts(i):
+    a = quality.attribution_contacts(contacts.merge_contacts(_parts(i)))
+    return a.where(F.col("field").isin("phone_numbers", "company_number"))
+
+
+@query("confidence_band", _merge_cte("f_parts") + """ SELECT CASE WHEN confidence_score >= 70 THEN 'green' WHEN confidence_score >= 40 THEN 'amber' ELSE 'red' END AS band, count(*) AS n FROM scored GROUP BY band""", PARTS)
+def confidence_band(i):
+    m = contacts.merge_contacts(_parts(i)).withColumn("band", contacts.confidence_band(F.col("confidence_score")))
+    return quality.counts_by(m, "band")
+
+
+@query(
+    "confidence",
+    """SELECT company, priority, CAST(greatest(0, CASE WHEN len(phone_numbers) > 0 THEN 30 ELSE 0 END + CASE WHEN len(emails) > 0 THEN 30 ELSE 0 END
+    + CASE WHEN coalesce(company_number, '') <> '' THEN 20 ELSE 0 END + CASE WHEN coalesce(contact_person, '') <> '' THEN 10 ELSE 0 END + CASE WHEN coalesce(company_website, '') <> '' THEN 10 ELSE 0 END
+    - CASE WHEN ai_used THEN 20 ELSE 0 END + CASE WHEN label = 'job_description' THEN 10 ELSE 0 END) AS INTEGER) AS score FROM f_parts""", PARTS)
+def confidence(i):
+    return _parts(i).select("company", "priority", contacts.score_of().alias("score"))
+
+
+@query("enough_data", "SELECT company, priority FROM f_parts WHERE len(phone_numbers) > 0 AND len(emails) > 0", PARTS)
+def enough_data(i):
+    return _parts(i).where(contacts.enough()).select("company", "priority")
+
+
+# ------------------------------------------------------------------ cache
+
+CACHE = ("f_cache", "f_seeds")
+_FRESH = f"""(len(phone_numbers) > 0 OR len(emails) > 0 OR coalesce(address, '') <> '') AND coalesce(CASE WHEN enriched_at LIKE '____-%' THEN
+    CAST(CASE WHEN enriched_at LIKE '%00:00' AND enriched_at LIKE '%+%' OR enriched_at LIKE '%Z' THEN enriched_at ELSE enriched_at || 'Z' END AS TIMESTAMPTZ) END
+    >= TIMESTAMPTZ '{AS_OF}+00' - INTERVAL 30 DAY, false)"""
+
+
+def _cached(i: Inputs) -> DataFrame:
+    return conform(i.view("f_cache"), CONTACTS)
+
+
+@query("cache_split", f"SELECT company, {_FRESH} AS fresh FROM f_cache", ("f_cache",))
+def cache_split(i):
+    fresh, stale = cache.split_cache(_cached(i), 30, F.to_timestamp(F.lit(AS_OF)))
+    return fresh.select("company", F.lit(True).alias("fresh")).unionByName(stale.select("company", F.lit(False).alias("fresh")))
+
+
+def _lacks(new: str, old: str) -> str:
+    return f"len(list_filter({new}, lambda n: NOT list_contains(list_transform({old}, lambda o: lower(o)), lower(n)))) > 0"
+
+
+@query(
+    "cache_diff",
+    f"""SELECT c.company, 'phone_numbers' AS field, array_to_string(c.phone_numbers, '|') AS old_vals, array_to_string(s.phone_numbers, '|') AS new_vals
+    FROM f_cache c JOIN f_seeds s ON s.company = c.company WHERE {_lacks('s.phone_numbers', 'c.phone_numbers')}
+    UNION ALL SELECT c.company, 'emails', array_to_string(c.emails, '|'), array_to_string(s.emails, '|')
+    FROM f_cache c JOIN f_seeds s ON s.company = c.company WHERE {_lacks('s.emails', 'c.emails')}""", CACHE)
+def cache_diff(i):
+    d = cache.cache_changes(_cached(i), i.view("f_seeds"))
+    return d.select("company", F.explode("changes").alias("field", "c")).select(
+        "company", "field", F.array_join("c.old", "|").alias("old_vals"), F.array_join("c.new", "|").alias("new_vals"))
+
+
+@query(
+    "cache_merge",
+    f""", f AS (SELECT * FROM f_cache WHERE {_FRESH}) SELECT f.company,
+    CASE WHEN len(s.phone_numbers) > 0 AND len(f.phone_numbers) > 0 THEN array_to_string(s.phone_numbers, '|') ELSE array_to_string(list_concat(f.phone_numbers, s.phone_numbers), '|') END AS phone_numbers,
+    array_to_string(CASE WHEN len(f.emails) > 0 AND list_contains(s.emails, 'hr@old.org') THEN f.emails ELSE list_concat(f.emails, s.emails) END, '|') AS emails,
+    CASE WHEN len(s.phone_numbers) > 0 OR len(s.emails) > 0 THEN 'website|job_description|cache' ELSE 'website|cache' END AS enrichment_sources,
+    CAST(CAST({_lacks('s.phone_numbers', 'f.phone_numbers')} AS INTEGER) + CAST({_lacks('s.emails', 'f.emails')} AS INTEGER) AS INTEGER) AS n_changes
+    FROM f JOIN f_seeds s ON s.company = f.company""", CACHE)
+def cache_merge(i):
+    fresh, _ = cache.split_cache(_cached(i), 30, F.to_timestamp(F.lit(AS_OF)))
+    seeds = i.view("f_seeds").withColumn("enrichment_sources", F.array(F.lit("job_description")))
+    out = cache.cached_contacts(fresh, seeds)
+    return out.select(
+        "company", joined("phone_numbers"), joined("emails"), joined("enrichment_sources"), F.size("changes").alias("n_changes"))
+
+
+@query("cached_scan", "SELECT company, array_to_string(phone_numbers, '|') AS phone_numbers, CAST(NULL AS VARCHAR) AS company_type, 0 AS confidence_score FROM f_cache", ("f_cache",))
+def cached_scan(i):
+    old = i.view("f_cache").select(
+        "company", F.to_json("phone_numbers").alias("phone_numbers"), F.to_json("emails").alias("emails"),
+        F.lit("http://x").alias("website"), F.lit(0).alias("ai_used"), F.to_json("enrichment_sources").alias("enrichment_sources"))
+    out = registers.read_cached_contacts(i.spark, old)
+    return out.select("company", joined("phone_numbers"), "company_type", "confidence_score")
+
+
+# ------------------------------------------------------------------ registers, search
+
+_PLAIN = ("àâäáãåçèéêëìíîïñòóôöõùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+
+
+@query("registry_fuzzy_join")
+def registry_fuzzy_join(i):
+    return registry.best_matches(i.view("f_companies"), i.view("f_register"), registry.COMPANY_REGISTER_MIN)
+
+
+@query(
+    "registry_lev_join",
+    f""", c AS (SELECT company, lower(translate(company, '{_PLAIN[0]}', '{_PLAIN[1]}')) AS a FROM f_companies),
+    n AS (SELECT lower(translate(name, '{_PLAIN[0]}', '{_PLAIN[1]}')) AS b, min(cand_ord) AS cand_ord FROM f_register GROUP BY b),
+    cw AS (SELECT DISTINCT a, unnest(string_split({duck.norm('a')}, ' ')) AS w FROM c), nw AS (SELECT DISTINCT b, cand_ord, unnest(string_split({duck.norm('b')}, ' ')) AS w FROM n),
+    p AS (SELECT DISTINCT a, b, cand_ord, CAST(1 - levenshtein(a, b) / CAST(greatest(length(a), length(b)) AS DOUBLE) AS DOUBLE) AS score FROM cw JOIN nw ON cw.w = nw.w WHERE cw.w <> ''),
+    best AS (SELECT * FROM p WHERE score >= 0.75 QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, cand_ord) = 1)
+    SELECT c.company, best.cand_ord, round(best.score, 6) AS score FROM c JOIN best ON best.a = c.a""", ("f_companies", "f_register"))
+def registry_lev_join(i):
+    c = i.view("f_companies").select("company", F.translate("company", *_PLAIN).alias("plain"))
+    reg = i.view("f_register").select("cand_ord", F.translate("name", *_PLAIN).alias("name"))
+    hits = registry.best_matches(c.select(F.col("plain").alias("company")).distinct(), reg, 0.75, kind="edit")
+    return c.join(hits.withColumnRenamed("company", "plain"), "plain").select("company", "cand_ord", F.round("score", 6).alias("score"))
+
+
+@query("company_register_parts")
+def company_register_parts(i):
+    none = F.lit(None).cast("string")
+    addr = F.struct("premises", F.col("line1").alias("address_line_1"), none.alias("address_line_2"), F.col("town").alias("locality"),
+                    none.alias("region"), F.col("code").alias("postal_code"), none.alias("country"))
+    reg = i.view("f_register").withColumn("registered_office_address", addr).withColumnRenamed("name", "title")
+    out = registry.company_register_parts(i.view("f_companies"), reg, i.view("f_officers"))
+    return out.select("company", "company_number", "company_type", "address", "contact_person")
+
+
+@query("officer_pick", """SELECT company_number, arg_min(name, officer_ord) AS contact_person FROM f_officers WHERE coalesce(resigned_on, '') = ''
+    AND regexp_matches(lower(officer_role), 'secretary|director|manager') GROUP BY company_number""", ("f_officers",))
+def officer_pick(i):
+    return registry.first_active_officer(i.view("f_officers"))
+
+
+@query("status_filter", "SELECT cand_ord FROM f_register WHERE company_status IS NULL OR company_status <> 'dissolved'", ("f_register",))
+def status_filter(i):
+    return i.view("f_register").where(registry.not_dissolved(F.col("company_status"))).select("cand_ord")
+
+
+_MATCH = """SELECT name AS company, CASE WHEN cand_ord % 3 = 0 THEN '020 7946 ' || lpad(CAST(cand_ord % 10000 AS string), 4, '0') WHEN cand_ord % 3 = 1 THEN '' END AS phone,
+    CASE WHEN cand_ord % 4 = 0 THEN 'Office@c' || CAST(cand_ord AS string) || '.org' END AS email, CASE WHEN cand_ord % 5 = 0 THEN premises ELSE '' END AS a1, CASE WHEN cand_ord % 5 = 1 THEN code END AS pc, cand_ord FROM f_register"""
+
+
+@query(
+    "charity_parts",
+    f""", m AS ({_MATCH}) SELECT cand_ord, company, CASE WHEN phone <> '' THEN {duck.clean_phone('phone')} ELSE NULL END AS phone, lower(email) AS email,
+    nullif(concat_ws(', ', nullif(a1, ''), pc), '') AS address FROM m WHERE cand_ord % 3 = 0 OR cand_ord % 4 = 0 OR cand_ord % 5 < 2""", ("f_register",))
+def charity_parts(i):
+    none = F.lit(None).cast("string")
+    m = i.sql(_MATCH).select(
+        F.concat_ws("#", "cand_ord", "company").alias("company"), F.col("phone").alias("charity_contact_phone"), "email",
+        F.col("a1").alias("charity_contact_address1"), none.alias("charity_contact_address2"), none.alias("charity_contact_address3"),
+        F.col("pc").alias("charity_contact_postcode"), none.alias("charity_contact_web"))
+    out = registers.charity_parts(m)
+    return out.select(
+        F.split_part("company", F.lit("#"), F.lit(1)).cast("bigint").alias("cand_ord"), F.split_part("company", F.lit("#"), F.lit(2)).alias("company"),
+        F.get("phone_numbers", F.lit(0)).alias("phone"), F.get("emails", F.lit(0)).alias("email"), "address")
+
+
+@query(
+    "care_parts",
+    f""", m AS ({_MATCH}), d AS (SELECT *, CASE WHEN phone <> '' THEN {duck.clean_phone('phone')} END AS p0, nullif(concat_ws(', ', nullif(a1, ''), pc), '') AS addr,
+      CASE WHEN cand_ord % 2 = 0 THEN '+44 1632 900123' END AS p1, cand_ord % 2 = 0 AS has_detail FROM m),
+    o AS (SELECT cand_ord, company, coalesce(p0, CASE WHEN p0 IS NULL OR addr IS NULL THEN p1 END) AS phone, addr AS address,
+      CASE WHEN has_detail AND (p0 IS NULL OR addr IS NULL) THEN 'Ms Ann No' || CAST(cand_ord AS VARCHAR) END AS person FROM d)
+    SELECT * FROM o WHERE phone IS NOT NULL OR address IS NOT NULL""", ("f_register",))
+def care_parts(i):
+    base = i.sql(_MATCH)
+    none = F.lit(None).cast("string")
+    key = F.col("cand_ord").cast("string")
+    m = base.select(
+        F.concat_ws("#", "cand_ord", "company").alias("company"), key.alias("providerId"), "phone", F.col("a1").alias("postalAddressLine1"),
+        none.alias("postalAddressLine2"), none.alias("postalAddressTownCity"), F.col("pc").alias("postalCode"), none.alias("website"), none.alias("type"))
+    contact = F.struct(F.lit("Ms").alias("personTitle"), F.lit("Ann").alias("personGivenName"), F.concat(F.lit("No"), key).alias("personFamilyName"))
+    details = base.where("cand_ord % 2 = 0").select(key.alias("providerId"), F.lit("01632 900123").alias("phone"), F.array(contact).alias("contacts"))
+    out = registers.care_parts(m, details)
+    return out.select(
+        F.split_part("company", F.lit("#"), F.lit(1)).cast("bigint").alias("cand_ord"), F.split_part("company", F.lit("#"), F.lit(2)).alias("company"),
+        F.get("phone_numbers", F.lit(0)).alias("phone"), "address", F.col("contact_person").alias("person"))
+
+
+_HOST = "regexp_extract(url, '//([^/]+)', 1)"
+
+
+@query(
+    "search_contacts",
+    f"""WITH r AS (SELECT {_HOST} AS company, page_id AS rank, url || '~' || CAST(page_id AS VARCHAR) AS link,
+      CASE WHEN page_id % 2 = 0 THEN '+44 20 7946 ' || lpad(CAST(page_id % 1000 AS VARCHAR), 4, '0') END AS snip,
+      CASE WHEN page_id % 3 = 0 THEN 'office@p' || CAST(page_id % 20 AS VARCHAR) || '.org' END AS mail, contains(url, 'example.net') AS own FROM pages),
+    l AS (SELECT *, row_number() OVER (PARTITION BY company ORDER BY rank) AS k FROM r WHERE NOT own),
+    p AS (SELECT company, string_agg(snip, '|' ORDER BY rank) AS phones FROM (SELECT company, snip, min(rank) AS rank FROM r WHERE snip IS NOT NULL GROUP BY company, snip) a GROUP BY company),
+    e AS (SELECT company, string_agg(mail, '|' ORDER BY k) AS emails FROM (SELECT company, mail, min(k) AS k FROM l WHERE k <= 2 AND mail IS NOT NULL GROUP BY company, mail) a GROUP BY company),
+    w AS (SELECT company, arg_min(link, k) AS site FROM l WHERE k <= 2 AND mail IS NOT NULL GROUP BY company)
+    SELECT coalesce(p.company, e.company) AS company, coalesce(phones, '') AS phones, coalesce(emails, '') AS emails, site FROM p FULL JOIN e ON p.company = e.company
+    LEFT JOIN w ON w.company = coalesce(p.company, e.company)""")
+def search_contacts(i):
+    key = F.col("page_id").cast("string")
+    r = i.table("pages").select(
+        F.regexp_extract("url", "//([^/]+)", 1).alias("company"), F.col("page_id").alias("rank"), F.concat_ws("~", "url", key).alias("link"),
+        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("Tel 020 7946 "), F.lpad((F.col("page_id") % 1000).cast("string"), 4, "0"))).alias("snippet"),
+        F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("<p>mail office@p"), (F.col("page_id") % 20).cast("string"), F.lit(".org</p>"))).otherwise("").alias("html"))
+    facts = websites.page_facts(r.select(F.col("link").alias("url"), "html"))
+    out = websites.search_contacts(registers.search_hits(r, "example.net"), r, facts)
+    return out.select("company", F.array_join("phone_numbers", "|").alias("phones"), F.array_join("emails", "|").alias("emails"), F.col("company_website").alias("site"))
+
+
+@query("model_parts", """SELECT ord, CASE WHEN ord % 3 = 0 THEN '+44 20 7946 0958' WHEN ord % 3 = 1 THEN 'ask desk' END AS phone, 'gemini' AS origin FROM f_postings WHERE ord % 3 < 2""", ("f_postings",))
+def model_parts(i):
+    m = F.col("ord") % 3
+    body = F.to_json(F.struct(F.when(m == 0, "020 7946 0958").otherwise("ask desk").alias("phone"), F.lit("null").alias("email"),
+                              F.when(m == 1, "high").alias("confidence")))
+    replies = i.view("f_postings").select(F.col("ord").cast("string").alias("company"), F.lit("gemini").alias("provider"),
+                                          F.concat(F.lit("```json\n"), body, F.lit("```")).alias("raw_response"))
+    out = registers.model_parts(replies)
+    return out.select(F.col("company").cast("bigint").alias("ord"), F.get("phone_numbers", F.lit(0)).alias("phone"), F.get("enrichment_sources", F.lit(0)).alias("origin"))
+
+
+# ------------------------------------------------------------------ tables
+
+@query(
+    "upsert_jobs",
+    """SELECT source, job_id, arg_max(title, ord) AS title, max(ord) AS ord FROM f_dup GROUP BY source, job_id""", DUP)
+def upsert_jobs(i):
+    d = i.view("f_dup").select("source", "job_id", "title", "ord")
+    table = upsert.KeyedTable(i.spark, work_dir(i.spark, "jobs"), ["source", "job_id"])
+    table.write_batch(d.where("ord % 4 = 0"), 0)
+    table.write_batch(d.where("ord % 4 = 1"), 1)
+    later = d.where("ord % 4 > 1")
+    table.write_batch(later, 2)
+    table.write_batch(later, 2)
+    # Ids are unique per batch but for the blank one, whose last row is decided by its ordinal.
+    table.by_order = True
+    return table.current()
+
+
+@query("upsert_contacts", """SELECT c.company, CASE WHEN s.company IS NULL THEN array_to_string(c.phone_numbers, '|') ELSE array_to_string(s.phone_numbers, '|') END AS phone_numbers
+    FROM f_cache c LEFT JOIN (SELECT * FROM f_seeds WHERE len(phone_numbers) > 0) s ON s.company = c.company""", CACHE)
+def upsert_contacts(i):
+    new = i.view("f_seeds").where("size(phone_numbers) > 0").select("company", "phone_numbers")
+    out = upsert.upsert(i.view("f_cache").select("company", "phone_numbers"), new, ["company"])
+    return out.select("company", joined("phone_numbers"))
+
+
+@query("schema_evolve", """SELECT c.company, CASE WHEN s.company IS NULL THEN c.address END AS address, CASE WHEN s.company IS NOT NULL THEN 'charity' END AS company_type
+    FROM f_cache c LEFT JOIN (SELECT * FROM f_seeds WHERE len(emails) > 0) s ON s.company = c.company""", CACHE)
+def schema_evolve(i):
+    path = work_dir(i.spark, "contacts")
+    table = upsert.KeyedTable(i.spark, path, ["company"], order="company")
+    table.write_batch(i.view("f_cache").select("company", "address"), 0)
+    table.write_batch(i.view("f_seeds").where("size(emails) > 0").select("company", F.lit("charity").alias("company_type")), 1)
+    return table.compact(work_dir(i.spark, "contacts")).current().select("company", "address", "company_type")
+
+
+@query("runs_audit", """, r AS (SELECT ord // 1000 AS b, count(*) AS n FROM f_dup GROUP BY b) SELECT 'run-' || CAST(b AS VARCHAR) AS run_id, n AS jobs_scraped,
+    CAST(CASE WHEN b % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS errors FROM r""", DUP)
+def runs_audit(i):
+    b = F.floor(F.col("ord") / 1000)
+    r = i.view("f_dup").groupBy(b.alias("b")).agg(F.count("*").alias("jobs_scraped"))
+    row = r.select(F.concat(F.lit("run-"), F.col("b").cast("string")).alias("run_id"), "jobs_scraped", F.lit(0).cast("bigint").alias("errors"), "b")
+    again = row.where("b % 2 = 0").withColumn("errors", F.lit(1).cast("bigint"))
+    return upsert.upsert(row.drop("b"), again.drop("b"), ["run_id"])
+
+
+@query("run_history", L2 + """ SELECT 'r1' AS run_id, count(*) AS jobs_scraped, count(*) FILTER (hash IS NOT NULL) AS jobs_new,
+    (SELECT count(*) FROM f_dup) - count(*) AS jobs_duplicate FROM us""", DUP)
+def run_history(i):
+    r = _run(i)
+    root = work_dir(i.spark, "history")
+    jobs = upsert.KeyedTable(i.spark, f"{root}/jobs", ["hash"])
+    people = upsert.KeyedTable(i.spark, f"{root}/contacts", ["company"])
+    audit = upsert.KeyedTable(i.spark, f"{root}/runs", ["run_id"])
+    row = runs.run_audit("r1", "2024-01-01T00:00:00Z", "2024-01-01T01:00:00Z", r.raw, r.postings, r.postings, r.contacts)
+    runs.store_run(r, jobs, people, audit, 0, row)
+    runs.store_run(r, jobs, people, audit, 1, row)
+    return audit.current().select("run_id", "jobs_scraped", "jobs_new", "jobs_duplicate")
+
+
+@query("union_batches", "SELECT ord, source FROM (SELECT ord, source FROM f_postings UNION ALL SELECT (CAST(1 AS BIGINT) << 50) + ord, 'ads' FROM f_ads) q", ("f_postings", "f_ads"))
+def union_batches(i):
+    ads = i.view("f_ads").withColumn("source", F.lit("ads"))
+    return union_sources(i.view("f_postings"), ads).select("ord", "source")
+
+
+@query("call_counts", "SELECT role AS purpose, count(*) AS n FROM conversations GROUP BY role")
+def call_counts(i):
+    return quality.counts_by(i.table("conversations").withColumnRenamed("role", "purpose"), "purpose")
+
+
+# ------------------------------------------------------------------ captures and streams
+
+CAP = ("f_captures",)
+
+
+@query(
+    "capture_merge",
+    """SELECT source, job_id, arg_max(title, ord) FILTER (title <> '') AS title, arg_max(company, ord) AS company,
+    arg_min(description, 1000000000 - length(description) * 1000000 + ord) AS description, coalesce(array_to_string(arg_max(requirements, ord) FILTER (len(requirements) > 0), '|'), '') AS requirements
+    FROM f_captures WHERE job_id <> '' GROUP BY source, job_id""", CAP)
+def capture_merge(i):
+    c = i.view("f_captures").select("source", "job_id", "ord", "title", "company", "description", "requirements")
+    out = capture.merge_captures(c, ["source", "job_id"], F.col("ord"))
+    return out.select("source", "job_id", "title", "company", "description", F.coalesce(F.array_join("requirements", "|"), F.lit("")).alias("requirements"))
+
+
+@query("inbox_last_wins", "SELECT source, job_id, arg_max(description, ord) AS description, max(ord) AS ord FROM f_captures GROUP BY source, job_id", CAP)
+def inbox_last_wins(i):
+    return dedup.last_per_key(i.view("f_captures"), ["source", "job_id"]).select("source", "job_id", "description", "ord")
+
+
+@query(
+    "burst_sessions",
+    """, g AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL 5 MINUTE THEN 1 ELSE 0 END AS s FROM f_captures WINDOW w AS (PARTITION BY source ORDER BY ts)),
+    k AS (SELECT *, sum(s) OVER (PARTITION BY source ORDER BY ts ROWS UNBOUNDED PRECEDING) AS grp FROM g)
+    SELECT source, min(ts) AS burst_start, count(*) AS n, arg_max(ord, ts) AS ord FROM k GROUP BY source, grp""", CAP)
+def burst_sessions(i):
+    c = i.view("f_captures").select("source", "ts", "ord")
+    return capture.bursts(c, ["source"], gap="5 minutes").select("source", "burst_start", "n", "ord")
+
+
+@query("repeat_suppress", "SELECT event_id, user_id, event_type FROM events QUALIFY coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) <> event_type, true)")
+def repeat_suppress(i):
+    return capture.drop_repeats(i.table("events"), "user_id", "event_id", "event_type").select("event_id", "user_id", "event_type")
+
+
+def _event_stream(i: Inputs) -> DataFrame:
+    return capture.file_stream(i.spark, i.dir, i.table("events").schema, pathGlobFilter="events.parquet")
+
+
+@query("stream_inbox", "SELECT event_type, user_id, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY event_type, user_id")
+def stream_inbox(i):
+    root = work_dir(i.spark, "inbox")
+    table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_type", "user_id"], order="event_id", by_order=True)
+    out = capture.run_to_table(_event_stream(i), table, f"{root}/checkpoint")
+    return out.select("event_type", "user_id", "value", "event_id")
+
+
+@query("stream_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def stream_counts(i):
+    root = work_dir(i.spark, "counts")
+    return capture.run_counts(_event_stream(i), ["event_type"], f"{root}/table", f"{root}/checkpoint")
+
+
+@query("stream_capture_merge", "SELECT event_type, CAST(user_id AS VARCHAR) AS user_id, arg_max(value, event_id) AS value, arg_min(props, 1000000000 - length(props) * 10000000 + event_id) AS props FROM events GROUP BY event_type, user_id")
+def stream_capture_merge(i):
+    root = work_dir(i.spark, "captures")
+    table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_type", "user_id"], order="event_id", by_order=True)
+    capture.run_to_table(_event_stream(i), table, f"{root}/checkpoint")
+    rows = table.batches().select("event_type", F.col("user_id").cast("string").alias("user_id"), "value", "props", "event_id")
+    out = capture.merge_captures(rows, ["event_type", "user_id"], F.col("event_id"), longest="props")
+    return out.select("event_type", "user_id", "value", "props")
+
+
+@query("stream_skip_seen", "SELECT event_id FROM events WHERE event_type NOT IN (SELECT event_type FROM events WHERE user_id = 7 AND event_type = 'click')")
+def stream_skip_seen(i):
+    root = work_dir(i.spark, "fresh")
+    seen = i.table("events").where("user_id = 7 AND event_type = 'click'").select("event_type").distinct()
+    table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_id"], order="event_id")
+    out = capture.run_to_table(_event_stream(i), table, f"{root}/checkpoint", lambda d: capture.skip_seen(d, seen, "event_type"))
+    return out.select("event_id")
+
+
+@query("title_ratio")
+def title_ratio(i):
+    """Sequence ratio of the company name against its register row with the same key."""
+    j = i.view("f_docs").join(i.view("f_register"), F.col("dk") == F.col("cand_ord"))
+    named = j.select("dk", F.lower(i.view("f_docs")["name"]).alias("a"), F.lower(i.view("f_register")["name"]).alias("b"))
+    return named.select("dk", ratio_at_least(0.5)(F.col("a"), F.col("b")).alias("ratio"))

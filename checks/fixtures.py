@@ -10,6 +10,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vacancia.session import work_dir
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -192,7 +194,13 @@ def view_sql(duck: bool) -> dict[str, str]:
 
 def with_views(*names: str) -> str:
     """``WITH`` clause (without trailing comma) defining the views and what they build on."""
-    views, wanted = view_sql(True), set()
+    views = view_sql(True)
+    return "WITH " + ", ".join(f"{n} AS ({views[n]})" for n in needed(list(names), views))
+
+
+def needed(names: list[str], views: dict[str, str]) -> list[str]:
+    """The given views and those they build on, in building order."""
+    wanted: set[str] = set()
 
     def need(name: str) -> None:
         wanted.add(name)
@@ -202,24 +210,40 @@ def with_views(*names: str) -> str:
 
     for n in names:
         need(n)
-    return "WITH " + ", ".join(f"{n} AS ({q})" for n, q in views.items() if n in wanted)
+    return [n for n in views if n in wanted]
 
 
 class Inputs:
-    """Tables of a scale-factor folder and the derived views, as DataFrames."""
+    """Tables of a scale-factor folder and the derived views, as DataFrames.
+
+    A derived view is landed as parquet in the session's shared folder on first use, the way a
+    run's input would be, so that a query's plan starts at a table and not at the fixture's joins.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self.root, self.landed = None, set()
         for t in TABLES:
             self.table(t).createOrReplaceTempView(t)
-        for name, query in view_sql(False).items():
-            spark.sql(query).createOrReplaceTempView(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def _land(self, names: list[str]) -> None:
+        views = view_sql(False)
+        for name in needed(names, views):
+            if name in self.landed:
+                continue
+            self.root = self.root or work_dir(self.spark, "inputs")
+            path = f"{self.root}/{name}"
+            self.spark.sql(views[name]).write.mode("overwrite").parquet(path)
+            self.spark.read.parquet(path).createOrReplaceTempView(name)
+            self.landed.add(name)
+
     def view(self, name: str) -> DataFrame:
+        self._land([name])
         return self.spark.table(name)
 
     def sql(self, query: str) -> DataFrame:
+        self._land([n for n in view_sql(False) if n in query])
         return self.spark.sql(query)

@@ -10,14 +10,12 @@ the posting whose description is used; the text itself is joined back once, at t
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, norm_name
-from ..schema import JOB_TRACKED, POSTINGS, conform, filled, filled_value, has_items
+from ..schema import JOB_TRACKED, POSTINGS, conform, filled, filled_sql
 from ..session import cut_lineage
 from .fuzzy import THRESHOLD, title_leaders
 
@@ -44,21 +42,22 @@ def last_per_key(df: DataFrame, keys: list[str], order: str = "ord") -> DataFram
 def origin_map() -> Column:
     """Origin of every populated tracked field of a fresh posting: its own source."""
     types = {f.name: f for f in POSTINGS.fields}
-    return _map_of({name: F.when(filled_value(types[name]), F.array("source")) for name in JOB_TRACKED})
-
-
-def _map_of(values: dict[str, Column]) -> Column:
-    pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
-    return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+    marks = [f"CASE WHEN {filled_sql(types[n])} THEN '{n}' END" for n in JOB_TRACKED]
+    names = f"array_compact(array({', '.join(marks)}))"
+    return F.expr(f"map_from_arrays({names}, transform({names}, x -> array(source)))")
 
 
 def completeness(slim: bool = False) -> Column:
     """Number of populated fields out of 23; ``sources`` and the origin map always count."""
+    return F.expr(_completeness(slim))
+
+
+def _completeness(slim: bool) -> str:
     skip = {"ord", "sources", "field_sources"} | ({"description"} if slim else set())
-    parts = [filled_value(f).cast("int") for f in POSTINGS.fields if f.name not in skip]
+    tests = [filled_sql(f) for f in POSTINGS.fields if f.name not in skip]
     if slim:
-        parts.append(F.coalesce(F.col("description.filled"), F.lit(False)).cast("int"))
-    return reduce(lambda a, b: a + b, parts) + 2
+        tests.append("coalesce(description.filled, false)")
+    return " + ".join(f"CAST({t} AS int)" for t in tests) + " + 2"
 
 
 def with_hash(df: DataFrame) -> DataFrame:
@@ -84,38 +83,41 @@ def merge_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     All aggregates combine map-side and hold one record or a set of source names, so a group may
     be of any size. ``sources`` lists the first record's, then the others by name.
     """
-    score = completeness(slim=True)
-    order = F.struct((-score).alias("s"), F.col("ord").alias("o"))
     columns = [c for c in df.columns if c not in keys]
-
-    def donor(name: str, ok: Column) -> Column:
-        origin = F.coalesce(F.col("field_sources")[name], F.array("source"))
-        pair = F.struct(F.col(name).alias("v"), origin.alias("origin"))
-        return F.min_by(F.when(ok, pair), F.when(ok, order)).alias(f"_{name}")
-
-    merged = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*columns), order).alias("base"),
-        F.min("ord").alias("first_ord"),
-        F.min_by("sources", "ord").alias("first_sources"),
-        F.collect_set("sources").alias("all_sources"),
-        *[donor(n, F.col(n).isNotNull()) for n in FILL_WHEN_NULL],
-        *[donor(n, has_items(n)) for n in FILL_WHEN_EMPTY],
+    order = "_order"
+    rows = df.withColumn(order, F.expr(f"struct(-({_completeness(slim=True)}) AS s, ord AS o)"))
+    held = {n: f"{n} IS NOT NULL" for n in FILL_WHEN_NULL}
+    held |= {n: f"coalesce(size({n}), 0) > 0" for n in FILL_WHEN_EMPTY}
+
+    def donor(name: str) -> str:
+        origin = f"coalesce(field_sources['{name}'], array(source))"
+        return f"min_by(struct({name} AS v, {origin} AS origin), {order}) FILTER (WHERE {held[name]}) AS _{name}"
+
+    merged = rows.groupBy(*keys).agg(
+        *[
+            F.expr(e)
+            for e in [
+                f"min_by(struct({', '.join(columns)}), {order}) AS base",
+                "min(ord) AS first_ord",
+                "min_by(sources, ord) AS first_sources",
+                "collect_set(sources) AS all_sources",
+                *[donor(n) for n in held],
+            ]
+        ]
+    )
+    lack = {n: f"base.{n} IS NULL" for n in FILL_WHEN_NULL}
+    lack |= {n: f"coalesce(size(base.{n}), 0) <= 0" for n in FILL_WHEN_EMPTY}
+    gains = ", ".join(
+        f"CASE WHEN {test} AND _{n} IS NOT NULL THEN struct('{n}' AS key, _{n}.origin AS value) END"
+        for n, test in lack.items()
     )
-    lacking = {n: F.col(f"base.{n}").isNull() for n in FILL_WHEN_NULL}
-    lacking |= {n: ~has_items(f"base.{n}") for n in FILL_WHEN_EMPTY}
-    gains = _map_of({n: F.when(lack, F.col(f"_{n}.origin")) for n, lack in lacking.items()})
     special = {
-        "ord": F.col("first_ord"),
-        "sources": F.array_distinct(
-            F.concat("first_sources", F.array_sort(F.array_distinct(F.flatten("all_sources"))))
-        ),
-        "field_sources": F.map_concat("base.field_sources", gains),
-    }
-    special |= {
-        n: F.when(lack, F.coalesce(F.col(f"_{n}.v"), F.col(f"base.{n}"))).otherwise(F.col(f"base.{n}"))
-        for n, lack in lacking.items()
+        "ord": "first_ord",
+        "sources": "array_distinct(concat(first_sources, array_sort(array_distinct(flatten(all_sources)))))",
+        "field_sources": f"map_concat(base.field_sources, map_from_entries(array_compact(array({gains}))))",
     }
-    return merged.select(*keys, *[special.get(c, F.col(f"base.{c}")).alias(c) for c in columns])
+    special |= {n: f"CASE WHEN {test} THEN coalesce(_{n}.v, base.{n}) ELSE base.{n} END" for n, test in lack.items()}
+    return merged.selectExpr(*keys, *[f"{special.get(c, f'base.{c}')} AS {c}" for c in columns])
 
 
 def _start(df: DataFrame) -> DataFrame:

@@ -68,9 +68,9 @@ CONTACT_TRACKED = [
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: missing columns become typed nulls, extra ones are dropped."""
     have = set(df.columns)
-    return df.select(
-        [
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    return df.selectExpr(
+        *[
+            f"CAST({f.name if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schema.fields
         ]
     )
@@ -101,13 +101,17 @@ def first_filled(*cols: Column | str) -> Column:
     return F.coalesce(*[blank_to_null(c) for c in cols])
 
 
-def filled_value(field: T.StructField) -> Column:
-    """True where a field of any posting type counts as populated."""
+def filled_sql(field: T.StructField) -> str:
+    """SQL text of the test that a field of any posting type counts as populated.
+
+    Rules that run over many columns are built as SQL text: one call per column list instead of
+    several per column.
+    """
     if isinstance(field.dataType, T.ArrayType):
-        return has_items(field.name)
+        return f"(coalesce(size({field.name}), 0) > 0)"
     if isinstance(field.dataType, T.StringType):
-        return filled(field.name)
-    return F.col(field.name).isNotNull()
+        return f"(coalesce({field.name}, '') <> '')"
+    return f"({field.name} IS NOT NULL)"
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:
