@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vacancia.functions.similarity import ratio_at_least
 from vacancia.operators import cache, contacts, dedup, export, quality, registry, upsert, waterfall, websites
 from vacancia.plans import runs
-from vacancia.schema import CONTACTS, POSTINGS, conform, union_sources
+from vacancia.schema import CONTACT_PARTS, CONTACTS, POSTINGS, conform, union_sources
 from vacancia.session import work_dir
 from vacancia.sources import registers
 from vacancia.streaming import capture
@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
 
 
 def joined(name: str):
-    return F.array_join(name, "|").alias(name if isinstance(name, str) else "x")
+    return F.array_join(name, "|").alias(name)
 
 
 # ------------------------------------------------------------------ de-duplication
@@ -170,7 +170,8 @@ _SORTED = """list_concat(list_filter(s.emails, lambda e: regexp_matches(e, '(?i)
 @query(
     "export_nested",
     RUN + f""" SELECT ord, job_id, title, us.company, array_to_string(sources, '|') AS sources, s.company IS NOT NULL AS has_contact,
-    array_to_string(s.phones, '|') AS phones, array_to_string({_SORTED}, '|') AS emails, CAST({_CONF} AS INTEGER) * CASE WHEN s.company IS NULL THEN NULL ELSE 1 END AS confidence_score
+    array_to_string(s.phones, '|') AS phones,
+    CASE WHEN s.company IS NOT NULL THEN array_to_string({_SORTED}, '|') END AS emails, CAST({_CONF} AS INTEGER) * CASE WHEN s.company IS NULL THEN NULL ELSE 1 END AS confidence_score
     FROM us LEFT JOIN seed s ON s.company = us.company""", DUP)
 def export_nested(i):
     o = _run(i).objects()
@@ -296,12 +297,7 @@ PARTS = ("f_parts",)
 
 
 def _parts(i: Inputs) -> DataFrame:
-    return conform(i.view("f_parts"), waterfall_schema())
-
-
-def waterfall_schema():
-    from vacancia.schema import CONTACT_PARTS
-    return CONTACT_PARTS
+    return conform(i.view("f_parts"), CONTACT_PARTS)
 
 
 def _merge_cte(parts: str) -> str:
@@ -478,15 +474,15 @@ def registry_fuzzy_join(i):
 
 @query(
     "registry_lev_join",
-    f""", c AS (SELECT company, lower(translate(company, '{_PLAIN[0]}', '{_PLAIN[1]}')) AS a FROM f_companies),
-    n AS (SELECT lower(translate(name, '{_PLAIN[0]}', '{_PLAIN[1]}')) AS b, min(cand_ord) AS cand_ord FROM f_register GROUP BY b),
+    f""", c AS (SELECT company, translate(lower(company), '{_PLAIN[0]}', '{_PLAIN[1]}') AS a FROM f_companies),
+    n AS (SELECT translate(lower(name), '{_PLAIN[0]}', '{_PLAIN[1]}') AS b, min(cand_ord) AS cand_ord FROM f_register GROUP BY b),
     cw AS (SELECT DISTINCT a, unnest(string_split({duck.norm('a')}, ' ')) AS w FROM c), nw AS (SELECT DISTINCT b, cand_ord, unnest(string_split({duck.norm('b')}, ' ')) AS w FROM n),
     p AS (SELECT DISTINCT a, b, cand_ord, CAST(1 - levenshtein(a, b) / CAST(greatest(length(a), length(b)) AS DOUBLE) AS DOUBLE) AS score FROM cw JOIN nw ON cw.w = nw.w WHERE cw.w <> ''),
     best AS (SELECT * FROM p WHERE score >= 0.75 QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, cand_ord) = 1)
     SELECT c.company, best.cand_ord, round(best.score, 6) AS score FROM c JOIN best ON best.a = c.a""", ("f_companies", "f_register"))
 def registry_lev_join(i):
-    c = i.view("f_companies").select("company", F.translate("company", *_PLAIN).alias("plain"))
-    reg = i.view("f_register").select("cand_ord", F.translate("name", *_PLAIN).alias("name"))
+    c = i.view("f_companies").select("company", F.translate(F.lower("company"), *_PLAIN).alias("plain"))
+    reg = i.view("f_register").select("cand_ord", F.translate(F.lower("name"), *_PLAIN).alias("name"))
     hits = registry.best_matches(c.select(F.col("plain").alias("company")).distinct(), reg, 0.75, kind="edit")
     return c.join(hits.withColumnRenamed("company", "plain"), "plain").select("company", "cand_ord", F.round("score", 6).alias("score"))
 

@@ -132,7 +132,7 @@ def _sql(d: Dialect) -> dict[str, str]:
         FROM f_docs"""
     v["f_officers"] = """
         SELECT 'N' || CAST(l_orderkey % (SELECT count(*) FROM documents) AS string) AS company_number,
-               l_orderkey * 8 + l_linenumber AS officer_ord, l_partkey,
+               ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS officer_ord,
                'Officer ' || CAST(l_suppkey AS string) || '-' || CAST(l_partkey AS string) AS name,
                CASE l_suppkey % 4 WHEN 0 THEN 'Director' WHEN 1 THEN 'llp-member' WHEN 2 THEN 'Company Secretary' ELSE 'manager' END AS officer_role,
                CASE WHEN l_partkey % 3 = 0 THEN '2020-01-01' WHEN l_partkey % 3 = 1 THEN '' END AS resigned_on
