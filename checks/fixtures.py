@@ -236,7 +236,9 @@ class Inputs:
                 continue
             self.root = self.root or work_dir(self.spark, "inputs")
             path = f"{self.root}/{name}"
-            self.spark.sql(views[name]).write.mode("overwrite").parquet(path)
+            # Several files, so that reading uses every core, as a landed input of many files would.
+            rows = self.spark.sql(views[name]).repartition(self.spark.sparkContext.defaultParallelism)
+            rows.write.mode("overwrite").parquet(path)
             self.spark.read.parquet(path).createOrReplaceTempView(name)
             self.landed.add(name)
 

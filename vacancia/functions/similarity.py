@@ -15,15 +15,20 @@ selective, and the k-subsets of the head are exact join keys: no qualifying pair
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from collections.abc import Callable
 from difflib import SequenceMatcher
 from itertools import combinations
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The helpers below travel with the functions that use them, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # English letters from rare to common; any other character counts as rare.
 _RARE_FIRST = "zqxjkvbpygfwmucldrhsnioate "
 
