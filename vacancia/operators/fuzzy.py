@@ -6,8 +6,10 @@ maximal independent set of the similarity graph, which rounds of joins can find
 a company in one task and without writing out all pairs of a group:
 
 1. titles meet only in buckets of lossless signatures;
-2. a round looks at the first WINDOW undecided titles of every bucket. A title that is inside
-   that window in *all* its buckets and has no similar undecided title before it is a leader;
+2. a round looks at the first few undecided titles of every bucket. A title that is inside that
+   window in *all* its buckets and has no similar undecided title before it is a leader. The
+   window starts small and doubles: masses of alike titles are absorbed while it is small, and
+   only unlike ones are left when it is large;
 3. new leaders absorb similar titles of their buckets, also beyond the window. Many mutually
    similar titles therefore cost one comparison each, not one per pair.
 
@@ -26,7 +28,7 @@ from ..functions.similarity import length_compatible, ratio_at_least, shared_buc
 from ..session import cut_lineage
 
 THRESHOLD = 0.85
-WINDOW = 64
+FIRST_WINDOW = 4
 
 
 def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -52,7 +54,7 @@ def _against_leaders(rows: DataFrame, leaders: DataFrame, threshold: float) -> D
     return _similar(pairs.select("early", "early_title", "late", "late_title"), threshold)
 
 
-def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW) -> DataFrame:
+def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int = FIRST_WINDOW) -> DataFrame:
     """Map absorbed titles to their leader.
 
     ``titles`` has one row per (company_key, title) with ``tid``, the ordinal of its first
@@ -85,6 +87,7 @@ def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int =
         absorbed.append(taken)
         left = undecided.join(leaders, "tid", "left_anti").join(taken, "tid", "left_anti")
         undecided = cut_lineage(shared_buckets(left))
+        window *= 2
 
     if not absorbed:
         return titles.limit(0).withColumn("leader", F.col("tid"))
