@@ -14,7 +14,7 @@ from vacancia.streaming import capture
 
 
 def test_listing_files(spark, tmp_path):
-    (tmp_path / "a.json").write_text(json.dumps({"jobs": [{"job_id": 1, "title": " T ", "salary_min": "12.5", "requirements": ["x"], "contact": {"a": 1}}, {"job_id": "", "title": "no id"}]}))
+    (tmp_path / "a b.json").write_text(json.dumps({"jobs": [{"job_id": 1, "title": " T ", "salary_min": "12.5", "requirements": ["x"], "contact": {"a": 1}}, {"job_id": "", "title": "no id"}]}))
     (tmp_path / "b.json").write_text(json.dumps([{"job_id": "2", "title": "U", "source": "", "salary_min": "lots", "benefits": "text"}, {"title": ""}]))
     (tmp_path / "c.json").write_text("{broken")
     good, rejects = listings.load_listings(spark, str(tmp_path))

@@ -26,6 +26,11 @@ _FILE = T.StructType(
 )
 
 
+def _one_slash(path: Column) -> Column:
+    """Paths are spelled file:/x or file:///x depending on who lists them."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
 def read_listing_files(spark: SparkSession, path: str) -> DataFrame:
     """Raw rows of every file below ``path`` with ``ord`` = (file position, position in file).
 
@@ -36,10 +41,10 @@ def read_listing_files(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema(_FILE).json(path, multiLine=True, mode="PERMISSIVE")
     files = spark.createDataFrame(
         [(name, rank) for rank, name in enumerate(sorted(raw.inputFiles()))], "file string, rank bigint"
-    )
+    ).withColumn("file", _one_slash(F.col("file")))
     single = F.array(F.struct(*_TEXT))
     rows = (
-        raw.select("*", F.col("_metadata.file_path").alias("file"))
+        raw.select("*", _one_slash(F.input_file_name()).alias("file"))
         .select("file", "_corrupt_record", F.explode(F.coalesce("jobs", single)).alias("r"))
         .withColumn("seq", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
         .select("file", "_corrupt_record", "seq", "r.*")
