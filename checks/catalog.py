@@ -13,5 +13,6 @@ def inputs(spark, sf_dir: str) -> Inputs:
     """Views are set up once per session and folder; they are lazy and hold no rows."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if _OPEN.get("key") != key:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         _OPEN.update(key=key, inputs=Inputs(spark, sf_dir))
     return _OPEN["inputs"]
