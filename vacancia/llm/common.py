@@ -24,6 +24,12 @@ def whole_text(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def row_key(identifier: str | Column, digest: str | Column) -> Column:
+    """Identifier and digest of the text as one join key that is never null."""
+    parts = [F.col(c) if isinstance(c, str) else c for c in (identifier, digest)]
+    return F.concat_ws(":", F.coalesce(parts[0].cast("string"), F.lit("none")), parts[1].cast("string"))
+
+
 def ship(spark: SparkSession, value: object, n_bytes: int):
     """Broadcast a value whose size is known, and refuse one beyond the limit."""
     if n_bytes > BROADCAST_LIMIT:

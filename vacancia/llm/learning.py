@@ -13,14 +13,16 @@ def fold(id_col: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % folds, F.lit(-1))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text, y`` of the rows that may teach: labelled 0 or 1 and not held out.
+def teaching_labels(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:
+    """``id, y`` of the rows that may teach: labelled 0 or 1 and not held out.
 
     An identifier with several labels counts once, with the largest.
     """
-    marks = (
-        labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).where(fold("doc_id", folds) != held_out)
-        .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
-    )
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).where(fold("doc_id", folds) != held_out)
+    return known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
+
+
+def labelled(docs: DataFrame, marks: DataFrame, folds: int, held_out: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, text, y`` of the documents that have one of the ``marks`` (id, y)."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     return texts.where(fold("id", folds) != held_out).join(marks, "id")

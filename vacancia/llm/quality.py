@@ -3,7 +3,7 @@
 Words are runs of letters and digits, or of other signs; a word equal to the one before it is written
 ``=``. Words and word pairs are hashed to ``2 ** BITS`` weights; a feature's value is its share of the
 text's features. Training takes a bounded sample of labelled rows (``TRAINING_ROWS``, by a hash of the
-identifier) in ``PARTS`` independent runs, whose weights are averaged; every text is then scored by one
+identifier) in independent runs of about ``PART_ROWS``, whose weights are averaged; every text is then scored by one
 sparse dot product with the broadcast weights, 8 bytes times ``2 ** BITS`` at most.
 
 Null and empty texts have no features and get the score of the offset alone. Without labels every
@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix, ship, slices, whole_text
-from .learning import fold, labelled
+from .learning import fold, labelled, teaching_labels
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
-BITS, PARTS, TRAINING_ROWS, EPOCHS = 18, 8, 40_000, 3
+BITS, PART_ROWS, TRAINING_ROWS = 18, 5_000, 40_000
+#: Passes over a part: few for a full one, more for a small one.
+LEAST_PASSES, MOST_PASSES = 3, 30
 #: Learning rate, its smoothing, and the penalties of FTRL-proximal.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 #: Factor on the shares, so that penalties and rates are of the usual size.
@@ -51,8 +53,8 @@ def features(texts) -> Iterator[np.ndarray]:
             yield (np.concatenate([one, two]) >> shift).astype(np.int64)
 
 
-def ftrl(places: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights after ``epochs`` passes over the examples; the last one is the offset."""
+def ftrl(places: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Weights after some passes over the examples; the last one is the offset."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
     def weights(at):
@@ -63,7 +65,7 @@ def ftrl(places: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS) -> np.nd
     for p in places:
         at, times = np.unique(p, return_counts=True)
         examples.append((np.append(at, 1 << BITS), np.append(times * (SCALE / max(1, len(p))), 1.0)))
-    for _ in range(epochs):
+    for _ in range(min(MOST_PASSES, max(LEAST_PASSES, LEAST_PASSES * PART_ROWS // max(1, len(y))))):
         for (at, x), target in zip(examples, y):
             w = weights(at)
             g = (1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) - target) * x
@@ -72,7 +74,7 @@ def ftrl(places: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS) -> np.nd
     return weights(np.arange(len(z)))
 
 
-def train(rows: DataFrame, parts: int = PARTS) -> np.ndarray:
+def train(rows: DataFrame, parts: int) -> np.ndarray:
     """Mean weights of ``parts`` runs over labelled rows (id, text, y)."""
 
     def fit(batch: pd.DataFrame) -> pd.DataFrame:
@@ -95,10 +97,12 @@ def quality_scores(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row."""
     spark = docs.sparkSession
-    known = labels.where(F.col(label).isin(0, 1)).where(fold("doc_id", FOLDS) != HELD_OUT).count()
-    share = min(1.0, training_rows / max(1, known))
+    marks = teaching_labels(labels, label, FOLDS, HELD_OUT)
+    n_marks = marks.count()
+    share = min(1.0, training_rows / max(1, n_marks))
+    parts = -(-int(n_marks * share) // PART_ROWS) or 1
     chosen = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << 20)) < int(share * (1 << 20))
-    weights = train(labelled(docs.where(chosen), labels, label, FOLDS, HELD_OUT, id_col, text_col))
+    weights = train(labelled(docs.where(chosen), marks, FOLDS, HELD_OUT, id_col, text_col), parts)
     model = ship(spark, weights, weights.nbytes)
 
     @F.pandas_udf("double")

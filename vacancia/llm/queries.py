@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, quality, sharding, token_counts, toxicity
+from . import bpe, embeddings, exact_dedup, minhash, mixing, quality, secrets, sharding, token_counts, toxicity
 from .common import table
 
 SHARDS = 16
@@ -35,9 +35,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_documents(spark, sf_dir), SHARDS)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(_documents(spark, sf_dir))
+    return secrets.with_digests(found)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    return toxicity.toxicity_scores(docs, docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels")).drop("text_hash")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,9 +57,17 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir), k=4, per_cent=80)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_rows(_documents(spark, sf_dir), repeat_limit=3.0, entropy=0.97)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 SQL: dict[str, str] = {}

@@ -81,7 +81,7 @@ def frequent_pre_tokens(docs: DataFrame, text_col: str, sample_documents: int) -
         for batch in batches:
             for text in batch["text"]:
                 seen.update(w for w in pre_tokens(text) if len(w) <= FREQUENT_CHARS and "\0" not in w)
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+        yield pd.DataFrame({"word": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
 
     counts = sample.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").toPandas()

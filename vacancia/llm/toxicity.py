@@ -1,15 +1,18 @@
 """Toxicity by class-conditional Kneser-Ney models over the characters of words.
 
 Two models, one of toxic and one of ordinary texts, give each character of a word a probability
-after the four before it. Both discount their own counts absolutely and give the discounted mass to
+after the seven before it. Both discount their own counts absolutely and give the discounted mass to
 one shared lower-order Kneser-Ney distribution, built from continuation counts of both classes
-together; so an expression that is rare in either class falls back to the same estimate, and spelling
-variants of a rare stem support each other. The difference of the two log-likelihoods, divided by the
-number of words, is mapped to a score by a logistic curve, fitted on labelled rows that were kept
-from the models' counts.
+together; so an expression that is rare in either class falls back to the same estimate and speaks
+for neither, and spelling variants of a stem support each other. With the difference of the two
+log-likelihoods known for every word, a text is described by the difference per word, by the part
+beyond ``EXCESS`` per word, and by that of its second most toxic word, so that few toxic words count
+in a long text too. A logistic curve over these, fitted on labelled rows that were kept from the
+counts, gives the score.
 
-All labelled rows outside the held-out fold are counted. The scoring tables keep one number for each
-n-gram and context; beyond ``MODEL_ENTRIES`` the least frequent n-grams use their context's number.
+All other labelled rows outside the held-out fold are counted. Only ``CALIBRATION_ROWS`` labelled rows
+at most fit the curve. The scoring tables have one number for each n-gram and context that differs
+from its backoff; beyond ``MODEL_ENTRIES`` of them the least frequent use the backoff.
 
 Null and empty texts, and texts without a word, have difference 0. With no label of one class every
 score is the share of toxic labels, 0 if there are none. Rows repeat with their input.
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,14 +32,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import Remembered, mix, ship, slices, whole_text, worker_state
-from .learning import fold, labelled
+from .common import Remembered, mix, row_key, ship, slices, whole_text, worker_state
+from .learning import fold, labelled, teaching_labels
 
-ORDER = 5
+#: Characters of an n-gram in the class models, and in the shared distribution that they fall back to.
+ORDER, SHARED = 8, 5
+#: Absolute discount of the class models: so many occurrences in a class prove nothing.
+DISCOUNT, EXCESS = 2, 2.0
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-MODEL_ENTRIES = 4_000_000
-#: Share 1 / CALIBRATION of the labelled rows fits the score's curve instead of the counts.
-CALIBRATION = 5
+MODEL_ENTRIES = 3_000_000
+#: Share of the labelled rows that fit the curve, and their number at most.
+CALIBRATION, CALIBRATION_ROWS = 0.2, 50_000
 _PAD, _END = "\x02", "\x03"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,20 +71,22 @@ def count_ngrams(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen = (Counter(), Counter())
-            for text, y in zip(batch["text"], batch["y"]):
-                seen[y].update(words_of(text))
-            words = list(seen[0].keys() | seen[1].keys())
-            if not words:
-                continue
-            joined, ends, owner, grams, _ = ngram_hashes(words)
-            _, first, same = np.unique(grams, return_index=True, return_inverse=True)
-            sums = {}
-            for name, counter in (("t", seen[1]), ("o", seen[0])):
-                weight = np.array([counter[w] for w in words], float)[owner]
-                sums[name] = np.bincount(same, weight, len(first)).astype(np.int64)
-            grams = [joined[e - ORDER + 1 : e + 1] for e in ends[first]]
-            yield pd.DataFrame({"gram": grams, **sums})
+            classes = zip(batch["text"], batch["y"])
+            for part in slices(batch["text"], 1 << 22):
+                seen = (Counter(), Counter())
+                for text, y in islice(classes, len(part)):
+                    seen[y].update(words_of(text))
+                words = list(seen[0].keys() | seen[1].keys())
+                if not words:
+                    continue
+                joined, ends, owner, grams, _ = ngram_hashes(words)
+                _, first, same = np.unique(grams, return_index=True, return_inverse=True)
+                sums = {}
+                for name, counter in (("t", seen[1]), ("o", seen[0])):
+                    weight = np.array([counter[w] for w in words], float)[owner]
+                    sums[name] = np.bincount(same, weight, len(first)).astype(np.int64)
+                grams = [joined[e - ORDER + 1 : e + 1] for e in ends[first]]
+                yield pd.DataFrame({"gram": pd.Series(grams, dtype=object), **sums})
 
     counts = rows.select("text", "y").mapInPandas(count, "gram string, t long, o long")
     return counts.groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
@@ -88,11 +97,12 @@ def _discount(ones: float, twos: float) -> float:
 
 
 def shared_backoff(grams: DataFrame) -> DataFrame:
-    """``gram, p``: Kneser-Ney probability of the last character after the others, of order - 1."""
-    tables = []
-    for n in range(ORDER - 1, 0, -1):
-        grams = cut_lineage(grams.groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("c")))
+    """``gram, p``: Kneser-Ney probability of the last of ``SHARED`` characters after the others."""
+    tables, drop = [], ORDER - SHARED
+    for n in range(SHARED, 0, -1):
+        grams = cut_lineage(grams.groupBy(F.expr(f"substring(gram, {1 + drop})").alias("gram")).agg(F.count("*").alias("c")))
         tables.append((n, grams))
+        drop = 1
     p = None
     for n, counts in reversed(tables):
         if p is None:
@@ -112,34 +122,53 @@ def shared_backoff(grams: DataFrame) -> DataFrame:
 
 
 def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``gram, seen, r`` of n-grams and ``gram, seen, r`` of contexts: log of toxic over ordinary probability."""
-    ones = grams.selectExpr(
-        "sum(int(t = 1))", "sum(int(t = 2))", "sum(int(o = 1))", "sum(int(o = 2))"
-    ).first()
-    dt, do = _discount(ones[0] or 0, ones[1] or 0), _discount(ones[2] or 0, ones[3] or 0)
+    """``gram, seen, r`` of n-grams and of contexts: log of toxic over ordinary probability.
+
+    An n-gram within the discount in both classes has its context's ratio, and a context of only
+    such n-grams has ratio 0; neither is listed.
+    """
     head = f"substring(gram, 1, {ORDER - 1})"
     contexts = grams.groupBy(F.expr(head).alias("context")).agg(
-        F.sum("t").alias("nt"), F.sum("o").alias("no"), F.sum(F.expr("int(t > 0)")).alias("kt"), F.sum(F.expr("int(o > 0)")).alias("ko"),
+        F.sum("t").alias("nt"), F.sum("o").alias("no"), F.max(F.greatest("t", "o")).alias("most"),
+        F.sum(F.least("t", F.lit(DISCOUNT))).alias("dt"), F.sum(F.least("o", F.lit(DISCOUNT))).alias("do"),
+    ).where(F.col("most") > DISCOUNT)
+    contexts = contexts.selectExpr(
+        "*", "CASE WHEN nt > 0 THEN dt / nt ELSE 1D END AS lt", "CASE WHEN no > 0 THEN do / no ELSE 1D END AS lo"
     )
-    left_t = f"CASE WHEN nt > 0 THEN {dt}D * kt / nt ELSE 1D END"
-    left_o = f"CASE WHEN no > 0 THEN {do}D * ko / no ELSE 1D END"
-    contexts = contexts.selectExpr("*", f"{left_t} AS lt", f"{left_o} AS lo")
     lower = shared_backoff(grams).select(F.col("gram").alias("tail"), "p")
-    full = grams.join(contexts, F.expr(head) == F.col("context")).join(lower, F.expr("substring(gram, 2)") == F.col("tail"))
-    pt = f"CASE WHEN nt > 0 THEN greatest(t - {dt}D, 0D) / nt ELSE 0D END + lt * p"
-    po = f"CASE WHEN no > 0 THEN greatest(o - {do}D, 0D) / no ELSE 0D END + lo * p"
+    proven = grams.where((F.col("t") > DISCOUNT) | (F.col("o") > DISCOUNT))
+    full = proven.join(contexts, F.expr(head) == F.col("context")).join(
+        lower, F.expr(f"substring(gram, {1 + ORDER - SHARED})") == F.col("tail")
+    )
+    pt = f"CASE WHEN nt > 0 THEN greatest(t - {DISCOUNT}, 0) / nt ELSE 0D END + lt * p"
+    po = f"CASE WHEN no > 0 THEN greatest(o - {DISCOUNT}, 0) / no ELSE 0D END + lo * p"
     return (
         full.selectExpr("gram", "t + o AS seen", f"CAST(ln(({pt}) / ({po})) AS FLOAT) AS r"),
         contexts.selectExpr("context AS gram", "nt + no AS seen", "CAST(ln(lt / lo) AS FLOAT) AS r"),
     )
 
 
-def _bounded(rows: DataFrame, entries: int) -> pd.DataFrame:
-    """The rows' most frequent entries, as many as the bound lets through."""
-    least = 1
+def _collected(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and ratios of the most frequent entries, as many as the bound lets through."""
+
+    @F.pandas_udf("long")
+    def key(grams: pd.Series) -> pd.Series:
+        if not len(grams):
+            return pd.Series([], dtype="int64")
+        codes = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = codes.astype(np.uint64).reshape(len(grams), -1)
+        keys = np.full(len(codes), ORDER, np.uint64)
+        for i in range(codes.shape[1]):
+            keys = mix(keys * _FACTOR + codes[:, i])
+        return pd.Series(keys.view(np.int64))
+
+    rows, least = cut_lineage(rows.select("seen", "r", key("gram").alias("key"))), 1
     while rows.where(F.col("seen") >= least).count() > entries:
         least *= 2
-    return rows.where(F.col("seen") >= least).select("gram", "r").toPandas()
+    table = rows.where(F.col("seen") >= least).select("key", "r").toPandas()
+    keys = table["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], table["r"].to_numpy(np.float32)[order]
 
 
 class Ratios:
@@ -161,81 +190,73 @@ class Ratios:
                 found |= hit
         return np.bincount(owner, value, len(words)).tolist()
 
-    def means(self, texts: list[str]) -> list[float]:
+    def describe(self, texts: list[str]) -> list[list[float]]:
+        """Difference per word, excess per word, and difference of the second most toxic word."""
         out = []
         for part in slices(texts):
             words = [words_of(t) for t in part]
             get = self.known.of(words).__getitem__
-            out += [sum(map(get, w)) / len(w) if w else 0.0 for w in words]
+            for w in words:
+                v = np.fromiter(map(get, w), float, len(w))
+                second = float(np.partition(v, -2)[-2]) if len(v) > 1 else 0.0
+                out.append([v.mean(), np.maximum(v - EXCESS, 0).mean(), min(max(second, -10.0), 15.0)] if len(v) else [0.0] * 3)
         return out
 
 
-def _hashed(table: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams or contexts as sorted hashes with their ratios."""
-    if not len(table):
-        return np.empty(0, np.uint64), np.empty(0, np.float32)
-    text = "".join(table["gram"])
-    width = len(table["gram"].iloc[0])
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64).reshape(-1, width)
-    keys = np.full(len(codes), ORDER, np.uint64)
-    for i in range(width):
-        keys = mix(keys * _FACTOR + codes[:, i])
-    order = np.argsort(keys)
-    return keys[order], table["r"].to_numpy(np.float32)[order]
-
-
-def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray, rounds: int = 60) -> tuple[float, float]:
-    """Slope and offset of a logistic curve for values x with label y, n times each (Newton's method)."""
-    scale = float(np.sqrt((n * x * x).sum() / n.sum())) or 1.0
-    a = np.stack([x / scale, np.ones(len(x))], 1)
-    w, keep = np.zeros(2), np.diag([1e-2, 1e-6])
+def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
+    """Weights of a lightly penalised logistic curve over the columns of x and an offset (Newton's method)."""
+    scale = np.append(x.std(0) + 1e-9, 1.0)
+    a, w = np.c_[x, np.ones(len(x))] / scale, np.zeros(x.shape[1] + 1)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (n * p * (1 - p))[:, None]).T @ a + keep, a.T @ (n * (y - p)) - keep @ w)
+        curve = (a * (p * (1 - p))[:, None]).T @ a + 0.01 * np.eye(len(w))
+        step = np.linalg.solve(curve, a.T @ (y - p) - 0.01 * w)
         w = w + np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-9:
             break
-    return w[0] / scale, w[1]
+    return w / scale
 
 
 def toxicity_scores(
-    docs: DataFrame, teachers: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label: str = "toxic", entries: int = MODEL_ENTRIES,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
+    entries: int = MODEL_ENTRIES,
 ) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs``.
-
-    ``teachers`` (doc_id, text) are the documents that ``labels`` (doc_id, label) speak of.
-    """
+    """``doc_id, held_out, score, predicted, text_hash`` of every row, taught by the labelled ones."""
     spark = docs.sparkSession
-    rows = labelled(teachers, labels, label, FOLDS, HELD_OUT)
-    spared = F.pmod(F.xxhash64("id"), F.lit(CALIBRATION)) == 0
-    grams = cut_lineage(count_ngrams(rows.where(~spared)))
-    tables = [_hashed(_bounded(t, entries)) for t in log_ratios(grams)]
+    marks = teaching_labels(labels, label, FOLDS, HELD_OUT)
+    share = min(CALIBRATION, CALIBRATION_ROWS / max(1, marks.count()))
+    spared = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    rows = labelled(docs, marks.where(~spared), FOLDS, HELD_OUT, id_col, text_col)
+    tables = [_collected(t, entries) for t in log_ratios(cut_lineage(count_ngrams(rows)))]
     model = ship(spark, tables, sum(a.nbytes for t in tables for a in t))
 
-    @F.pandas_udf("double")
-    def means(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        state, key = worker_state(), ("ratios", model.value[0][0][:64].tobytes(), float(model.value[0][1].sum()))
+    @F.pandas_udf("array<double>")
+    def describe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        state, key = worker_state(), ("ratios", len(model.value[0][0]), float(model.value[0][1].sum()), float(model.value[1][1].sum()))
         if key not in state:
             state[key] = Ratios(*model.value)
         for texts in batches:
-            yield pd.Series(state[key].means(list(texts)), dtype="float64")
-
-    measured = cut_lineage(docs.select(F.col(id_col).cast("long").alias("id"), means(whole_text(text_col)).alias("x")))
-    marks = labels.where(F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("id"), F.col(label).alias("y"))
-    marks = marks.where((fold("id", FOLDS) != HELD_OUT) & spared)
-    # Rounded values: a bounded number of rows, whatever the number of documents.
-    points = (
-        measured.join(marks, "id").groupBy(F.round(F.least(F.greatest("x", F.lit(-2)), F.lit(2)), 4).alias("x"), "y")
-        .agg(F.count("*").alias("n")).toPandas()
-    )
-    toxic = int(points.loc[points["y"] == 1, "n"].sum())
-    total = int(points["n"].sum())
+            yield pd.Series(state[key].describe(list(texts)), dtype=object)
+
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
+    measured = cut_lineage(texts.select("id", F.xxhash64("text").alias("text_hash"), describe("text").alias("x")))
+    points = measured.join(marks.where(spared), "id").select("x", "y").toPandas()
+    toxic, total = int(points["y"].sum()), len(points)
     if 0 < toxic < total:
-        slope, offset = fit_curve(*(points[c].to_numpy(float) for c in ("x", "y", "n")))
-        score = 1 / (1 + F.exp(-F.least(F.greatest(F.col("x") * float(slope) + float(offset), F.lit(-30.0)), F.lit(30.0))))
+        *weights, offset = fit_curve(np.stack(points["x"].to_list()), points["y"].to_numpy(float)).tolist()
+        raw = sum((F.col("x")[i] * w for i, w in enumerate(weights)), F.lit(offset))
+        score = 1 / (1 + F.exp(-F.least(F.greatest(raw, F.lit(-30.0)), F.lit(30.0))))
     else:
         score = F.lit(toxic / total if total else 0.0)
     return measured.select(
-        F.col("id").alias("doc_id"), (fold("id", FOLDS) == HELD_OUT).alias("held_out"), score.alias("score")
-    ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+        F.col("id").alias("doc_id"), (fold("id", FOLDS) == HELD_OUT).alias("held_out"), score.alias("score"),
+        (score >= THRESHOLD).cast("int").alias("predicted"), "text_hash",
+    )
+
+
+def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input's rows that are not predicted toxic, decided by identifier and text."""
+    scores = toxicity_scores(docs, labels, id_col, text_col)
+    toxic = scores.where("predicted = 1").select(row_key("doc_id", "text_hash").alias("key")).distinct()
+    key = row_key(F.col(id_col).cast("long"), F.xxhash64(whole_text(text_col)))
+    return docs.join(toxic, key == F.col("key"), "left_anti")
