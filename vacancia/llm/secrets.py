@@ -1,8 +1,8 @@
 """Secret scans in SQL expressions: three fixed patterns, and strings that look random.
 
 Two Markov models over characters are counted from labelled samples of the whole corpus: the random
-class from the values that the patterns find, the ordinary class from long identifiers outside them.
-A further string of ``LEAST`` characters is a secret when the logarithm of its likelihood ratio,
+class from the values that the patterns find, the ordinary class from long identifiers that are no part
+of one. Every text is scanned once; what is kept of it are its spans and long strings. A further string of ``LEAST`` characters is a secret when the logarithm of its likelihood ratio,
 added up over its characters, exceeds ``LEAST_RATIO`` and ``LEAST_MEAN`` per character. The model has
 one number for each pair of characters of a fixed alphabet and becomes a literal of the query.
 
@@ -17,21 +17,27 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import whole_text
 
 # The patterns, and the least length of an assigned value.
-ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGN = r"""(?=[PSTApsta])(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_VALUE = 6
 # A run of a class matches as a whole, so the least length can stand in the pattern.
-ACCESS = "AKIA[A-Z0-9]{16,}"
-HEX = "[0-9a-f]{24,}"
+ACCESS, ACCESS_LENGTH = "AKIA[A-Z0-9]{16,}", 20
+HEX, HEX_LENGTH = "(?<![0-9a-f])[0-9a-f]{24,}", 24
 KINDS = ["assign", "access", "hex", "markov"]
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Characters of a string to be judged, and of an ordinary identifier to learn from.
-LEAST, ORDINARY = 20, 8
+LEAST, ORDINARY = 20, 12
 LEAST_RATIO, LEAST_MEAN = 12.0, 0.5
-_SIDE = len(ALPHABET) + 1
+_SIDE = len(ALPHABET)
+
+
+def _run(length: int) -> str:
+    """Whole runs of the alphabet of at least ``length`` characters."""
+    return f"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{length},}}"
 
 
 def _spans(text: str, pattern: str, kind: str) -> Column:
@@ -59,62 +65,70 @@ def _spans(text: str, pattern: str, kind: str) -> Column:
     return F.when(F.col(text).rlike(pattern), found).otherwise(empty["out"])
 
 
-def base_spans(text: str) -> Column:
-    parts = [_spans(text, p, k) for p, k in ((ASSIGN, "assign"), (ACCESS, "access"), (HEX, "hex"))]
-    return F.array_sort(F.concat(*parts))
+def _has(length: int) -> Column:
+    return F.exists("long", lambda w: F.length(w) >= length)
 
 
-def _pair(token: Column, i: Column) -> Column:
-    """Number of the pair of characters that ends at position ``i`` (from 1) of a token."""
-    here = F.instr(F.lit(ALPHABET), token.substr(i, F.lit(1)))
-    before = F.when(i > 1, F.instr(F.lit(ALPHABET), token.substr(i - 1, F.lit(1)))).otherwise(0)
-    return before * _SIDE + here
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, base, long, others``: spans of the patterns, long strings, and spans of strings to be judged."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    texts = texts.withColumn("long", F.regexp_extract_all("text", F.lit(_run(ORDINARY)), F.lit(0)))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    # A match of the other two patterns lies in a long string.
+    assigned = F.when(F.contains("text", F.lit(":")) | F.contains("text", F.lit("=")), _spans("text", ASSIGN, "assign"))
+    access = F.when(_has(ACCESS_LENGTH) & F.contains("text", F.lit("AKIA")), _spans("text", ACCESS, "access"))
+    hexes = F.when(_has(HEX_LENGTH), _spans("text", HEX, "hex"))
+    others = F.when(_has(LEAST), _spans("text", _run(LEAST), "markov"))
+    base = F.array_sort(F.concat(*[F.coalesce(x, none) for x in (assigned, access, hexes)]))
+    return texts.select("doc_id", base.alias("base"), "long", F.coalesce(others, none).alias("others"))
 
 
 def pair_counts(scanned: DataFrame) -> DataFrame:
-    """``random, pair, n`` over the labelled samples of scanned documents (text, base)."""
-    shown = F.filter(F.transform("base", lambda s: s["value"]), lambda v: v.rlike("[0-9]"))
-    hidden = F.regexp_replace("text", f"{ASSIGN}|{ACCESS}|{HEX}", " ")
-    words = F.regexp_extract_all(hidden, F.lit(f"[A-Za-z0-9+/_=-]{{{ORDINARY},}}"), F.lit(0))
+    """``random, pair, n``: neighbouring characters in the labelled samples of scanned documents."""
+    random = F.filter(F.transform("base", lambda s: F.regexp_replace(s["value"], "[.]", "")), lambda v: v.rlike("[0-9]"))
+    ordinary = F.filter(
+        "long", lambda w: ~F.exists("base", lambda s: F.contains(s["value"], w) | F.contains(w, s["value"]))
+    )
     samples = F.concat(
-        F.transform(shown, lambda v: F.struct(F.lit(True).alias("random"), F.regexp_replace(v, "[.]", "").alias("token"))),
-        F.transform(words, lambda v: F.struct(F.lit(False).alias("random"), v.alias("token"))),
+        F.transform(random, lambda v: F.struct(F.lit(True).alias("random"), v.alias("token"))),
+        F.transform(ordinary, lambda v: F.struct(F.lit(False).alias("random"), v.alias("token"))),
     )
-    tokens = scanned.select(F.explode(samples).alias("s")).select("s.random", "s.token").where(F.length("token") > 0)
-    places = F.sequence(F.lit(1), F.length("token"))
-    pairs = tokens.select("random", F.explode(F.transform(places, lambda i: _pair(F.col("token"), i))).alias("pair"))
+    tokens = scanned.select(F.explode(samples).alias("s")).select("s.random", "s.token")
+    pairs = tokens.select("random", F.explode(F.regexp_extract_all("token", F.lit("(?=(..))"), F.lit(1))).alias("pair"))
     return pairs.groupBy("random", "pair").agg(F.count("*").alias("n"))
 
 
 def train(scanned: DataFrame) -> list[float] | None:
-    """Log ratios by pair number; at most two rows for each pair reach the driver."""
+    """Log ratios, a row for each first character; at most two counts for each pair reach the driver."""
     counts = {(r["random"], r["pair"]): r["n"] for r in pair_counts(scanned).collect()}
     if len({random for random, _ in counts}) < 2:
         return None
-
-    def log_p(random: bool, pair: int) -> float:
-        first = pair // _SIDE * _SIDE
-        total = sum(counts.get((random, first + i), 0) for i in range(1, _SIDE))
-        return math.log((counts.get((random, pair), 0) + 0.5) / (total + 0.5 * (_SIDE - 1)))
-
-    return [log_p(True, i) - log_p(False, i) if i % _SIDE else 0.0 for i in range(_SIDE * _SIDE)]
+    logs = {}
+    for random in (True, False):
+        for first in ALPHABET:
+            row = [counts.get((random, first + c), 0) + 0.5 for c in ALPHABET]
+            logs[random, first] = [math.log(n / sum(row)) for n in row]
+    return [a - b for first in ALPHABET for a, b in zip(logs[True, first], logs[False, first])]
 
 
 def _looks_random(token: Column, ratios: Column) -> Column:
-    places = F.sequence(F.lit(1), F.length(token))
-    total = F.aggregate(places, F.lit(0.0), lambda s, i: s + F.get(ratios, _pair(token, i)))
+    def place(i: Column) -> Column:
+        return F.instr(F.lit(ALPHABET), token.substr(i, F.lit(1))) - 1
+
+    places = F.sequence(F.lit(2), F.length(token))
+    total = F.aggregate(places, F.lit(0.0), lambda s, i: s + F.get(ratios, place(i - 1) * _SIDE + place(i)))
     return (total > LEAST_RATIO) & (total > LEAST_MEAN * F.length(token))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, base, spans``: arrays of (start, kind, end, value) by start, then kind."""
-    scanned = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text")).withColumn("base", base_spans("text"))
+    scanned = cut_lineage(scan(docs, id_col, text_col))
     model = train(scanned)
     if model is None:
         return scanned.select("doc_id", "base", F.col("base").alias("spans"))
     ratios = F.split(F.lit(",".join(f"{r:.6g}" for r in model)), ",").cast("array<double>")
     others = F.filter(
-        _spans("text", f"[A-Za-z0-9+/_=-]{{{LEAST},}}", "markov"),
+        "others",
         lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & _looks_random(s["value"], ratios),
     )
     return scanned.select("doc_id", "base", F.array_sort(F.concat("base", others)).alias("spans"))
@@ -127,9 +141,12 @@ def _listed(spans: str) -> Column:
     )
 
 
+def _counted(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+
 def with_digests(found: DataFrame) -> DataFrame:
     """``doc_id``, counts of base spans by kind, their digest, and all spans as text."""
-    counts = [
-        F.size(F.filter("base", lambda s, k=i: s["kind"] == k)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(KINDS[:3])
-    ]
-    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+    return found.select(
+        "doc_id", *map(_counted, KINDS[:3]), F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans")
+    )
