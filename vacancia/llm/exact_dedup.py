@@ -24,6 +24,8 @@ from .common import row_key, whole_text
 # Fixed value: the characters that do not count.
 WHITE = r"[\x20\x09-\x0D]+"
 HOT_GROUPS = 20_000
+#: Characters of the text that splitters are made of.
+HEAD = 32
 _COPIES = 4096
 
 
@@ -40,9 +42,14 @@ def content_groups(docs: DataFrame, hot: DataFrame, least: int) -> DataFrame:
     salts = F.broadcast(hot.select(F.col("sha").alias("hot"), F.ceil(F.col("n") / least).alias("salts")))
     salted = rows.join(salts, F.sha2("norm", 256) == F.col("hot"), "left")
     salt = F.coalesce(F.pmod(F.xxhash64("id", F.rand(7)), F.col("salts")), F.lit(0))
-    order = salted.select("norm", salt.alias("salt"), "chars", "id").repartitionByRange("norm", "salt")
-    # The range partitioning and the sort by text serve the grouping: neighbours are compared in full.
-    runs = order.groupBy("norm", "salt").agg(
+    # Splitters are sampled from the text's first bytes, with a hash to tell long common heads apart,
+    # so that no whole text goes to the driver.
+    head = ["head", "tie", "salt"]
+    order = salted.select(
+        F.substring("norm", 1, HEAD).alias("head"), F.xxhash64("norm").alias("tie"), salt.alias("salt"), "norm", "chars", "id"
+    ).repartitionByRange(*head)
+    # Range partitioning and external sort serve the grouping: neighbours are compared in full.
+    runs = order.groupBy(*head, "norm").agg(
         F.max(F.struct("chars", F.bitwise_not("id").alias("rev"))).alias("best"), F.count("*").alias("n")
     )
     return runs.groupBy(F.sha2("norm", 256).alias("sha")).agg(F.max("best").alias("best"), F.sum("n").alias("n"))
