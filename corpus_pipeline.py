@@ -37,13 +37,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, n_tokens, ids, restored``: token ids, and whether they decode to the text."""
     import public_tokenizers
 
-    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    text = F.coalesce("text", F.lit(""))
-    encoded = docs.select("doc_id", "source", text.alias("text"), bpe.encoder(spark, path, pattern)("text").alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decoder(spark, path, pattern)("ids"))
-    return decoded.select(
+    rows = docs.select("doc_id", "source", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    coded = bpe.encode_documents(
+        rows, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=("source", "digest")
+    )
+    return coded.select(
         "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.encode("text", "UTF-8")).alias("restored"),
+        (F.sha2("decoded", 256) == F.col("digest")).alias("restored"),
     )
 
 

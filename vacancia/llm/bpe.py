@@ -18,12 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from .common import Remembered, ship_file, slices, whole_text, worker_state
 
 
+#: Pre-tokens whose ids a worker remembers.
+CACHED = 500_000
 _SHIFT = {b: chr(256 + b) for b in range(256)}
 
 
@@ -86,27 +89,43 @@ def ascii_pattern(pattern: str) -> str | None:
     return out
 
 
-class Codec:
-    """Encoder and decoder of one rank file and splitting pattern."""
+class Decoder:
+    """Inverse mapping of a rank file: ids to bytes."""
 
-    def __init__(self, data: bytes, pattern: str):
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted(ranks, key=ranks.__getitem__)
+        self.size = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.start = np.zeros(len(self.size), np.int64)
+        at = [ranks[t] for t in tokens]
+        self.size[at] = [len(t) for t in tokens]
+        self.start[at] = np.cumsum([0] + [len(t) for t in tokens])[:-1]
+        self.block = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        out = []
+        for i in range(0, len(ids), 1 << 18):
+            some = ids[i : i + (1 << 18)]
+            size = self.size[some]
+            ends = np.cumsum(size)
+            out.append(self.block[np.arange(ends[-1]) + np.repeat(self.start[some] - ends + size, size)].tobytes())
+        return b"".join(out)
+
+
+class Encoder:
+    """Encoder of one rank file and splitting pattern."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
         import sentencepiece
 
-        self.ranks = read_ranks(data)
-        tokens = sorted(self.ranks, key=self.ranks.__getitem__)
+        self.ranks = ranks
         # Ids need not be gapless: piece i + 1 stands for the i-th rank.
-        self.ids = np.array([0] + [self.ranks[t] for t in tokens], np.int32)
+        self.ids = np.array([0, *sorted(ranks.values())], np.int32)
         self.split_any = regex.compile(pattern).findall
         simple = ascii_pattern(pattern)
         self.split_ascii = re.compile(simple).findall if simple else self.split_any
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(self.ranks))
-        self.known = Remembered(self.pieces)
-        self.size = np.zeros(int(self.ids.max()) + 1, np.int64)
-        self.size[self.ids[1:]] = [len(t) for t in tokens]
-        self.start = np.zeros(len(self.size), np.int64)
-        self.start[self.ids[1:]] = np.cumsum([0] + [len(t) for t in tokens])[:-1]
-        self.block = np.frombuffer(b"".join(tokens), np.uint8)
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(ranks))
+        self.known = Remembered(self.pieces, limit=CACHED)
 
     def pieces(self, words: list[str]) -> list[bytes]:
         """The ids of pre-tokens, as 32-bit numbers; a token of the vocabulary is itself."""
@@ -123,56 +142,51 @@ class Codec:
             out += [np.frombuffer(b"".join(map(get, w)), np.int32) for w in words]
         return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        out = []
-        for i in range(0, len(ids), 1 << 18):
-            some = ids[i : i + (1 << 18)]
-            size = self.size[some]
-            ends = np.cumsum(size)
-            out.append(self.block[np.arange(ends[-1]) + np.repeat(self.start[some] - ends + size, size)].tobytes())
-        return b"".join(out)
 
-
-def _codec(data, pattern: str) -> Codec:
+def _cached(data, pattern: str | None):
+    """Decoder, or encoder if there is a pattern, of the worker."""
     state, key = worker_state(), ("bpe", hash(data.value), pattern)
     if key not in state:
-        state[key] = Codec(data.value, pattern)
+        ranks = read_ranks(data.value)
+        state[key] = Decoder(ranks) if pattern is None else Encoder(ranks, pattern)
     return state[key]
 
 
-def encoder(spark: SparkSession, path: str, pattern: str):
-    """A Column function: whole text to array of ids."""
-    data = ship_file(spark, path)
+def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, ids, decoded`` of every row, and the columns to keep; batches leave in small slices."""
+    data = ship_file(docs.sparkSession, path)
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(data, pattern)
-        for texts in batches:
-            yield pd.Series(codec.encode(list(texts)), dtype=object)
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder, decoder = _cached(data, pattern), _cached(data, None)
+        for batch in batches:
+            at = 0
+            for part in slices(batch["text"]):
+                ids = encoder.encode(part)
+                rows = batch.iloc[at : at + len(part)].drop(columns="text")
+                at += len(part)
+                yield rows.assign(
+                    ids=pd.Series(ids, rows.index, dtype=object),
+                    decoded=pd.Series([decoder.decode(x) for x in ids], rows.index, dtype=object),
+                )
 
-    return lambda text: encode(whole_text(text))
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, whole_text(text_col).alias("text"))
+    schema = rows.drop("text").schema.add("ids", ArrayType(IntegerType())).add("decoded", BinaryType())
+    return rows.mapInPandas(code, schema)
 
 
-def decoder(spark: SparkSession, path: str, pattern: str):
-    """A Column function: array of ids to the bytes they stand for."""
-    data = ship_file(spark, path)
+def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
+    """The rows with ``decoded``, the bytes that their ids stand for; null ids are none."""
+    data = ship_file(rows.sparkSession, path)
 
     @F.pandas_udf("binary")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(data, pattern)
+        decoder = _cached(data, None)
         for ids in batches:
-            yield pd.Series([codec.decode(np.asarray(x)) for x in ids], dtype=object)
+            yield pd.Series([decoder.decode(np.asarray(x, np.int32)) for x in ids], dtype=object)
 
-    return decode
+    return rows.withColumn("decoded", decode(F.coalesce(ids_col, F.array().cast("array<int>"))))
 
 
-def id_text(ids: str | Column) -> Column:
+def id_text(ids: str) -> Column:
     """Decimal ids joined by one space."""
-    return F.array_join(F.col(ids).cast("array<string>") if isinstance(ids, str) else ids.cast("array<string>"), " ")
-
-
-def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids, decoded`` of every row."""
-    spark = docs.sparkSession
-    encoded = docs.select(F.col(id_col).alias("doc_id"), encoder(spark, path, pattern)(text_col).alias("ids"))
-    return encoded.withColumn("decoded", decoder(spark, path, pattern)("ids"))
+    return F.array_join(F.col(ids).cast("array<string>"), " ")
