@@ -101,8 +101,9 @@ def quality_scores(
     n_marks = marks.count()
     share = min(1.0, training_rows / max(1, n_marks))
     parts = -(-int(n_marks * share) // PART_ROWS) or 1
-    chosen = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(1 << 20)) < int(share * (1 << 20))
-    weights = train(labelled(docs.where(chosen), marks, FOLDS, HELD_OUT, id_col, text_col), parts)
+    chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    # About TRAINING_ROWS identifiers at most, so texts need not be shuffled to meet them.
+    weights = train(labelled(docs, F.broadcast(marks.where(chosen)), FOLDS, HELD_OUT, id_col, text_col), parts)
     model = ship(spark, weights, weights.nbytes)
 
     @F.pandas_udf("double")
