@@ -113,29 +113,30 @@ def word_hashes(lists: list[list[bytes]]) -> list[np.ndarray]:
     return [np.fromiter(map(get, words), np.uint64, len(words)) for words in lists]
 
 
+def compact(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """Checkpoint a table, and read it in as many partitions as its rows deserve."""
+    kept = cut_lineage(df)
+    return kept.coalesce(max(1, -(-kept.count() // rows)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component), the smallest id reachable.
 
-    Every round gives each node, and the node its label points at, the least label found next to
-    them, then follows the labels once. Labels shrink along trees, so rounds grow with the
-    logarithm of the longest path. All state stays in distributed, checkpointed tables; null ids
-    have no edges.
+    Every round gives each node the least label found next to it, then follows the labels once, so
+    that labels reach twice as far each time. All state stays in distributed, checkpointed tables;
+    null ids have no edges.
     """
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    both = cut_lineage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")))
+    both = compact(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    labels = compact(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")))
     while True:
         near = (
             both.join(labels.select(F.col("id").alias("b"), "component"), "b")
             .groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m"))
         )
-        own = labels.join(near, "id").select("id", "component", F.least("component", "m").alias("m"))
-        offers = own.select("id", "m").union(own.select(F.col("component").alias("id"), "m"))
-        hooked = offers.groupBy("id").agg(F.min("m").alias("m"))
-        hooked = cut_lineage(hooked)
-        after = hooked.select(F.col("id").alias("m"), F.col("m").alias("component"))
-        jumped = cut_lineage(hooked.join(after, "m").select("id", "component"))
-        moved = jumped.join(labels.withColumnRenamed("component", "m"), "id").where("component <> m")
-        if moved.isEmpty():
-            return jumped
-        labels = jumped
+        hooked = compact(labels.join(near, "id").select("id", "component", F.least("component", "m").alias("m")))
+        after = hooked.select(F.col("id").alias("m"), F.col("m").alias("component2"))
+        jumped = compact(hooked.join(after, "m").select("id", F.col("component2").alias("component"), (F.col("component") != F.col("component2")).alias("moved")))
+        labels = jumped.drop("moved")
+        if jumped.where("moved").isEmpty():
+            return labels

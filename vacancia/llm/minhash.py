@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import components, mix, slices, whole_text, word_hashes, worker_state
+from .common import compact, components, mix, slices, whole_text, word_hashes, worker_state
 
 BANDS, ROWS = 40, 5
-STARS = 4
+STARS = 2
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,22 +146,26 @@ def link_members(members: DataFrame, sets: DataFrame, per_cent: int, stars: int
                 .selectExpr("least(id, centre.id) AS a", "greatest(id, centre.id) AS b")
             )
         else:
-            open_rows = cut_lineage(rows.join(split.select("key"), "key"))
-            other = open_rows.selectExpr("key", "id AS id2", "n AS n2", "component AS component2")
+            open_rows = compact(rows.join(split.select("key"), "key"))
+            # A pair comes out of the least of its common buckets alone.
+            buckets = open_rows.groupBy("id").agg(F.collect_set("key").alias("keys"))
+            open_rows = open_rows.join(buckets, "id")
+            other = open_rows.selectExpr("key", "id AS id2", "n AS n2", "component AS component2", "keys AS keys2")
+            once = "key = array_min(array_intersect(keys, keys2))"
             pairs = (
-                open_rows.join(other, "key").where(f"component < component2 AND {_fits('n', 'n2', per_cent)}")
+                open_rows.join(other, "key").where(f"component < component2 AND {_fits('n', 'n2', per_cent)} AND {once}")
                 .selectExpr("least(id, id2) AS a", "greatest(id, id2) AS b")
             )
         pairs = pairs.distinct()
         for done in tested:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
+        pairs = compact(pairs)
         if pairs.isEmpty():
             if turn == stars:
                 break
             continue
         tested.append(pairs)
-        found = cut_lineage(_confirmed(pairs, sets, per_cent))
+        found = compact(_confirmed(pairs, sets, per_cent))
         links.append(found)
         if turn < stars:
             labels = components(reduce(DataFrame.union, links))

@@ -36,13 +36,13 @@ from .common import Remembered, mix, row_key, ship, slices, whole_text, worker_s
 from .learning import fold, labelled, teaching_labels
 
 #: Characters of an n-gram in the class models, and in the shared distribution that they fall back to.
-ORDER, SHARED = 8, 5
+ORDER, SHARED = 8, 3
 #: Absolute discount of the class models: so many occurrences in a class prove nothing.
 DISCOUNT, EXCESS = 2, 2.0
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-MODEL_ENTRIES = 3_000_000
+MODEL_ENTRIES = 400_000
 #: Share of the labelled rows that fit the curve, and their number at most.
-CALIBRATION, CALIBRATION_ROWS = 0.2, 50_000
+CALIBRATION, CALIBRATION_ROWS = 0.2, 20_000
 _PAD, _END = "\x02", "\x03"
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -121,7 +121,7 @@ def shared_backoff(grams: DataFrame) -> DataFrame:
     return p
 
 
-def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+def log_ratios(grams: DataFrame) -> DataFrame:
     """``gram, seen, r`` of n-grams and of contexts: log of toxic over ordinary probability.
 
     An n-gram within the discount in both classes has its context's ratio, and a context of only
@@ -142,10 +142,8 @@ def log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     pt = f"CASE WHEN nt > 0 THEN greatest(t - {DISCOUNT}, 0) / nt ELSE 0D END + lt * p"
     po = f"CASE WHEN no > 0 THEN greatest(o - {DISCOUNT}, 0) / no ELSE 0D END + lo * p"
-    return (
-        full.selectExpr("gram", "t + o AS seen", f"CAST(ln(({pt}) / ({po})) AS FLOAT) AS r"),
-        contexts.selectExpr("context AS gram", "nt + no AS seen", "CAST(ln(lt / lo) AS FLOAT) AS r"),
-    )
+    ratios = full.selectExpr("gram", "t + o AS seen", f"CAST(ln(({pt}) / ({po})) AS FLOAT) AS r")
+    return ratios.union(contexts.selectExpr("context AS gram", "nt + no AS seen", "CAST(ln(lt / lo) AS FLOAT) AS r"))
 
 
 def _collected(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,39 +153,39 @@ def _collected(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
     def key(grams: pd.Series) -> pd.Series:
         if not len(grams):
             return pd.Series([], dtype="int64")
-        codes = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes = codes.astype(np.uint64).reshape(len(grams), -1)
+        # n-grams and contexts differ in length: pad in front, and leave out what was padded.
+        codes = np.frombuffer("".join(g.rjust(ORDER, "\0") for g in grams).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = codes.astype(np.uint64).reshape(len(grams), ORDER)
         keys = np.full(len(codes), ORDER, np.uint64)
-        for i in range(codes.shape[1]):
-            keys = mix(keys * _FACTOR + codes[:, i])
+        for i in range(ORDER):
+            keys = np.where(codes[:, i] > 0, mix(keys * _FACTOR + codes[:, i]), keys)
         return pd.Series(keys.view(np.int64))
 
     rows, least = cut_lineage(rows.select("seen", "r", key("gram").alias("key"))), 1
     while rows.where(F.col("seen") >= least).count() > entries:
         least *= 2
-    table = rows.where(F.col("seen") >= least).select("key", "r").toPandas()
-    keys = table["key"].to_numpy(np.int64).view(np.uint64)
+    table = rows.where(F.col("seen") >= least).select("key", "r").toArrow()
+    keys = table["key"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], table["r"].to_numpy(np.float32)[order]
+    return keys[order], table["r"].to_numpy().astype(np.float32)[order]
 
 
 class Ratios:
-    """Summed log ratios of words, from two sorted tables of hashes."""
+    """Summed log ratios of words, from sorted hashes of n-grams and contexts."""
 
-    def __init__(self, grams: tuple[np.ndarray, np.ndarray], contexts: tuple[np.ndarray, np.ndarray]):
-        self.tables = grams, contexts
+    def __init__(self, keys: np.ndarray, ratios: np.ndarray):
+        self.keys, self.ratios = keys, ratios
         self.known = Remembered(self.words)
 
     def words(self, words: list[str]) -> list[float]:
         _, _, owner, grams, contexts = ngram_hashes(words)
         value = np.zeros(len(grams))
         found = np.zeros(len(grams), bool)
-        for wanted, (keys, r) in zip((grams, contexts), self.tables):
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                hit = (keys[at] == wanted) & ~found
-                value[hit] = r[at[hit]]
-                found |= hit
+        for wanted in (grams, contexts) if len(self.keys) else ():
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            hit = (self.keys[at] == wanted) & ~found
+            value[hit] = self.ratios[at[hit]]
+            found |= hit
         return np.bincount(owner, value, len(words)).tolist()
 
     def describe(self, texts: list[str]) -> list[list[float]]:
@@ -226,13 +224,14 @@ def toxicity_scores(
     marks = teaching_labels(labels, label, FOLDS, HELD_OUT)
     share = min(CALIBRATION, CALIBRATION_ROWS / max(1, marks.count()))
     spared = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    rows = labelled(docs, marks.where(~spared), FOLDS, HELD_OUT, id_col, text_col)
-    tables = [_collected(t, entries) for t in log_ratios(cut_lineage(count_ngrams(rows)))]
-    model = ship(spark, tables, sum(a.nbytes for t in tables for a in t))
+    # The same join at every size.
+    rows = labelled(docs, marks.where(~spared).hint("merge"), FOLDS, HELD_OUT, id_col, text_col)
+    table = _collected(log_ratios(cut_lineage(count_ngrams(rows))), entries)
+    model = ship(spark, table, sum(a.nbytes for a in table))
 
     @F.pandas_udf("array<double>")
     def describe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        state, key = worker_state(), ("ratios", len(model.value[0][0]), float(model.value[0][1].sum()), float(model.value[1][1].sum()))
+        state, key = worker_state(), ("ratios", len(model.value[0]), model.value[1].tobytes()[:4096], float(model.value[1].sum()))
         if key not in state:
             state[key] = Ratios(*model.value)
         for texts in batches:
