@@ -265,7 +265,7 @@ def provenance_filter(i):
 @query(
     "csv_jobs",
     L2 + """ SELECT job_id, array_to_string(sources, '|') AS sources, title, company, location, location_city, location_postcode, salary_text, salary_min,
-    salary_max, salary_period, job_type, posted_at, expires_at, apply_url, hash FROM us""", DUP)
+    salary_max, salary_period, job_type, posted_at, expires_at, apply_url, scraped_at FROM us""", DUP)
 def csv_jobs(i):
     return export.jobs_csv(_l2(i))
 

@@ -76,13 +76,18 @@ def norm_name(c: Column) -> Column:
     return strip(F.regexp_replace(flat, suffix, ""))
 
 
-def content_hash(title: Column, company: Column, location: Column, job_id: Column) -> Column:
+def content_key(title: Column, company: Column, location: Column, job_id: Column) -> Column:
+    """Normalised title, company and place; the identifier if all are empty."""
     t, c, l = norm_name(title), norm_name(company), norm_name(location)
     blank = (t == "") & (c == "") & (l == "")
-    key = F.when(
+    return F.when(
         blank, F.concat(F.lit("__fallback__|"), F.coalesce(job_id, F.lit("")))
     ).otherwise(F.concat_ws("|", t, c, l))
-    return F.substring(F.md5(key), 1, 12)
+
+
+def content_hash(title: Column, company: Column, location: Column, job_id: Column) -> Column:
+    """Short digest of the content key, an output column; merging uses the whole key."""
+    return F.substring(F.md5(content_key(title, company, location, job_id)), 1, 12)
 
 
 def clean_email(raw: Column) -> Column:

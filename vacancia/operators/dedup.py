@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import content_hash, norm_name
+from ..functions.text import content_hash, content_key, norm_name
 from ..schema import JOB_TRACKED, POSTINGS, conform, filled, filled_sql
 from ..session import cut_lineage
 from .fuzzy import THRESHOLD, title_leaders
@@ -126,7 +126,8 @@ def _start(df: DataFrame) -> DataFrame:
 
 
 def _level2(slim: DataFrame) -> DataFrame:
-    return merge_groups(slim.withColumn("_key", F.col("hash")), ["_key"]).drop("_key")
+    key = content_key(F.col("title"), F.col("company"), F.col("location"), F.col("job_id"))
+    return merge_groups(slim.withColumn("_key", key), ["_key"]).drop("_key")
 
 
 def company_titles(df: DataFrame, match_location: bool = False, blank_company: str = "group") -> DataFrame:

@@ -14,7 +14,7 @@ from .quality import export_totals, with_contact_flags
 JOB_CSV = [
     "job_id", "sources", "title", "company", "location", "location_city", "location_postcode",
     "salary_text", "salary_min", "salary_max", "salary_period", "job_type", "posted_at",
-    "expires_at", "apply_url", "hash",
+    "expires_at", "apply_url", "scraped_at",
 ]
 CONTACT_CSV = [
     "company", "phone_numbers", "emails", "contact_person", "address", "company_website",
