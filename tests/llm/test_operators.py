@@ -1,6 +1,7 @@
 """Operators against brute force on small tables: nulls, empty and long texts, ties, repeats, empty tables."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -122,6 +123,27 @@ def test_chain_of_near_copies(spark):
     assert {r["component_id"] for r in found if r["doc_id"] < 40} == {0}
 
 
+def test_near_copies_against_all_pairs(spark):
+    """A group around a text that is not in the table: stars alone do not join it."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join(rng.choice("xyz") + str(rng.randrange(4)) if rng.random() < 0.03 else w for w in base)) for i in range(120)]
+    sets = {i: {tuple(t.split()[j : j + 4]) for j in range(87)} for i, t in rows}
+    label = {i: i for i in sets}
+    for a in sets:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if x == high else x for i, x in label.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, k=4).collect()} == label
+    own = docs.selectExpr("doc_id AS id", "doc_id AS component")
+    hashes = [(i, [hash(x) % 2**62 for x in s]) for i, s in sets.items()]
+    found = minhash.rare_shingle_pairs(own, spark.createDataFrame(hashes, "id long, hashes array<bigint>"), 80)
+    similar = {(b, a) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert similar <= {(r["a"], r["b"]) for r in found.collect()}
+
+
 def test_classifiers(spark, nothing):
     words = [" ".join(f"plain{(i * 7 + j * 3) % 50}" for j in range(30)) for i in range(300)]
     rows = [(i, w + (" nasty rotten nasty" if i % 3 == 0 else ""), "s", 0, "") for i, w in enumerate(words)]

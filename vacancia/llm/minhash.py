@@ -7,9 +7,9 @@ Sets of one bucket become candidates through a star around one of them, and ever
 confirmed on full sets. A miss needs all bands to differ: about one pair in 100,000 at similarity 0.8.
 
 * Equal sets are collapsed first; copies cost nothing afterwards.
-* A star leaves out pairs of its rays. Buckets whose members are not yet in one component get
-  further stars around other members, and after ``STARS`` rounds every untested pair of different
-  components in a bucket is tested. No bucket, partner or candidate is capped.
+* A star leaves out pairs of its rays. What buckets hold in several components after ``STARS`` rounds
+  goes through an exact search by rare shingles, which leaves out only pairs that cannot be similar.
+  No bucket, partner or candidate is capped.
 * Hot buckets are found by counts that combine map-side, and joined by equi joins that adaptive
   execution may split.
 
@@ -27,13 +27,14 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import compact, components, mix, slices, whole_text, word_hashes, worker_state
 
 BANDS, ROWS = 40, 5
-STARS = 2
+STARS = 1
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -125,16 +126,44 @@ def _fits(n: str, m: str, per_cent: int) -> str:
     return f"100 * least({n}, {m}) >= {per_cent} * greatest({n}, {m})"
 
 
+def rare_shingle_pairs(rows: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Every pair (a, b) of different components among ``rows`` (id, component) that can reach the threshold.
+
+    With the shingles of each set ordered from rare to common, two similar sets share one near the
+    front of both: as many shingles as follow their first shared one must be enough for the threshold.
+    """
+    held = rows.join(sets, "id").select("id", "component", F.size("hashes").alias("n"), F.explode("hashes").alias("key"))
+    # A shingle of one set alone keeps a place at the front and pairs nothing.
+    common = held.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    own = W.partitionBy("id")
+    place = F.row_number().over(own.orderBy("df", "key")) + F.col("n") - F.count("*").over(own)
+    front = compact(
+        held.join(common, "key").withColumn("place", place).where(f"100 * (n - place + 1) >= {per_cent} * n").drop("df")
+    )
+    # Each pair has a member outside the most frequent component: its rows never meet each other.
+    counts = front.groupBy("key", "component").agg(F.count("*").alias("c"))
+    split = counts.groupBy("key").agg(
+        F.expr("max_by(component, struct(c, component))").alias("top"), F.count("*").alias("kinds")
+    ).where("kinds > 1").drop("kinds")
+    left = front.join(split, "key").where("component <> top")
+    right = front.selectExpr("key", "id AS id2", "component AS component2", "n AS n2", "place AS place2")
+    reach = f"{100 + per_cent} * (1 + least(n - place, n2 - place2)) >= {per_cent} * (n + n2)"
+    return left.join(right, "key").where(
+        f"(component2 = top OR component < component2) AND {_fits('n', 'n2', per_cent)} AND {reach}"
+    ).selectExpr("least(id, id2) AS a", "greatest(id, id2) AS b")
+
+
 def link_members(members: DataFrame, sets: DataFrame, per_cent: int, stars: int = STARS) -> DataFrame:
-    """Links (a, b) that join all similar members of buckets (key, id, n) into components."""
+    """Links (a, b) that join all similar members of buckets (key, id, n, weight) into components."""
     labels, tested, links = None, [], []
     for turn in range(stars + 1):
         if labels is None:
             rows = members.withColumn("component", F.col("id"))
         else:
             rows = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        # The same order of members in all buckets makes stars of different bands coincide.
-        turn_order = "id" if turn == 0 else f"xxhash64(id, {turn})"
+        # The same order of members in all buckets makes stars of different bands coincide. The member
+        # that meets most others is nearest to the middle of its group.
+        turn_order = "-weight" if turn == 0 else f"xxhash64(id, {turn})"
         split = rows.groupBy("key").agg(
             F.expr(f"min_by(struct(id, n, component), struct({turn_order}, id))").alias("centre"),
             F.min("component").alias("low"), F.max("component").alias("high"),
@@ -146,23 +175,14 @@ def link_members(members: DataFrame, sets: DataFrame, per_cent: int, stars: int
                 .selectExpr("least(id, centre.id) AS a", "greatest(id, centre.id) AS b")
             )
         else:
-            open_rows = compact(rows.join(split.select("key"), "key"))
-            # A pair comes out of the least of its common buckets alone.
-            buckets = open_rows.groupBy("id").agg(F.collect_set("key").alias("keys"))
-            open_rows = open_rows.join(buckets, "id")
-            other = open_rows.selectExpr("key", "id AS id2", "n AS n2", "component AS component2", "keys AS keys2")
-            once = "key = array_min(array_intersect(keys, keys2))"
-            pairs = (
-                open_rows.join(other, "key").where(f"component < component2 AND {_fits('n', 'n2', per_cent)} AND {once}")
-                .selectExpr("least(id, id2) AS a", "greatest(id, id2) AS b")
+            pairs = rare_shingle_pairs(
+                compact(rows.join(split.select("key"), "key").select("id", "component").distinct()), sets, per_cent
             )
         pairs = pairs.distinct()
         for done in tested:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = compact(pairs)
         if pairs.isEmpty():
-            if turn == stars:
-                break
             continue
         tested.append(pairs)
         found = compact(_confirmed(pairs, sets, per_cent))
@@ -184,8 +204,9 @@ def near_duplicates(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")
     )
     keyed = reps.select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    members = cut_lineage(keyed.join(shared, "key").select("key", "id", "n"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    weight = F.sum("m").over(W.partitionBy("id"))
+    members = cut_lineage(keyed.join(shared, "key").select("key", "id", "n", weight.alias("weight")))
     sets = cut_lineage(full_sets(texts, members.select("id").distinct(), k))
     found = components(link_members(members, sets, per_cent))
     groups = (
