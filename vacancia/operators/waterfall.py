@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import CONTACTS, conform, has_items
@@ -36,24 +36,26 @@ def gate_parts(parts: DataFrame) -> DataFrame:
     return parts.join(gate, "company").where(keep).select(*parts.columns)
 
 
-def seed_parts(seeds: DataFrame) -> DataFrame:
+def seed_parts(seeds: DataFrame, enriched_at: Column | None = None) -> DataFrame:
     """Seeds count as a part only when they carry a value."""
-    return as_parts(seeds, PRIORITY["seed"]).where(has_items("phone_numbers") | has_items("emails"))
+    return as_parts(seeds, PRIORITY["seed"], enriched_at).where(has_items("phone_numbers") | has_items("emails"))
 
 
-def run_waterfall(companies: DataFrame, seeds: DataFrame, enrichers: list[tuple[int, Enricher]]) -> DataFrame:
+def run_waterfall(
+    companies: DataFrame, seeds: DataFrame, enrichers: list[tuple[int, Enricher]], enriched_at: Column | None = None,
+) -> DataFrame:
     """Consult each enricher with the companies still lacking data; returns all parts.
 
     ``enrichers`` are (priority, function of companies giving contact fields). Each stage's parts
-    are checkpointed: they decide who enters the next stage.
+    are checkpointed: they decide who enters the next stage. ``enriched_at`` stamps what has no time of its own.
     """
-    parts = cut_lineage(seed_parts(seeds))
+    parts = cut_lineage(seed_parts(seeds, enriched_at))
     for priority, enrich in sorted(enrichers, key=lambda e: e[0]):
         done = parts.groupBy("company").agg(
             F.max(has_items("phone_numbers")).alias("p"), F.max(has_items("emails")).alias("e")
         ).where("p AND e").select("company")
         pending = companies.join(done, "company", "left_anti")
-        found = cut_lineage(as_parts(enrich(pending), priority))
+        found = cut_lineage(as_parts(enrich(pending), priority, enriched_at))
         parts = parts.unionByName(found)
     return parts
 

@@ -35,6 +35,10 @@ class RunOptions:
     def now(self) -> Column:
         return F.current_timestamp() if self.as_of is None else self.as_of
 
+    def stamp(self) -> Column:
+        """The run's time as contacts store it, so that a later run finds them fresh."""
+        return F.date_format(self.now(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
 
 @dataclass
 class RunResult:
@@ -71,9 +75,9 @@ def prepare(raw: DataFrame, options: RunOptions, seen: DataFrame | None = None)
     return clean(out)
 
 
-def seed_only_contacts(postings: DataFrame) -> DataFrame:
+def seed_only_contacts(postings: DataFrame, enriched_at: Column | None = None) -> DataFrame:
     """Contacts mined from the postings alone."""
-    return merge_contacts(seed_parts(seed_contacts(postings)))
+    return merge_contacts(seed_parts(seed_contacts(postings), enriched_at))
 
 
 def enrich(postings: DataFrame, options: RunOptions, cached: DataFrame | None = None) -> DataFrame:
@@ -81,12 +85,12 @@ def enrich(postings: DataFrame, options: RunOptions, cached: DataFrame | None =
     companies = cut_lineage(first_company_rep(postings))
     seeds = cut_lineage(seed_contacts(postings))
     if cached is None:
-        return contacts_for(companies, run_waterfall(companies, seeds, options.enrichers))
+        return contacts_for(companies, run_waterfall(companies, seeds, options.enrichers, options.stamp()))
     fresh, _ = split_cache(conform(cached, CONTACTS), options.cache_days, options.now())
     fresh = fresh.join(companies.select("company"), "company", "left_semi")
     todo = companies.join(fresh.select("company"), "company", "left_anti")
     rest = seeds.join(todo.select("company"), "company", "left_semi")
-    looked_up = contacts_for(todo, run_waterfall(todo, rest, options.enrichers))
+    looked_up = contacts_for(todo, run_waterfall(todo, rest, options.enrichers, options.stamp()))
     return conform(cached_contacts(fresh, seeds), CONTACTS).unionByName(looked_up)
 
 
@@ -101,7 +105,7 @@ def run(
     if options.enrichers or cached is not None:
         contacts = enrich(postings, options, cached)
     else:
-        contacts = seed_only_contacts(postings)
+        contacts = seed_only_contacts(postings, options.stamp())
     return RunResult(postings, contacts, raw)
 
 
