@@ -306,7 +306,7 @@ def card_extract(i):
 @query(
     "job_page_extract",
     f"""SELECT page_id, 'P' || CAST(page_id AS VARCHAR) AS job_id,
-        substr(nullif({duck.text_of("regexp_extract(html, '(?is)<article>(.*?)</article>', 1)")}, ''), 1, 3000) AS description FROM pages""")
+        nullif({duck.text_of("regexp_extract(html, '(?is)<article>(.*?)</article>', 1)")}, '') AS description FROM pages""")
 def job_page_extract(i):
     body = F.regexp_extract("html", r"(?is)<article>(.*?)</article>", 1)
     nested = F.concat(F.lit('<body><div id="jobDescriptionText"><div>'), body, F.lit("</div></div><div>apply</div></body>"))

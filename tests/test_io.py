@@ -6,7 +6,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from vacancia.operators import export
+from vacancia import schema
+from vacancia.operators import dedup, export
 from vacancia.operators.upsert import KeyedTable
 from vacancia.plans import runs
 from vacancia.sources import listings
@@ -26,6 +27,40 @@ def test_listing_files(spark, tmp_path):
     assert sorted(r.reject_reason for r in rejects.collect()) == ["missing_job_id", "missing_title", "unreadable"]
 
 
+def test_bad_items_leave_the_others_of_their_file(spark, tmp_path):
+    good = {"job_id": "1", "title": "T"}
+    long = {"job_id": "2", "title": "L", "description": "x" * 5000 + " 020 7946 0018"}
+    bodies = [{"jobs": [good, "junk", None]}, [5, long, [good]], {"foo": 1}, {"jobs": "x"}]
+    for n, body in enumerate(bodies):
+        (tmp_path / f"{n}.json").write_text(json.dumps(body))
+    (tmp_path / "4.json").write_text(" ")
+    (tmp_path / "5.json").write_text("")
+    kept, rejects = listings.load_listings(spark, str(tmp_path))
+    rows = {r.job_id: r for r in kept.collect()}
+    assert sorted(rows) == ["1", "2"] and rows["2"].description == long["description"]
+    assert rows["1"].ord == 0 and rows["2"].ord == (1 << schema.ITEM_BITS) + 1
+    bad = rejects.collect()
+    assert {r.reject_reason for r in bad} == {"unreadable"}
+    assert sorted((r.file[-6:], r.pos) for r in bad) == [
+        ("0.json", 1), ("0.json", 2), ("1.json", 0), ("1.json", 2), ("3.json", 0), ("4.json", 0)]
+    texts = spark.createDataFrame([(n, json.dumps(b)) for n, b in enumerate(bodies)] + [(9, None)], "n int, body string")
+    parsed = listings.parse_listing_text(texts).collect()
+    assert sorted((r.n, r.pos, r.job_id) for r in parsed if r._corrupt_record is None) == [(0, 0, "1"), (1, 1, "2")]
+    assert sum(r._corrupt_record is not None for r in parsed) == 5
+
+
+def test_ordinals_of_many_files_and_repeated_ordinals(spark):
+    far = spark.createDataFrame([(200_000 << schema.ITEM_BITS,)], "ord bigint")
+    first = spark.createDataFrame([(0,)], "ord bigint")
+    assert schema.union_sources(far, first).distinct().count() == 2
+    with pytest.raises(Exception, match="over its range"):
+        schema.union_sources(spark.createDataFrame([(1 << 50,)], "ord bigint")).collect()
+    rows = [(7, "a", "1", "Nurse", "A", "text of a"), (7, "b", None, "Cook", "B", "text of b"), (7, "c", "3", "Cook", "C", None)]
+    df = spark.createDataFrame(rows, "ord bigint, source string, job_id string, title string, company string, description string")
+    out = {(r.source, r.description) for r in dedup.deduplicate(df, levels=2).collect()}
+    assert out == {("a", "text of a"), ("b", "text of b"), ("c", None)}
+
+
 def test_inbox_over_out_of_order_files(spark, tmp_path):
     src, schema = tmp_path / "in", "source string, job_id string, title string, ord bigint"
     rows = [[("s", "1", "new", 5), ("s", None, "x", 6)], [("s", "1", "old", 2), ("s", "2", "two", 3)]]

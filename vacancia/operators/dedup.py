@@ -66,13 +66,17 @@ def with_hash(df: DataFrame) -> DataFrame:
     )
 
 
+# The key of level 1 and the ordinal: postings that share an ordinal keep their own texts.
+_REF = ["source", "job_id", "ord"]
+
+
 def _slim(df: DataFrame) -> DataFrame:
-    ref = F.struct(F.col("ord").alias("ref"), filled("description").alias("filled"))
+    ref = F.struct(F.struct(*_REF).alias("ref"), filled("description").alias("filled"))
     return df.withColumn("description", F.when(F.col("description").isNotNull(), ref))
 
 
 def _restore(slim: DataFrame, full: DataFrame) -> DataFrame:
-    texts = full.select(F.col("ord").alias("_ref"), F.col("description").alias("_text"))
+    texts = full.where(F.col("description").isNotNull()).select(F.struct(*_REF).alias("_ref"), F.col("description").alias("_text"))
     out = slim.withColumn("_ref", F.col("description.ref")).join(texts, "_ref", "left")
     return out.withColumn("description", F.col("_text"))
 
@@ -85,7 +89,8 @@ def merge_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     """
     columns = [c for c in df.columns if c not in keys]
     order = "_order"
-    rows = df.withColumn(order, F.expr(f"struct(-({_completeness(slim=True)}) AS s, ord AS o)"))
+    # Source and id keep the choice of one record when ordinals repeat.
+    rows = df.withColumn(order, F.expr(f"struct(-({_completeness(slim=True)}) AS s, ord AS o, source AS p, job_id AS j)"))
     held = {n: f"{n} IS NOT NULL" for n in FILL_WHEN_NULL}
     held |= {n: f"coalesce(size({n}), 0) > 0" for n in FILL_WHEN_EMPTY}
 

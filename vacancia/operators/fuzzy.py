@@ -40,15 +40,16 @@ def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
 def _against_leaders(rows: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
     """Rows against the leaders before them in their buckets; hot buckets are spread over salts."""
     early = leaders.select(
-        "bucket", F.col("tid").alias("early"), F.col("title").alias("early_title"),
+        "bucket", "company_key", F.col("tid").alias("early"), F.col("title").alias("early_title"),
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
     )
     late = rows.select(
-        "bucket", F.col("tid").alias("late"), F.col("title").alias("late_title"),
+        "bucket", "company_key", F.col("tid").alias("late"), F.col("title").alias("late_title"),
         F.pmod(F.hash("tid"), F.col("salts")).alias("salt"),
         *[c for c in ("known",) if c in rows.columns],
     )
-    pairs = early.join(late, ["bucket", "salt"]).where(F.col("early") < F.col("late"))
+    # Buckets are hashes: the company itself is compared too.
+    pairs = early.join(late, ["bucket", "salt", "company_key"]).where(F.col("early") < F.col("late"))
     if "known" in rows.columns:
         pairs = pairs.where(F.col("early") < F.col("known"))
     return _similar(pairs.select("early", "early_title", "late", "late_title"), threshold)
@@ -64,7 +65,7 @@ def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int =
     keys = signatures(threshold)
     keyed = titles.select(
         "tid", "title", F.explode(keys(F.col("title"))).alias("sig"), "company_key"
-    ).select("tid", "title", F.xxhash64("company_key", "sig").alias("bucket"))
+    ).select("tid", "title", "company_key", F.xxhash64("company_key", "sig").alias("bucket"))
     members = cut_lineage(shared_buckets(keyed))
 
     undecided, absorbed = members, []
@@ -75,9 +76,9 @@ def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int =
         total = undecided.groupBy("tid").agg(F.count("*").alias("n_all"))
         whole = seen.join(total, "tid").where(F.col("n_front") == F.col("n_all")).select("tid")
 
-        a = front.select("bucket", F.col("tid").alias("early"), F.col("title").alias("early_title"))
-        b = front.select("bucket", F.col("tid").alias("late"), F.col("title").alias("late_title"))
-        inside = a.join(b, "bucket").where(F.col("early") < F.col("late")).drop("bucket")
+        a = front.select("bucket", "company_key", F.col("tid").alias("early"), F.col("title").alias("early_title"))
+        b = front.select("bucket", "company_key", F.col("tid").alias("late"), F.col("title").alias("late_title"))
+        inside = a.join(b, ["bucket", "company_key"]).where(F.col("early") < F.col("late")).drop("bucket", "company_key")
         blocked = _similar(inside, threshold).select(F.col("late").alias("tid"))
         leaders = cut_lineage(whole.join(blocked, "tid", "left_anti"))
 

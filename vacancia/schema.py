@@ -114,10 +114,24 @@ def filled_sql(field: T.StructField) -> str:
     return f"({field.name} IS NOT NULL)"
 
 
+#: Bits of an ordinal: items of a file below, files of a batch in the middle, batches above.
+ITEM_BITS, FILE_BITS, BATCH_BITS = 26, 24, 13
+
+
+def packed(high: Column, low: Column, bits: int, high_bits: int) -> Column:
+    """``high`` above ``bits`` bits of ``low``; a number that does not fit ends the job."""
+
+    def checked(c: Column, size: int) -> Column:
+        over = F.concat(F.lit("ordinal part over its range: "), c.cast("string"))
+        return F.when(c.between(0, (1 << size) - 1), c.cast("bigint")).when(c.isNotNull(), F.raise_error(over).cast("bigint"))
+
+    return checked(high, high_bits) * F.lit(1 << bits) + checked(low, bits)
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """Bag union of source batches. ``ord`` becomes (batch position, position in batch)."""
-    out = None
+    out, bits = None, FILE_BITS + ITEM_BITS
     for rank, df in enumerate(frames):
-        ranked = df.withColumn("ord", F.lit(rank).cast("bigint") * F.lit(1 << 50) + F.col("ord"))
+        ranked = df.withColumn("ord", packed(F.lit(rank), F.col("ord"), bits, BATCH_BITS))
         out = ranked if out is None else out.unionByName(ranked, allowMissingColumns=True)
     return out

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
-from ..schema import POSTINGS, conform, filled, first_filled
+from ..schema import FILE_BITS, ITEM_BITS, POSTINGS, conform, filled, first_filled, packed
+from ..session import cut_lineage
 
 _TEXT = [
     "job_id", "source", "title", "company", "company_url", "location", "location_city",
@@ -17,55 +19,69 @@ _TEXT = [
 ]
 # Everything is read as text, so one odd value never rejects a row; the normaliser casts.
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in _TEXT])
-_FILE = T.StructType(
-    RAW.fields
-    + [
-        T.StructField("jobs", T.ArrayType(RAW)),
-        T.StructField("_corrupt_record", T.StringType()),
-    ]
-)
-
-
-def _one_slash(path: Column) -> Column:
-    """Paths are spelled file:/x or file:///x depending on who lists them."""
-    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+_BAD = T.StructField("_corrupt_record", T.StringType())
+_ITEM = T.StructType([*RAW.fields, _BAD])
+_ENVELOPE = T.StructType([T.StructField("jobs", T.ArrayType(T.StringType())), _BAD])
+
+
+def _file_ranks(files: DataFrame) -> DataFrame:
+    """``file, rank``: positions of distinct names in their order, counted from 0 without one task for all."""
+    placed = cut_lineage(
+        files.distinct().repartitionByRange("file").sortWithinPartitions("file").select(
+            "file", F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("i"),
+        )
+    )
+    # One row per partition of the sort.
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = placed.groupBy("part").agg(F.count("*").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    return placed.join(starts, "part").select("file", (F.col("start") + F.col("i")).alias("rank"))
 
 
 def read_listing_files(spark: SparkSession, path: str) -> DataFrame:
     """Raw rows of every file below ``path`` with ``ord`` = (file position, position in file).
 
-    One reader serves both shapes: an array file gives its elements as rows, an envelope gives
-    one row whose ``jobs`` are unnested. File ranks come from the file listing, which the scan
-    holds anyway.
+    Items come as in ``parse_listing_text``, with their ``file`` and ``pos``. The names are ranked
+    from a listing that reads no contents. A file of no bytes gives no rows, as in Spark's readers.
     """
-    raw = spark.read.schema(_FILE).json(path, multiLine=True, mode="PERMISSIVE")
-    files = spark.createDataFrame(
-        [(name, rank) for rank, name in enumerate(sorted(raw.inputFiles()))], "file string, rank bigint"
-    ).withColumn("file", _one_slash(F.col("file")))
-    single = F.array(F.struct(*_TEXT))
-    rows = (
-        raw.select("*", _one_slash(F.input_file_name()).alias("file"))
-        .select("file", "_corrupt_record", F.explode(F.coalesce("jobs", single)).alias("r"))
-        .withColumn("seq", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .select("file", "_corrupt_record", "seq", "r.*")
-    )
-    # The id is taken on the scan itself, before any shuffle, so it follows the file's own order.
-    return rows.join(files, "file").withColumn("ord", F.col("rank") * F.lit(1 << 33) + F.col("seq")).drop(
-        "file", "rank", "seq"
-    )
+    name = F.col("_metadata.file_path").alias("file")
+    ranks = _file_ranks(spark.read.format("binaryFile").load(path).select(name))
+    rows = parse_listing_text(spark.read.text(path, wholetext=True).select(name, F.col("value").alias("body")))
+    return rows.join(ranks, "file").withColumn(
+        "ord", packed(F.col("rank"), F.col("pos"), ITEM_BITS, FILE_BITS)
+    ).drop("rank")
 
 
 def parse_listing_text(messages: DataFrame, body: str = "body") -> DataFrame:
-    """Same two shapes held in a text column (one landed message per row), one raw row per item.
+    """Both shapes held in a text column (one landed message per row), one raw row per item.
 
-    Anything that is neither an array nor an envelope with a ``jobs`` array gives no rows.
+    Every item is parsed alone: one that is no object has its text in ``_corrupt_record``, and the
+    others of its message stay. An unreadable message gives one such row; an object without
+    ``jobs`` and a null message give none.
     """
     text = F.col(body)
     keep = [c for c in messages.columns if c != body]
-    items = F.from_json(F.get_json_object(text, "$.jobs"), T.ArrayType(RAW))
-    bare = F.from_json(text, T.ArrayType(RAW))
-    rows = F.when(F.startswith(F.ltrim(text), F.lit("[")), bare).otherwise(items)
-    return messages.select(*keep, F.posexplode(rows).alias("pos", "r")).select(*keep, "pos", "r.*")
+    array = F.startswith(F.ltrim(text), F.lit("["))
+    read = messages.select(
+        *keep, text.alias("_body"), F.from_json(F.when(array, text), "array<string>").alias("_bare"),
+        F.from_json(F.when(~array, text), _ENVELOPE).alias("_envelope"), array.alias("_array"),
+    )
+    lost = F.when(F.col("_array"), F.col("_bare").isNull()).otherwise(
+        F.col("_envelope").isNull() | F.col("_envelope._corrupt_record").isNotNull()
+    )
+    whole = F.when(F.col("_body").isNotNull() & lost, F.col("_body"))
+    items = F.when(whole.isNotNull(), F.array(F.lit(None).cast("string"))).otherwise(
+        F.coalesce("_bare", "_envelope.jobs")
+    )
+    rows = read.select(*keep, whole.alias("_whole"), F.posexplode(items).alias("pos", "_item"))
+    rows = rows.withColumn("r", F.from_json("_item", _ITEM))
+    is_object = F.coalesce(F.startswith(F.ltrim("_item"), F.lit("{")), F.lit(False))
+    bad = F.when(~is_object | F.col("r._corrupt_record").isNotNull(), F.coalesce("_item", F.lit("null")))
+    return rows.select(
+        *keep, "pos", F.coalesce("_whole", bad).alias("_corrupt_record"), *[f"r.{name}" for name in _TEXT]
+    )
 
 
 def _list_or_null(c: Column) -> Column:
@@ -102,7 +118,7 @@ def normalise(raw: DataFrame, now: Column | None = None) -> DataFrame:
         "sources": F.coalesce(lists("sources"), none),
         "scraped_at": first_filled(text("scraped_at"), now),
     }
-    keep = ["_corrupt_record"] if "_corrupt_record" in have else []
+    keep = [c for c in ("_corrupt_record", "file", "pos") if c in have]
     names = [f.name for f in POSTINGS.fields if f.name not in ("ord", "field_sources")]
     out = raw.select(
         F.col("ord"), *keep, *[values.get(n, text(n)).alias(n) for n in names]

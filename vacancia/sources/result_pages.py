@@ -23,8 +23,8 @@ DETAIL = (
 
 # Fixed value: below this an amount is read as an hourly rate.
 HOURLY_BELOW = 1000
-# Fixed value: stored description length of this source; pass None to keep whole texts.
-DESCRIPTION_CHARS = 2000
+# Stored description length of this source: whole texts, unless a caller asks for a cut.
+DESCRIPTION_CHARS = None
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -40,13 +40,18 @@ def _colon(fields: str) -> str:
 
 
 def explode_results(pages: DataFrame) -> DataFrame:
-    """One row per item; ``ord`` orders items by (page, position)."""
+    """One row per item; ``ord`` orders items by (search, page, position).
+
+    ``search_ord`` numbers the searches; without it ``page_ord`` has to be unique over all of them.
+    """
+    search = F.col("search_ord") if "search_ord" in pages.columns else F.lit(0)
     return pages.select(
-        "keyword", F.col("location").alias("search_location"), "page_ord",
+        "keyword", F.col("location").alias("search_location"), "page_ord", search.alias("search_ord"),
         F.posexplode("results").alias("pos", "item"),
     ).select(
         "keyword", "search_location",
-        (F.col("page_ord") * F.lit(1 << 20) + F.col("pos")).alias("ord"), "item.*",
+        (F.col("search_ord") * F.lit(1 << 36) + F.col("page_ord") * F.lit(1 << 16) + F.col("pos")).alias("ord"),
+        "item.*",
     )
 
 

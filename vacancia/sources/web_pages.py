@@ -174,7 +174,7 @@ def salary_of(obj: Column) -> Column:
     )
 
 
-def project_jobposting(postings: DataFrame, source: str, description_chars: int | None = 2000) -> DataFrame:
+def project_jobposting(postings: DataFrame, source: str, description_chars: int | None = None) -> DataFrame:
     """JobPosting JSON (column ``posting``) to posting columns."""
     keep = [c for c in postings.columns if c != "posting"]
     p = postings.select(*keep, F.from_json("posting", _POSTING).alias("p")).select(*keep, "p.*")
@@ -338,7 +338,7 @@ def inner_of_div(html: Column, div_id: str) -> Column:
     return F.aggregate(pieces, start, step)["out"]
 
 
-def project_job_page(pages: DataFrame, description_chars: int | None = 3000) -> DataFrame:
+def project_job_page(pages: DataFrame, description_chars: int | None = None) -> DataFrame:
     """Single job page: id from the link, text of the description block."""
     return pages.select(
         *[c for c in pages.columns if c != "html"],
