@@ -160,6 +160,43 @@ def test_classifiers(spark, nothing):
     assert toxicity.toxicity_scores(nothing, labels).count() == quality.quality_scores(nothing, labels).count() == 0
 
 
+def test_toxicity_tiers(spark):
+    """Scores do not depend on how many entries and words are broadcast, and equal brute force."""
+    pick = random.Random(3)
+    stems = ["".join(pick.choice("abcde") for _ in range(pick.randint(2, 9))) for _ in range(150)]
+    rows = [(i, " ".join(pick.choice(stems[:90] if i % 3 else stems[60:]) for _ in range(pick.randint(0, 25)))) for i in range(300)]
+    rows += [(300, "once"), (301, ""), (302, None), (7, rows[7][1]), (8, "abc unseenword unseenword dcb"), (None, "abc")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    found = []
+    for entries, words in ((10**6, 10**6), (20, 10)):
+        scores = toxicity.toxicity_scores(docs, labels, entries=entries, words=words).collect()
+        found.append(sorted((r["doc_id"] or -1, r["text_hash"], round(r["score"], 7)) for r in scores))
+    assert len(found[0]) == len(rows) and all(f == found[0] for f in found)
+
+    marks = spark.createDataFrame([(t or "", int(i % 3 == 0)) for i, t in rows[:300]], "text string, y int")
+    ratios = toxicity.log_ratios(toxicity.count_ngrams(marks))
+    table = {r["gram"]: r["r"] for r in ratios.collect()}
+    assert len(table) > 50 and max(len(g) for g in table) == toxicity.ORDER
+    value = {}
+    for word in {w for _, t in rows for w in toxicity.words_of(t or "")}:
+        padded = "\x02" * 7 + word + "\x03"
+        grams = [padded[i - 7 : i + 1] for i in range(7, len(padded))]
+        value[word] = sum(table.get(g, 0) + table.get(g[:-1], 0) for g in grams)
+    texts = spark.createDataFrame([(i, t or "") for i, t in rows], "id long, text string")
+    for most in (20,):
+        words = toxicity.word_differences(texts, ratios, most)
+        assert sorted(round(r["v"], 7) + 0.0 for r in words.collect()) == sorted(round(v, 7) + 0.0 for v in value.values())
+        got = sorted((r["id"] or -1, *[round(x, 6) for x in r["x"]]) for r in toxicity.measure(texts, words, most).collect())
+        want = []
+        for i, t in rows:
+            v = sorted(value[w] for w in toxicity.words_of(t or ""))
+            second = min(max(v[-2], -10), 15) if len(v) > 1 else 0
+            x = (sum(v) / len(v), sum(max(y - toxicity.EXCESS, 0) for y in v) / len(v), second) if v else (0, 0, 0)
+            want.append((i or -1, *x))
+        assert all(a == pytest.approx(b, abs=1e-5) for a, b in zip(got, sorted(want), strict=True))
+
+
 def test_mixture(spark, docs, nothing):
     rows = spark.range(3000).selectExpr("id AS doc_id", "'one two three four' AS text", "if(id % 10 = 0, 'small', 'large') AS source")
     used = mixing.mixed_rows(rows, repeat_limit=2.0).groupBy("source").agg(F.sum("n_tokens").alias("t"), F.countDistinct("doc_id").alias("n"))

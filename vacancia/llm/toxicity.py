@@ -11,8 +11,10 @@ in a long text too. A logistic curve over these, fitted on labelled rows that we
 counts, gives the score.
 
 All other labelled rows outside the held-out fold are counted. Only ``CALIBRATION_ROWS`` labelled rows
-at most fit the curve. The scoring tables have one number for each n-gram and context that differs
-from its backoff; beyond ``MODEL_ENTRIES`` of them the least frequent use the backoff.
+at most fit the curve. The scoring table has one number for each context, and one for each n-gram that
+differs from it; a word's difference is the sum of those of its contexts and n-grams. Every distinct
+word is scored once. The ``MODEL_ENTRIES`` most frequent entries are broadcast, the others joined; so
+are the ``WORDS`` most frequent words' differences and the others. Tiers change the speed and not the result.
 
 Null and empty texts, and texts without a word, have difference 0. With no label of one class every
 score is the share of toxic labels, 0 if there are none. Rows repeat with their input.
@@ -31,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .common import Remembered, mix, row_key, ship, slices, whole_text, worker_state
+from ..session import cut_lineage, work_dir
+from .common import Remembered, mix, row_key, ship, slices, whole_text, word_hashes, worker_state
 from .learning import fold, labelled, teaching_labels
 
 #: Characters of an n-gram in the class models, and in the shared distribution that they fall back to.
@@ -40,7 +42,10 @@ ORDER, SHARED = 8, 3
 #: Absolute discount of the class models: so many occurrences in a class prove nothing.
 DISCOUNT, EXCESS = 2, 2.0
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-MODEL_ENTRIES = 400_000
+#: Entries and words of the first tiers, at most.
+MODEL_ENTRIES, WORDS = 400_000, 1_000_000
+#: Bits of the filter of second-tier entries, at most; with fewer a key, more keys are joined in vain.
+FILTER_BITS = 1 << 27
 #: Share of the labelled rows that fit the curve, and their number at most.
 CALIBRATION, CALIBRATION_ROWS = 0.2, 20_000
 _PAD, _END = "\x02", "\x03"
@@ -124,8 +129,9 @@ def shared_backoff(grams: DataFrame) -> DataFrame:
 def log_ratios(grams: DataFrame) -> DataFrame:
     """``gram, seen, r`` of n-grams and of contexts: log of toxic over ordinary probability.
 
-    An n-gram within the discount in both classes has its context's ratio, and a context of only
-    such n-grams has ratio 0; neither is listed.
+    An n-gram's ratio is listed as its difference from its context's, which is listed too. An n-gram
+    within the discount in both classes has its context's ratio, and a context of only such n-grams
+    has ratio 0; neither is listed.
     """
     head = f"substring(gram, 1, {ORDER - 1})"
     contexts = grams.groupBy(F.expr(head).alias("context")).agg(
@@ -142,12 +148,18 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     )
     pt = f"CASE WHEN nt > 0 THEN greatest(t - {DISCOUNT}, 0) / nt ELSE 0D END + lt * p"
     po = f"CASE WHEN no > 0 THEN greatest(o - {DISCOUNT}, 0) / no ELSE 0D END + lo * p"
-    ratios = full.selectExpr("gram", "t + o AS seen", f"CAST(ln(({pt}) / ({po})) AS FLOAT) AS r")
-    return ratios.union(contexts.selectExpr("context AS gram", "nt + no AS seen", "CAST(ln(lt / lo) AS FLOAT) AS r"))
+    ratios = full.selectExpr("gram", "t + o AS seen", f"ln(({pt}) / ({po})) - ln(lt / lo) AS r")
+    return ratios.union(contexts.selectExpr("context AS gram", "nt + no AS seen", "ln(lt / lo) AS r"))
 
 
-def _collected(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and ratios of the most frequent entries, as many as the bound lets through."""
+def _stored(rows: DataFrame) -> DataFrame:
+    path = work_dir(rows.sparkSession, "toxicity")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """``key, n, r``: the entries by their hashes."""
 
     @F.pandas_udf("long")
     def key(grams: pd.Series) -> pd.Series:
@@ -161,46 +173,167 @@ def _collected(rows: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
             keys = np.where(codes[:, i] > 0, mix(keys * _FACTOR + codes[:, i]), keys)
         return pd.Series(keys.view(np.int64))
 
-    rows, least = cut_lineage(rows.select("seen", "r", key("gram").alias("key"))), 1
-    while rows.where(F.col("seen") >= least).count() > entries:
-        least *= 2
-    table = rows.where(F.col("seen") >= least).select("key", "r").toArrow()
-    keys = table["key"].to_numpy().astype(np.int64).view(np.uint64)
+    return rows.select(key("gram").alias("key"), F.col("seen").alias("n"), "r")
+
+
+def _least(rows: DataFrame, most: int) -> int:
+    """The smallest power of two that ``n`` reaches in at most so many rows."""
+    sizes = dict(rows.groupBy(F.length(F.bin("n"))).count().collect())
+    for digits in range(64, 0, -1):
+        most -= sizes.get(digits, 0)
+        if most < 0:
+            return 1 << digits
+    return 1
+
+
+def _first_tier(rows: DataFrame, key: str, value: str, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and values of the rows of at least that frequency."""
+    table = rows.where(F.col("n") >= least).select(key, value).toArrow()
+    keys = table[key].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], table["r"].to_numpy().astype(np.float32)[order]
+    return keys[order], table[value].to_numpy().astype(float)[order]
+
+
+def _bits(keys: np.ndarray, size: int) -> list[np.ndarray]:
+    return [(keys >> np.uint64(shift)) & np.uint64(size - 1) for shift in (0, 32)]
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bits at two places for each key, in 64-bit words; their number is a power of two."""
+    size = min(FILTER_BITS, max(64, 1 << (16 * keys.count()).bit_length()))
+    places = keys.select(F.explode(F.array("key", F.shiftrightunsigned("key", 32))).alias("at"))
+    places = places.select(F.col("at").bitwiseAND(F.lit(size - 1)).alias("at"))
+    words = places.groupBy(F.shiftright("at", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.uint64)
+    out[words["i"].to_numpy()] = words["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    return out
+
+
+class Lookup:
+    """Values of sorted hashes."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+
+    def of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values, 0 where there is none, and which are there."""
+        if not len(self.keys):
+            return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        hit = self.keys[at] == wanted
+        return np.where(hit, self.values[at], 0.0), hit
+
+
+def score_words(words: list[str], entries: Lookup, later: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Each word's sum over the first tier, and its keys that may be in the second."""
+    _, _, owner, grams, contexts = ngram_hashes(words)
+    keys, owner = np.concatenate([grams, contexts]), np.concatenate([owner, owner])
+    value, hit = entries.of(keys)
+    maybe = ~hit
+    for at in _bits(keys, 64 * len(later)):
+        maybe &= (later[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+    rest = np.flatnonzero(maybe)
+    rest = rest[np.argsort(owner[rest], kind="stable")]
+    ends = np.searchsorted(owner[rest], np.arange(1, len(words)))
+    return np.bincount(owner, value, len(words)), np.split(keys[rest].view(np.int64), ends)
 
 
-class Ratios:
-    """Summed log ratios of words, from sorted hashes of n-grams and contexts."""
+def word_differences(texts: DataFrame, ratios: DataFrame, most: int) -> DataFrame:
+    """``word, n, v``: hash, frequency and difference of every distinct word of the texts (text)."""
+    spark = texts.sparkSession
 
-    def __init__(self, keys: np.ndarray, ratios: np.ndarray):
-        self.keys, self.ratios = keys, ratios
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part in slices(batch["text"], 1 << 24):
+                seen: Counter = Counter()
+                for text in part:
+                    seen.update(words_of(text))
+                yield pd.DataFrame({"text": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
+
+    words = texts.select("text").mapInPandas(count, "text string, n long").groupBy("text").agg(F.sum("n").alias("n"))
+    ratios = _stored(_keyed(ratios))
+    least = _least(ratios, most)
+    rare = ratios.where(F.col("n") < least).select("key", "r")
+    model = (*_first_tier(ratios, "key", "r", least), _filter(rare))
+    model = ship(spark, model, sum(a.nbytes for a in model))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, values, later = model.value
+        entries = Lookup(keys, values)
+        for batch in batches:
+            counts = iter(batch["n"])
+            for part in slices(batch["text"], 1 << 18):
+                v, rest = score_words(part, entries, later)
+                yield pd.DataFrame({
+                    "word": word_hashes([[w.encode() for w in part]])[0].view(np.int64), "n": list(islice(counts, len(part))),
+                    "v": v, "rest": pd.Series(rest, dtype=object),
+                })
+
+    known = _stored(words.mapInPandas(score, "word long, n long, v double, rest array<bigint>"))
+    late = known.select("word", F.explode("rest").alias("key")).join(rare, "key").selectExpr("word", "0L AS n", "r AS v")
+    open_ = known.where(F.size("rest") > 0).select("word", "n", "v").union(late)
+    closed = open_.groupBy("word").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    return _stored(known.where(F.size("rest") == 0).select("word", "n", "v").union(closed))
+
+
+class Differences:
+    """Summed differences of texts, from sorted hashes of the first tier's words."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.first = Lookup(keys, values)
         self.known = Remembered(self.words)
 
     def words(self, words: list[str]) -> list[float]:
-        _, _, owner, grams, contexts = ngram_hashes(words)
-        value = np.zeros(len(grams))
-        found = np.zeros(len(grams), bool)
-        for wanted in (grams, contexts) if len(self.keys) else ():
-            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-            hit = (self.keys[at] == wanted) & ~found
-            value[hit] = self.ratios[at[hit]]
-            found |= hit
-        return np.bincount(owner, value, len(words)).tolist()
-
-    def describe(self, texts: list[str]) -> list[list[float]]:
-        """Difference per word, excess per word, and difference of the second most toxic word."""
+        value, hit = self.first.of(word_hashes([[w.encode() for w in words]])[0])
+        return np.where(hit, value, np.nan).tolist()
+
+    def describe(self, texts: list[str]) -> list[tuple]:
+        """Words, sum and summed excess of the first tier's, the two most toxic of them, hashes of the others."""
         out = []
         for part in slices(texts):
             words = [words_of(t) for t in part]
             get = self.known.of(words).__getitem__
             for w in words:
                 v = np.fromiter(map(get, w), float, len(w))
-                second = float(np.partition(v, -2)[-2]) if len(v) > 1 else 0.0
-                out.append([v.mean(), np.maximum(v - EXCESS, 0).mean(), min(max(second, -10.0), 15.0)] if len(v) else [0.0] * 3)
+                absent = np.isnan(v)
+                rest = word_hashes([[w[i].encode() for i in np.flatnonzero(absent)]])[0].view(np.int64)
+                v = v[~absent]
+                top = np.partition(np.append(v, [-np.inf, -np.inf]), -2)[-2:]
+                out.append((len(w), v.sum(), np.maximum(v - EXCESS, 0).sum(), top[1], top[0], rest))
         return out
 
 
+def measure(texts: DataFrame, words: DataFrame, most: int) -> DataFrame:
+    """``id, text_hash, x`` of every text: difference per word, excess per word, and difference of the
+    second most toxic word."""
+    spark = texts.sparkSession
+    least = _least(words, most)
+    model = _first_tier(words, "word", "v", least)
+    model = ship(spark, model, sum(a.nbytes for a in model))
+
+    @F.pandas_udf("n long, s double, e double, a double, b double, rest array<bigint>")
+    def describe(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        state, key = worker_state(), ("differences", len(model.value[0]), model.value[1].tobytes()[:4096], float(model.value[1].sum()))
+        if key not in state:
+            state[key] = Differences(*model.value)
+        for texts in batches:
+            yield pd.DataFrame(state[key].describe(list(texts)), columns=["n", "s", "e", "a", "b", "rest"])
+
+    rows = texts.select("id", F.xxhash64("text").alias("text_hash"), describe("text").alias("m"))
+    rows = _stored(rows.select("id", "text_hash", "m.*", F.monotonically_increasing_id().alias("row")))
+    rare = words.where(F.col("n") < least).select("word", "v")
+    late = rows.select("row", "b", F.explode("rest").alias("word")).join(rare, "word").groupBy("row").agg(
+        F.sum("v").alias("s2"), F.sum(F.greatest(F.col("v") - EXCESS, F.lit(0.0))).alias("e2"),
+        F.collect_list(F.expr("CASE WHEN v > b THEN v END")).alias("tops"),
+    )
+    second = "sort_array(concat(array(a, b), coalesce(tops, CAST(array() AS array<double>))), false)[1]"
+    whole = rows.join(late, "row", "left").selectExpr(
+        "id", "text_hash", f"""CASE WHEN n > 0 THEN array((s + coalesce(s2, 0D)) / n, (e + coalesce(e2, 0D)) / n,
+        CASE WHEN n > 1 THEN least(greatest({second}, -10D), 15D) ELSE 0D END) ELSE array(0D, 0D, 0D) END AS x"""
+    )
+    return _stored(whole)
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
     """Weights of a lightly penalised logistic curve over the columns of x and an offset (Newton's method)."""
     scale = np.append(x.std(0) + 1e-9, 1.0)
@@ -217,28 +350,17 @@ def fit_curve(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
 
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
-    entries: int = MODEL_ENTRIES,
+    entries: int = MODEL_ENTRIES, words: int = WORDS,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted, text_hash`` of every row, taught by the labelled ones."""
-    spark = docs.sparkSession
     marks = teaching_labels(labels, label, FOLDS, HELD_OUT)
     share = min(CALIBRATION, CALIBRATION_ROWS / max(1, marks.count()))
     spared = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))
     # The same join at every size.
     rows = labelled(docs, marks.where(~spared).hint("merge"), FOLDS, HELD_OUT, id_col, text_col)
-    table = _collected(log_ratios(cut_lineage(count_ngrams(rows))), entries)
-    model = ship(spark, table, sum(a.nbytes for a in table))
-
-    @F.pandas_udf("array<double>")
-    def describe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        state, key = worker_state(), ("ratios", len(model.value[0]), model.value[1].tobytes()[:4096], float(model.value[1].sum()))
-        if key not in state:
-            state[key] = Ratios(*model.value)
-        for texts in batches:
-            yield pd.Series(state[key].describe(list(texts)), dtype=object)
-
+    ratios = log_ratios(_stored(count_ngrams(rows)))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
-    measured = cut_lineage(texts.select("id", F.xxhash64("text").alias("text_hash"), describe("text").alias("x")))
+    measured = measure(texts, word_differences(texts, ratios, entries), words)
     points = measured.join(marks.where(spared), "id").select("x", "y").toPandas()
     toxic, total = int(points["y"].sum()), len(points)
     if 0 < toxic < total:
