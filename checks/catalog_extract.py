@@ -410,7 +410,7 @@ def since_filter(i):
     f"""SELECT ord FROM f_postings WHERE {duck.content_hash()} NOT IN (SELECT {duck.content_hash()} FROM f_postings WHERE source = 'reed')""", POST)
 def resume_anti(i):
     p = with_hash(i.view("f_postings"))
-    return registers.resume(p, registers.seen_hashes(p.where(F.col("source") == "reed"))).select("ord")
+    return registers.resume(p, registers.seen_keys(p.where(F.col("source") == "reed"))).select("ord")
 
 
 @query("seen_hashes", f"SELECT DISTINCT {duck.content_hash()} AS hash FROM f_postings", POST)

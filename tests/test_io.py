@@ -10,7 +10,7 @@ from vacancia import schema
 from vacancia.operators import dedup, export
 from vacancia.operators.upsert import KeyedTable
 from vacancia.plans import runs
-from vacancia.sources import listings
+from vacancia.sources import listings, registers
 from vacancia.streaming import capture
 
 
@@ -141,6 +141,18 @@ def test_run_with_resume_since_cache_and_export(spark, tmp_path):
     assert acme["Acme"].changes["phone_numbers"].new == ["+44 20 7946 0958"]
 
 
+def test_resume_compares_whole_keys(spark):
+    """A new posting stays though its hash is that of a stored one; equal contents go whatever their hash says."""
+    fields = "title string, company string, location string, job_id string, hash string"
+    stored = spark.createDataFrame([("Nurse", "Acme Ltd", "Leeds", "1", "aaaaaaaaaaaa"), (None, None, None, "9", "b")], fields)
+    new = spark.createDataFrame(
+        [("Cook", "Other", "York", "2", "aaaaaaaaaaaa"), ("NURSE", "Acme", "leeds", "3", "c"), (None, "", None, "9", "d"), (None, None, None, "8", "b")],
+        fields,
+    )
+    for seen in (stored, registers.seen_keys(stored)):
+        assert sorted(r.job_id for r in registers.resume(new, seen).collect()) == ["2", "8"]
+
+
 @pytest.mark.parametrize("name", ["dedup_l2", "jsonld_extract", "merge_contacts", "registry_lev_join", "stream_inbox", "field_coverage"])
 def test_checked_queries(spark, name):
     from __spark_entry__ import oracle_sql, queries

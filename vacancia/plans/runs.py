@@ -20,7 +20,7 @@ from ..operators.upsert import KeyedTable
 from ..operators.waterfall import Enricher, contacts_for, run_waterfall, seed_parts
 from ..schema import CONTACTS, conform
 from ..session import cut_lineage
-from ..sources.registers import resume, seen_hashes
+from ..sources.registers import resume, seen_hashes, seen_keys
 
 
 @dataclass
@@ -98,7 +98,7 @@ def run(
     raw: DataFrame, options: RunOptions | None = None, seen: DataFrame | None = None,
     cached: DataFrame | None = None,
 ) -> RunResult:
-    """Full run on normalised postings. The de-duplicated frame is stored once: mining, the report
+    """Full run on normalised postings; ``seen`` are stored postings, or ``seen_keys`` of them. The de-duplicated frame is stored once: mining, the report
     and every sink read it."""
     options = options or RunOptions()
     postings = cut_lineage(prepare(raw, options, seen))
@@ -135,4 +135,4 @@ def run_audit(run_id: str, started: str, finished: str, raw: DataFrame, unique:
     )
 
 
-__all__ = ["RunOptions", "RunResult", "enrich", "prepare", "run", "run_audit", "seen_hashes", "store_run"]
+__all__ = ["RunOptions", "RunResult", "enrich", "prepare", "run", "run_audit", "seen_hashes", "seen_keys", "store_run"]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.phones import clean_phone
-from ..functions.text import clean_email, is_json, join_parts
+from ..functions.text import clean_email, content_key, is_json, join_parts
 from ..schema import CONTACTS, blank_to_null, conform, filled, first_filled
 
 Source = Callable[[SparkSession, str], DataFrame]
@@ -140,9 +140,19 @@ def seen_hashes(postings: DataFrame) -> DataFrame:
     return postings.select("hash").where(F.col("hash").isNotNull()).distinct()
 
 
+def _content_key() -> Column:
+    return content_key(F.col("title"), F.col("company"), F.col("location"), F.col("job_id"))
+
+
+def seen_keys(postings: DataFrame) -> DataFrame:
+    """``content_key`` of stored postings, whole: two contents may share the digits of a ``hash``."""
+    return postings.select(_content_key().alias("content_key")).distinct()
+
+
 def resume(postings: DataFrame, seen: DataFrame) -> DataFrame:
-    """Drop postings whose content was stored by an earlier run."""
-    return postings.join(seen.select("hash"), "hash", "left_anti").select(*postings.columns)
+    """Drop postings whose content was stored by an earlier run; ``seen`` are its postings or their keys."""
+    keys = (seen if "content_key" in seen.columns else seen_keys(seen)).select(F.col("content_key").alias("_seen"))
+    return postings.join(keys, _content_key() == F.col("_seen"), "left_anti")
 
 
 def parse_response(raw: Column, fields: str) -> Column:
