@@ -144,6 +144,18 @@ def test_near_copies_against_all_pairs(spark):
     assert similar <= {(r["a"], r["b"]) for r in found.collect()}
 
 
+def test_near_copies_of_texts_that_share_an_identifier(spark):
+    first, second = (" ".join(f"{c}{i}" for i in range(80)) for c in "ab")
+    rows = [(5, first), (5, second), (7, first + " x"), (9, second + " y"), (3, "c d e f g h"), (None, first)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs, k=4).where("doc_id IS NOT NULL").collect()]
+    assert sorted(found) == [(3, 3, True), (5, 5, True), (5, 5, True), (7, 5, False), (9, 5, False)]
+    left = {(r["doc_id"], r["text"]) for r in minhash.keep_one_of_each(docs, k=4).collect()}
+    assert left == {rows[0], rows[1], rows[4], rows[5]}
+    lower = spark.createDataFrame([*rows[:2], (4, second + " y")], "doc_id long, text string")
+    assert {(r["doc_id"], r["text"]) for r in minhash.keep_one_of_each(lower, k=4).collect()} == {rows[0], (4, second + " y")}
+
+
 def test_classifiers(spark, nothing):
     words = [" ".join(f"plain{(i * 7 + j * 3) % 50}" for j in range(30)) for i in range(300)]
     rows = [(i, w + (" nasty rotten nasty" if i % 3 == 0 else ""), "s", 0, "") for i, w in enumerate(words)]

@@ -14,7 +14,8 @@ confirmed on full sets. A miss needs all bands to differ: about one pair in 100,
   execution may split.
 
 Null and empty texts have no shingles and are linked with nothing; a text of fewer words than a
-shingle is one shingle. Rows repeated under one identifier are copies. A null identifier has no links.
+shingle is one shingle. Rows that repeat identifier and text are copies; different texts under one
+identifier are linked each by its own set. A null identifier has no links.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import compact, components, mix, slices, whole_text, word_hashes, worker_state
+from .common import compact, components, mix, row_key, slices, whole_text, word_hashes, worker_state
 
 BANDS, ROWS = 40, 5
 STARS = 1
@@ -84,7 +85,7 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, k: int, threshold: float, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id, n, digest, keys`` of documents (id, text); sets that only equal ones can match get no keys."""
+    """``id, text_hash, n, digest, keys`` of documents (id, text); sets that only equal ones can match get no keys."""
     alone = threshold / (1 - threshold) if threshold < 1 else math.inf
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,21 +95,23 @@ def sketches(docs: DataFrame, k: int, threshold: float, bands: int = BANDS, rows
                 n.append(len(hashes))
                 digest.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                 keys.append(band_keys(hashes, bands, rows) if len(hashes) >= alone - 1e-9 else np.empty(0, np.int64))
-            yield pd.DataFrame({"id": batch["id"], "n": n, "digest": digest, "keys": keys})
+            yield pd.DataFrame({"id": batch["id"], "text_hash": batch["text_hash"], "n": n, "digest": digest, "keys": keys})
 
-    return docs.mapInPandas(sketch, "id long, n long, digest binary, keys array<bigint>")
+    hashed = docs.select("id", F.xxhash64("text").alias("text_hash"), "text")
+    return hashed.mapInPandas(sketch, "id long, text_hash long, n long, digest binary, keys array<bigint>")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """``id, hashes`` of the documents in ``ids``."""
+    """``id, hashes`` of the sets ``ids`` (id, rep, text_hash), each from a document ``rep`` with that text."""
 
     @F.pandas_udf("array<bigint>")
     def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([h.view(np.int64) for h in shingle_sets(texts, k)], dtype=object)
 
-    some = docs.join(ids, "id", "left_semi")
-    # A repeated identifier may carry several texts; the first by text is its set.
+    texts = docs.select(F.col("id").alias("rep"), F.xxhash64("text").alias("text_hash"), "text")
+    some = texts.join(ids, ["rep", "text_hash"])
+    # Rows may repeat identifier and text.
     return some.groupBy("id").agg(F.min("text").alias("text")).select("id", hashes("text").alias("hashes"))
 
 
@@ -194,34 +197,45 @@ def link_members(members: DataFrame, sets: DataFrame, per_cent: int, stars: int
     return reduce(DataFrame.union, links)
 
 
-def near_duplicates(
-    docs: DataFrame, k: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row; links at ``per_cent`` of the union."""
+def _labelled(docs: DataFrame, k: int, per_cent: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, kept`` of every row."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     sketched = cut_lineage(sketches(texts, k, per_cent / 100))
     reps = sketched.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")
+        F.min(F.struct("id", "text_hash")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")
     )
-    keyed = reps.select(F.col("rep").alias("id"), "n", F.explode("keys").alias("key"))
+    # Sets have numbers of their own, since an identifier may carry several.
+    reps = cut_lineage(reps.select(
+        F.monotonically_increasing_id().alias("id"), "digest", F.col("first.id").alias("rep"), "first.text_hash", "n", "keys"
+    ))
+    keyed = reps.select("id", "n", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     weight = F.sum("m").over(W.partitionBy("id"))
     members = cut_lineage(keyed.join(shared, "key").select("key", "id", "n", weight.alias("weight")))
-    sets = cut_lineage(full_sets(texts, members.select("id").distinct(), k))
+    wanted = reps.select("id", "rep", "text_hash").join(members.select("id").distinct(), "id", "left_semi")
+    sets = cut_lineage(full_sets(texts, wanted, k))
     found = components(link_members(members, sets, per_cent))
-    groups = (
-        sketched.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
-        .join(found.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("digest", F.coalesce("component", "rep").alias("component"))
-    )
+    slim = reps.select("id", "digest", "rep")
+    linked = slim.join(found.withColumnRenamed("component", "number"), "id")
+    least = linked.groupBy("number").agg(F.min("rep").alias("component"))
+    labels = linked.join(least, "number").select("id", "component")
+    groups = slim.join(labels, "id", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     own = F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
     return sketched.drop("keys").join(groups, "digest", "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), own.alias("component_id"),
+        F.col("id").alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"),
         F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"),
     )
 
 
+def near_duplicates(
+    docs: DataFrame, k: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row; links at ``per_cent`` of the union."""
+    return _labelled(docs, k, per_cent, id_col, text_col).drop("text_hash")
+
+
 def keep_one_of_each(docs: DataFrame, k: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows, one document of each near-duplicate group (the smallest identifier)."""
-    kept = near_duplicates(docs, k, per_cent, id_col, text_col).where("kept").select(F.col("doc_id").alias("_k"))
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_k")), "left_semi")
+    kept = _labelled(docs, k, per_cent, id_col, text_col).where("kept").select(row_key("doc_id", "text_hash").alias("_k"))
+    key = row_key(F.col(id_col).cast("long"), F.xxhash64(whole_text(text_col)))
+    return docs.join(kept, key == F.col("_k"), "left_semi")
