@@ -156,6 +156,15 @@ def test_near_copies_of_texts_that_share_an_identifier(spark):
     assert {(r["doc_id"], r["text"]) for r in minhash.keep_one_of_each(lower, k=4).collect()} == {rows[0], (4, second + " y")}
 
 
+def test_pivots_of_a_large_space_need_no_window(spark):
+    rows = spark.range(20000).selectExpr("id", "if(id % 10 < 9, 'large', concat('s', id % 100)) AS space", "array(double(id), 1D) AS vector")
+    found = embeddings.pivot_rows(rows, 50, 8192)
+    assert "Window" not in found._jdf.queryExecution().toString()
+    n = {r["space"]: r["count"] for r in found.groupBy("space").count().collect()}
+    assert 250 < n.pop("large") < 480 and len(n) == 10 and sum(n.values()) < 100
+    assert len(embeddings.choose_pivots(rows, 150, 8192)) == 11
+
+
 def test_classifiers(spark, nothing):
     words = [" ".join(f"plain{(i * 7 + j * 3) % 50}" for j in range(30)) for i in range(300)]
     rows = [(i, w + (" nasty rotten nasty" if i % 3 == 0 else ""), "s", 0, "") for i, w in enumerate(words)]

@@ -24,7 +24,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -51,16 +50,22 @@ _USABLE = """CASE WHEN space IS NULL OR id IS NULL OR vector IS NULL THEN false
     ELSE aggregate(vector, 0D, (s, x) -> s + x * x) > 0 END"""
 
 
-def choose_pivots(reps: DataFrame, per_pivot: int, pivots: int) -> dict[str, np.ndarray]:
-    """Unit vectors of a few rows of each space, by a hash of the identifier; at most ``pivots`` besides one each."""
+def pivot_rows(reps: DataFrame, per_pivot: int, pivots: int) -> DataFrame:
+    """``space, vector``: about one row in ``per_pivot`` of each larger space, at least one; about ``pivots`` at most."""
     sizes = reps.groupBy("space").agg(F.count("*").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     per_pivot = max(per_pivot, -(-total // pivots))
-    first = F.row_number().over(W.partitionBy("space").orderBy(F.xxhash64("id"), "id"))
-    chosen = (
-        reps.join(sizes.where(F.col("n") > per_pivot), "space")
-        .withColumn("rank", first).where(F.col("rank") <= F.ceil(F.col("n") / per_pivot)).select("space", "vector").collect()
-    )
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
+    large = reps.withColumn("place", place).join(sizes.where(F.col("n") > per_pivot), "space")
+    few = large.where(F.col("place") * F.col("n") < F.ceil(F.col("n") / per_pivot)).select("space", "vector")
+    # A space of which the threshold lets nothing through has its first row.
+    first = large.groupBy("space").agg(F.min_by("vector", F.struct("place", "id")).alias("vector"))
+    return few.union(first.join(few.select("space").distinct(), "space", "left_anti"))
+
+
+def choose_pivots(reps: DataFrame, per_pivot: int, pivots: int) -> dict[str, np.ndarray]:
+    """Unit vectors of a few rows of each larger space, by a hash of the identifier."""
+    chosen = pivot_rows(reps, per_pivot, pivots).collect()
     by: dict[str, list] = {}
     for row in chosen:
         by.setdefault(row["space"], []).append(row["vector"])
