@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, exact_dedup, minhash, mixing, quality, secrets, sharding, token_counts, toxicity
+from . import bpe, decontaminate, embeddings, exact_dedup, minhash, mixing, periodic, prefix_trie, quality, secrets, sharding
+from . import token_counts, toxicity
 from .common import table
 
 SHARDS = 16
@@ -69,5 +73,39 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_elements(table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.prefix_nodes(prefix_trie.spliced(turns))
+    none = F.sha2(F.lit(""), 256)
+    return nodes.withColumn("ends_sha256", F.coalesce("ends", none)).drop("ends")
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_spans(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return decontaminate.with_digests(found).drop("spans")
+
+
+def periodic_tail(doc_id: int | None):
+    """Makes the texts of every tenth document periodic from some word on."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return None
+    g = h // 10
+
+    def rebuild(words: np.ndarray) -> np.ndarray:
+        n = len(words)
+        if not n:
+            return words
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return np.concatenate([words[:a], words[a + np.arange(n - a) % p]])
+
+    return rebuild
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.with_digests(periodic.periodic_runs(_documents(spark, sf_dir), rebuild=periodic_tail))
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
 SQL: dict[str, str] = {}
