@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -48,7 +48,12 @@ MODEL_ENTRIES, WORDS = 400_000, 1_000_000
 FILTER_BITS = 1 << 27
 #: Share of the labelled rows that fit the curve, and their number at most.
 CALIBRATION, CALIBRATION_ROWS = 0.2, 20_000
-_PAD, _END = "\x02", "\x03"
+#: Characters of a text that are split into words together, those whose words are counted together, and
+#: words whose n-grams are held together, about: they bound the memory of a worker.
+TEXT_CHARS, COUNT_CHARS, BLOCK_WORDS = 1 << 20, 1 << 21, 20_000
+#: Words whose differences a worker remembers.
+REMEMBERED = 200_000
+_PAD, _END, _GAP = "\x02", "\x03", re.compile(r"[\W_]")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,6 +61,29 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
+def word_lists(text: str, size: int = TEXT_CHARS) -> Iterator[list[str]]:
+    """The words of a text; of a longer one in lists from about ``size`` characters each."""
+    at = 0
+    while len(text) - at > size and (gap := _GAP.search(text, at + size)):
+        yield words_of(text[at : gap.start()])
+        at = gap.start()
+    yield words_of(text[at:] if at else text)
+
+
+def word_counts(texts: Iterable[str], size: int) -> Iterator[Counter]:
+    """Counts of words, from about ``size`` characters each."""
+    seen, held = Counter(), 0
+    for text in texts:
+        for words in word_lists(text):
+            seen.update(words)
+            held += sum(map(len, words))
+            if held >= size:
+                yield seen
+                seen, held = Counter(), 0
+    if seen:
+        yield seen
+
+
 def ngram_hashes(words: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Joined text, ends of n-grams in it, the word of each, hashes of the n-grams and of their contexts."""
     pad = _PAD * (ORDER - 1)
@@ -71,27 +99,28 @@ def ngram_hashes(words: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndar
     return joined, ends, owner[ends], mix(context * _FACTOR + codes[ends]), context
 
 
+def _gram_counts(words: list[str], times: np.ndarray) -> tuple[pd.Series, np.ndarray]:
+    """Distinct n-grams of distinct words, and how often they occur if the words do so many times."""
+    joined, ends, owner, grams, _ = ngram_hashes(words)
+    _, first, same = np.unique(grams, return_index=True, return_inverse=True)
+    n = np.bincount(same, times[owner], len(first)).astype(np.int64)
+    return pd.Series([joined[e - ORDER + 1 : e + 1] for e in ends[first]], dtype=object), n
+
+
 def count_ngrams(rows: DataFrame) -> DataFrame:
     """``gram, t, o``: how often each n-gram occurs in toxic and in ordinary texts (text, y)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            classes = zip(batch["text"], batch["y"])
-            for part in slices(batch["text"], 1 << 22):
-                seen = (Counter(), Counter())
-                for text, y in islice(classes, len(part)):
-                    seen[y].update(words_of(text))
-                words = list(seen[0].keys() | seen[1].keys())
-                if not words:
-                    continue
-                joined, ends, owner, grams, _ = ngram_hashes(words)
-                _, first, same = np.unique(grams, return_index=True, return_inverse=True)
-                sums = {}
-                for name, counter in (("t", seen[1]), ("o", seen[0])):
-                    weight = np.array([counter[w] for w in words], float)[owner]
-                    sums[name] = np.bincount(same, weight, len(first)).astype(np.int64)
-                grams = [joined[e - ORDER + 1 : e + 1] for e in ends[first]]
-                yield pd.DataFrame({"gram": pd.Series(grams, dtype=object), **sums})
+            for name, part in batch.groupby("y")["text"]:
+                for seen in word_counts(part, COUNT_CHARS):
+                    # Words that begin alike share n-grams, so they are brought into one block.
+                    words = sorted(seen)
+                    for at in range(0, len(words), BLOCK_WORDS):
+                        block = words[at : at + BLOCK_WORDS]
+                        grams, n = _gram_counts(block, np.array([seen[w] for w in block], float))
+                        none = np.zeros(len(n), np.int64)
+                        yield pd.DataFrame({"gram": grams, "t": n if name else none, "o": none if name else n})
 
     counts = rows.select("text", "y").mapInPandas(count, "gram string, t long, o long")
     return counts.groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
@@ -244,10 +273,7 @@ def word_differences(texts: DataFrame, ratios: DataFrame, most: int) -> DataFram
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part in slices(batch["text"], 1 << 24):
-                seen: Counter = Counter()
-                for text in part:
-                    seen.update(words_of(text))
+            for seen in word_counts(batch["text"], COUNT_CHARS):
                 yield pd.DataFrame({"text": pd.Series(list(seen), dtype=object), "n": pd.Series(list(seen.values()), dtype="int64")})
 
     words = texts.select("text").mapInPandas(count, "text string, n long").groupBy("text").agg(F.sum("n").alias("n"))
@@ -262,7 +288,7 @@ def word_differences(texts: DataFrame, ratios: DataFrame, most: int) -> DataFram
         entries = Lookup(keys, values)
         for batch in batches:
             counts = iter(batch["n"])
-            for part in slices(batch["text"], 1 << 18):
+            for part in slices(batch["text"], 10 * BLOCK_WORDS):
                 v, rest = score_words(part, entries, later)
                 yield pd.DataFrame({
                     "word": word_hashes([[w.encode() for w in part]])[0].view(np.int64), "n": list(islice(counts, len(part))),
@@ -281,7 +307,7 @@ class Differences:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.first = Lookup(keys, values)
-        self.known = Remembered(self.words)
+        self.known = Remembered(self.words, REMEMBERED)
 
     def words(self, words: list[str]) -> list[float]:
         value, hit = self.first.of(word_hashes([[w.encode() for w in words]])[0])
@@ -290,16 +316,20 @@ class Differences:
     def describe(self, texts: list[str]) -> list[tuple]:
         """Words, sum and summed excess of the first tier's, the two most toxic of them, hashes of the others."""
         out = []
-        for part in slices(texts):
-            words = [words_of(t) for t in part]
-            get = self.known.of(words).__getitem__
-            for w in words:
-                v = np.fromiter(map(get, w), float, len(w))
-                absent = np.isnan(v)
-                rest = word_hashes([[w[i].encode() for i in np.flatnonzero(absent)]])[0].view(np.int64)
-                v = v[~absent]
-                top = np.partition(np.append(v, [-np.inf, -np.inf]), -2)[-2:]
-                out.append((len(w), v.sum(), np.maximum(v - EXCESS, 0).sum(), top[1], top[0], rest))
+        for part in slices(texts, TEXT_CHARS // 2):
+            # Only a text of its own slice has more than one list.
+            lists = [list(word_lists(t)) for t in part] if len(part) > 1 else [word_lists(part[0])]
+            get = self.known.of([w for x in lists for w in x]).__getitem__ if len(part) > 1 else None
+            for words in lists:
+                n, s, e, top, rest = 0, 0.0, 0.0, np.full(2, -np.inf), []
+                for w in words:
+                    value = np.fromiter(map(get or self.known.of([w]).__getitem__, w), float, len(w))
+                    absent = np.isnan(value)
+                    rest.append(word_hashes([[w[i].encode() for i in np.flatnonzero(absent)]])[0].view(np.int64))
+                    value = value[~absent]
+                    top = np.partition(np.append(value, top), -2)[-2:]
+                    n, s, e = n + len(w), s + value.sum(), e + np.maximum(value - EXCESS, 0).sum()
+                out.append((n, s, e, top[1], top[0], np.concatenate(rest)))
         return out
 
 
