@@ -235,10 +235,10 @@ def per_source_unique(i):
 @query(
     "source_counts",
     L2 + """ SELECT coalesce(r.source, q.source) AS source, coalesce(r.n, 0) AS raw, coalesce(q.n, 0) AS unique_n FROM
-    (SELECT source, count(*) AS n FROM f_dup WHERE source <> 'mirror' GROUP BY source) r
+    (SELECT source, count(*) AS n FROM f_dup GROUP BY source) r
     FULL JOIN (SELECT source, count(*) AS n FROM (SELECT unnest(sources) AS source FROM us) x GROUP BY source) q ON r.source = q.source""", DUP)
 def source_counts(i):
-    return quality.source_counts(_dup(i).where("source <> 'mirror'"), _l2(i))
+    return quality.source_counts(_dup(i), _l2(i))
 
 
 _TRACKED = ["title", "company", "location", *_FILL, "requirements", "benefits"]
@@ -281,14 +281,14 @@ def csv_contacts(i):
 
 @query(
     "csv_round_trip",
-    L2 + " SELECT hash, array_to_string(sources, '|') AS sources, company FROM us", DUP)
+    L2 + " SELECT job_id, array_to_string(sources, '|') AS sources, company FROM us", DUP)
 def csv_round_trip(i):
     path = work_dir(i.spark, "csv")
     r = _run(i)
     status = export.export_all(r.postings, r.contacts, path, ["csv", "parquet", "no such format"])
     if status["csv"] != "ok" or not status["no such format"].startswith("failed"):
         raise RuntimeError(str(status))
-    return i.spark.read.csv(f"{path}/jobs_csv", header=True, multiLine=True, escape='"').select("hash", "sources", "company")
+    return i.spark.read.csv(f"{path}/jobs_csv", header=True, multiLine=True, escape='"').select("job_id", "sources", "company")
 
 
 # ------------------------------------------------------------------ contacts
@@ -312,14 +312,18 @@ def _merge_cte(parts: str) -> str:
     xe AS (SELECT company, arg_min(v, k) AS v, min(k) AS k, arg_min(label, k) AS label FROM (SELECT company, label, unnest(emails) AS v, priority * 100 + generate_subscripts(emails, 1) AS k FROM x) a GROUP BY company, lower(v)),
     xps AS (SELECT company, list(v ORDER BY k) AS phones FROM xp GROUP BY company), xes AS (SELECT company, list(v ORDER BY k) AS emails FROM xe GROUP BY company),
     xpl AS (SELECT company, string_agg(label, '|' ORDER BY k) AS phone_src FROM (SELECT company, label, min(k) AS k FROM xp GROUP BY company, label) g GROUP BY company),
+    xel AS (SELECT company, string_agg(label, '|' ORDER BY k) AS email_src FROM (SELECT company, label, min(k) AS k FROM xe GROUP BY company, label) g GROUP BY company),
     xs AS (SELECT company, {first('contact_person', "contact_person <> '' AND " + known).replace('priority', rank_p)} AS contact_person,
       {first('address', "address <> '' AND " + known).replace('priority', rank_a)} AS address,
       coalesce({first('company_website', "company_website LIKE 'https%'")}, {first('company_website', "company_website <> ''")}) AS company_website,
       {first('company_number', "company_number <> ''")} AS company_number, {first('company_type', "company_type <> ''")} AS company_type,
       string_agg(label, '|' ORDER BY priority) AS enrichment_sources, count(*) AS n_parts, bool_or(ai_used) AS ai_used, max(enriched_at) AS enriched_at,
-      {first('label', "company_number <> ''")} AS number_src FROM x GROUP BY company),
-    merged AS (SELECT xs.*, coalesce(phones, []) AS phones, coalesce(emails, []) AS emails, phone_src FROM xs LEFT JOIN xps ON xps.company = xs.company
-      LEFT JOIN xes ON xes.company = xs.company LEFT JOIN xpl ON xpl.company = xs.company),
+      {first('label', "company_number <> ''")} AS number_src, {first('label', "company_type <> ''")} AS type_src,
+      coalesce({first('label', "company_website LIKE 'https%'")}, {first('label', "company_website <> ''")}) AS website_src,
+      {first('label', "contact_person <> '' AND " + known).replace('priority', rank_p)} AS person_src,
+      {first('label', "address <> '' AND " + known).replace('priority', rank_a)} AS address_src FROM x GROUP BY company),
+    merged AS (SELECT xs.*, coalesce(phones, []) AS phones, coalesce(emails, []) AS emails, phone_src, email_src FROM xs LEFT JOIN xps ON xps.company = xs.company
+      LEFT JOIN xes ON xes.company = xs.company LEFT JOIN xpl ON xpl.company = xs.company LEFT JOIN xel ON xel.company = xs.company),
     scored AS (SELECT *, CAST(greatest(0, least(100, CASE WHEN len(phones) > 0 THEN 30 ELSE 0 END + CASE WHEN len(emails) > 0 THEN 30 ELSE 0 END
       + CASE WHEN company_number IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN contact_person IS NOT NULL THEN 10 ELSE 0 END + CASE WHEN company_website IS NOT NULL THEN 10 ELSE 0 END
       - CASE WHEN ai_used AND n_parts = 1 THEN 20 ELSE 0 END + CASE WHEN '|' || enrichment_sources || '|' LIKE '%|job_description|%' THEN 10 ELSE 0 END)) AS INTEGER) AS confidence_score FROM merged)"""
@@ -376,11 +380,16 @@ def enriched_count(i):
     return waterfall.enriched_count(contacts.merge_contacts(_parts(i)))
 
 
-@query("attribution_contacts", _merge_cte("f_parts") + """ SELECT field, origin, count(*) AS n FROM (SELECT 'phone_numbers' AS field, unnest(string_split(phone_src, '|')) AS origin FROM scored
-    UNION ALL SELECT 'company_number', number_src FROM scored) q WHERE origin IS NOT NULL GROUP BY field, origin""", PARTS)
+def _origins(fields: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{f}' AS field, {src} AS origin FROM scored" for f, src in fields.items())
+
+
+@query("attribution_contacts", _merge_cte("f_parts") + f""" SELECT field, origin, count(*) AS n FROM ({_origins({
+    "phone_numbers": "unnest(string_split(phone_src, '|'))", "emails": "unnest(string_split(email_src, '|'))",
+    "contact_person": "person_src", "address": "address_src", "company_website": "website_src", "company_number": "number_src",
+    "company_type": "type_src"})}) q WHERE origin IS NOT NULL GROUP BY field, origin""", PARTS)
 def attribution_contacts(i):
-    a = quality.attribution_contacts(contacts.merge_contacts(_parts(i)))
-    return a.where(F.col("field").isin("phone_numbers", "company_number"))
+    return quality.attribution_contacts(contacts.merge_contacts(_parts(i)))
 
 
 @query("confidence_band", _merge_cte("f_parts") + """ SELECT CASE WHEN confidence_score >= 70 THEN 'green' WHEN confidence_score >= 40 THEN 'amber' ELSE 'red' END AS band, count(*) AS n FROM scored GROUP BY band""", PARTS)
@@ -453,13 +462,18 @@ def cache_merge(i):
         "company", joined("phone_numbers"), joined("emails"), joined("enrichment_sources"), F.size("changes").alias("n_changes"))
 
 
-@query("cached_scan", "SELECT company, array_to_string(phone_numbers, '|') AS phone_numbers, CAST(NULL AS VARCHAR) AS company_type, 0 AS confidence_score FROM f_cache", ("f_cache",))
+@query("cached_scan", """SELECT company, array_to_string(phone_numbers, '|') AS phone_numbers, array_to_string(emails, '|') AS emails, CAST(NULL AS VARCHAR) AS contact_person,
+    CAST(NULL AS VARCHAR) AS address, 'http://x' AS company_website, CAST(NULL AS VARCHAR) AS company_number, CAST(NULL AS VARCHAR) AS company_type,
+    array_to_string(enrichment_sources, '|') AS enrichment_sources, false AS ai_used, CAST(NULL AS VARCHAR) AS enriched_at, 0 AS confidence_score,
+    0 AS n_origins, 0 AS n_changes FROM f_cache""", ("f_cache",))
 def cached_scan(i):
     old = i.view("f_cache").select(
         "company", F.to_json("phone_numbers").alias("phone_numbers"), F.to_json("emails").alias("emails"),
         F.lit("http://x").alias("website"), F.lit(0).alias("ai_used"), F.to_json("enrichment_sources").alias("enrichment_sources"))
     out = registers.read_cached_contacts(i.spark, old)
-    return out.select("company", joined("phone_numbers"), "company_type", "confidence_score")
+    return out.select(
+        "company", joined("phone_numbers"), joined("emails"), "contact_person", "address", "company_website", "company_number", "company_type",
+        joined("enrichment_sources"), "ai_used", "enriched_at", "confidence_score", F.size("field_sources").alias("n_origins"), F.size("changes").alias("n_changes"))
 
 
 # ------------------------------------------------------------------ registers, search
@@ -721,12 +735,19 @@ def stream_capture_merge(i):
     return out.select("event_type", "user_id", "value", "props")
 
 
-@query("stream_skip_seen", "SELECT event_id FROM events WHERE event_type NOT IN (SELECT event_type FROM events WHERE user_id = 7 AND event_type = 'click')")
+@query("stream_skip_seen", """SELECT event_id FROM events WHERE concat_ws('/', event_type, user_id, props) NOT IN
+    (SELECT concat_ws('/', event_type, user_id, props) FROM events WHERE ts < (SELECT to_timestamp(avg(epoch(ts))) AT TIME ZONE 'UTC' FROM events))""")
 def stream_skip_seen(i):
+    """The later half of the events after the earlier half, of all users, was stored."""
     root = work_dir(i.spark, "fresh")
-    seen = i.table("events").where("user_id = 7 AND event_type = 'click'").select("event_type").distinct()
+    key = F.concat_ws("/", "event_type", "user_id", "props").alias("hash")
+    events = i.table("events")
+    middle = events.agg(F.timestamp_seconds(F.avg(F.unix_micros("ts") / 1e6)).alias("middle"))
+    stored = upsert.KeyedTable(i.spark, f"{root}/stored", ["hash"], order="hash")
+    stored.write_batch(events.join(F.broadcast(middle), F.col("ts") < F.col("middle")).select(key), 0)
     table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_id"], order="event_id")
-    out = capture.run_to_table(_event_stream(i), table, f"{root}/checkpoint", lambda d: capture.skip_seen(d, seen, "event_type"))
+    out = capture.run_to_table(
+        _event_stream(i).withColumn("hash", key), table, f"{root}/checkpoint", lambda d: capture.skip_seen(d, stored.current()))
     return out.select("event_id")
 
 
