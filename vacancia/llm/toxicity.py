@@ -23,7 +23,7 @@ score is the share of toxic labels, 0 if there are none. Rows repeat with their
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -32,9 +32,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from ..session import cut_lineage, work_dir
-from .common import Remembered, mix, row_key, ship, slices, whole_text, word_hashes, worker_state
+from .common import mix, row_key, ship, slices, whole_text, word_hashes, worker_state
 from .learning import fold, labelled, teaching_labels
 
 #: Characters of an n-gram in the class models, and in the shared distribution that they fall back to.
@@ -51,8 +52,6 @@ CALIBRATION, CALIBRATION_ROWS = 0.2, 20_000
 #: Characters of a text that are split into words together, those whose words are counted together, and
 #: words whose n-grams are held together, about: they bound the memory of a worker.
 TEXT_CHARS, COUNT_CHARS, BLOCK_WORDS = 1 << 20, 1 << 21, 20_000
-#: Words whose differences a worker remembers.
-REMEMBERED = 200_000
 _PAD, _END, _GAP = "\x02", "\x03", re.compile(r"[\W_]")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -307,29 +306,42 @@ class Differences:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.first = Lookup(keys, values)
-        self.known = Remembered(self.words, REMEMBERED)
 
-    def words(self, words: list[str]) -> list[float]:
-        value, hit = self.first.of(word_hashes([[w.encode() for w in words]])[0])
-        return np.where(hit, value, np.nan).tolist()
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word the difference, whether the first tier has it, and its hash; each distinct word is hashed once."""
+        number: defaultdict = defaultdict()
+        number.default_factory = number.__len__
+        ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        hashes = np.fromiter(map(xxh64_intdigest, number), np.uint64, len(number))
+        value, hit = self.first.of(hashes)
+        return value[ids], hit[ids], hashes[ids]
+
+    def _sums(self, lists: list[list[str]]) -> list[list]:
+        """For each list of words: words, sum and summed excess of the first tier's, their largest two, hashes of the others."""
+        sizes = np.array([len(w) for w in lists])
+        value, hit, hashes = self.look_up([w for x in lists for w in x])
+        owner = np.repeat(np.arange(len(lists)), sizes)
+        sums = [np.bincount(owner, x, len(lists)) for x in (value, np.where(hit, np.maximum(value - EXCESS, 0), 0))]
+        out, at = [], 0
+        for i, n in enumerate(sizes.tolist()):
+            here = slice(at, at + n)
+            at += n
+            top = np.append(value[here][hit[here]], [-np.inf, -np.inf])
+            out.append([n, sums[0][i], sums[1][i], np.partition(top, -2)[-2:], hashes[here][~hit[here]].view(np.int64)])
+        return out
 
     def describe(self, texts: list[str]) -> list[tuple]:
         """Words, sum and summed excess of the first tier's, the two most toxic of them, hashes of the others."""
         out = []
         for part in slices(texts, TEXT_CHARS // 2):
-            # Only a text of its own slice has more than one list.
-            lists = [list(word_lists(t)) for t in part] if len(part) > 1 else [word_lists(part[0])]
-            get = self.known.of([w for x in lists for w in x]).__getitem__ if len(part) > 1 else None
-            for words in lists:
-                n, s, e, top, rest = 0, 0.0, 0.0, np.full(2, -np.inf), []
-                for w in words:
-                    value = np.fromiter(map(get or self.known.of([w]).__getitem__, w), float, len(w))
-                    absent = np.isnan(value)
-                    rest.append(word_hashes([[w[i].encode() for i in np.flatnonzero(absent)]])[0].view(np.int64))
-                    value = value[~absent]
-                    top = np.partition(np.append(value, top), -2)[-2:]
-                    n, s, e = n + len(w), s + value.sum(), e + np.maximum(value - EXCESS, 0).sum()
-                out.append((n, s, e, top[1], top[0], np.concatenate(rest)))
+            if len(part) > 1:
+                found = self._sums([words_of(t) for t in part])
+            else:
+                # A text of its own slice may have several lists.
+                lists = [self._sums([w])[0] for w in word_lists(part[0])]
+                n, s, e, tops, rest = zip(*lists)
+                found = [[sum(n), sum(s), sum(e), np.partition(np.concatenate(tops), -2)[-2:], np.concatenate(rest)]]
+            out += [(n, s, e, top[1], top[0], rest) for n, s, e, top, rest in found]
         return out
 
 
