@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from vacancia.functions.similarity import ratio_at_least
 from vacancia.operators import cache, contacts, dedup, export, quality, registry, upsert, waterfall, websites
+from vacancia.operators.counts import StageCounts
 from vacancia.plans import runs
 from vacancia.schema import CONTACT_PARTS, CONTACTS, POSTINGS, conform, union_sources
-from vacancia.session import work_dir
-from vacancia.sources import registers
-from vacancia.streaming import capture
+from vacancia.session import cut_lineage, work_dir
+from vacancia.sources import listings, registers
+from vacancia.streaming import capture, inbox, state
 
 from . import duck
 from .catalog_extract import _seed_cte
@@ -120,11 +121,63 @@ def dedup_fuzzy_by_place(i):
     return out.select("ord", "title", "company", "location", joined("sources"))
 
 
+_PLAIN = ("àâäáãåçèéêëìíîïñòóôöõùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+
+
+def _plain(c: str) -> str:
+    """Lower case without accents: the edit distances of both engines agree on it."""
+    return f"translate(lower({c}), '{_PLAIN[0]}', '{_PLAIN[1]}')"
+
+
+def _leaders(key: str) -> str:
+    """Greedy leaders over ``us``: titles of a key in order; each joins the earliest leader that is similar enough."""
+    near = "1 - levenshtein(x, r.title) / CAST(greatest(length(x), length(r.title)) AS DOUBLE) >= 0.85"
+    return f""", keyed AS (SELECT *, {key} AS ck, {duck.norm('title')} AS nt, {_SCORE} AS score FROM us),
+    t AS (SELECT ck, nt AS title, min(ord) AS tid FROM keyed WHERE ck IS NOT NULL GROUP BY ck, nt),
+    tr AS (SELECT *, row_number() OVER (PARTITION BY ck ORDER BY tid) AS k FROM t),
+    walk AS (SELECT ck, k, [tid] AS tids, [title] AS titles, title, tid AS leader FROM tr WHERE k = 1
+      UNION ALL SELECT ck, k, CASE WHEN m IS NULL THEN list_append(tids, tid) ELSE tids END, CASE WHEN m IS NULL THEN list_append(titles, title) ELSE titles END,
+        title, CASE WHEN m IS NULL THEN tid ELSE tids[m] END
+      FROM (SELECT w.ck, r.k, w.tids, w.titles, r.title, r.tid, list_position(list_transform(w.titles, lambda x: {near}), true) AS m
+            FROM walk w JOIN tr r ON r.ck = w.ck AND r.k = w.k + 1) step),
+    c3 AS (SELECT keyed.*, coalesce(walk.leader, -1 - ord) AS cl FROM keyed LEFT JOIN walk ON walk.ck = keyed.ck AND walk.title = keyed.nt),
+    r3 AS (SELECT *, row_number() OVER (PARTITION BY cl ORDER BY score DESC, ord, source, job_id) AS r FROM c3)
+    SELECT min(ord) AS ord, max(title) FILTER (r = 1) AS title, max(company) FILTER (r = 1) AS company,
+      array_to_string(list_concat(arg_min(sources, ord), list_filter(list_sort(list_distinct(flatten(list(sources)))), lambda s: NOT list_contains(arg_min(sources, ord), s))), '|') AS sources
+    FROM r3 GROUP BY cl"""
+
+
+# The recursion has to stand in the first WITH clause.
+_L2_PLAIN = f", f_plain AS (SELECT * REPLACE ({_plain('title')} AS title) FROM f_dup)" + L2.replace("FROM f_dup", "FROM f_plain")
+
+
+def _recursive(tail: str) -> str:
+    return (with_views("f_dup") + _L2_PLAIN + tail).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _dup_plain(i: Inputs) -> DataFrame:
+    return _dup(i).withColumn("title", F.translate(F.lower("title"), *_PLAIN))
+
+
+@query("dedup_edit", _recursive(_leaders("lower(coalesce(company, ''))")))
+def dedup_edit(i):
+    """Three levels with the edit measure."""
+    return dedup.deduplicate(_dup_plain(i), kind="edit").select("ord", "title", "company", joined("sources"))
+
+
+@query("dedup_edit_by_place", _recursive(_leaders(f"CASE WHEN coalesce(company, '') <> '' THEN lower(company) || '|' || {duck.norm('location')} END")))
+def dedup_edit_by_place(i):
+    out = dedup.deduplicate(_dup_plain(i), match_location=True, blank_company="skip", kind="edit")
+    return out.select("ord", "title", "company", joined("sources"))
+
+
 @query(
     "dedup_stats",
     L2 + " SELECT (SELECT count(*) FROM f_dup) AS raw_total, (SELECT count(*) FROM us) AS unique_total, (SELECT count(*) FROM f_dup) - (SELECT count(*) FROM us) AS removed", DUP)
 def dedup_stats(i):
-    return dedup.dedup_stats(_dup(i), _l2(i))
+    counts = StageCounts()
+    cut_lineage(dedup.deduplicate(_dup(i), levels=2, counts=counts))
+    return dedup.dedup_stats(i.spark, counts)
 
 
 @query("completeness_score", ", l1 AS (SELECT * FROM f_dup) SELECT ord, CAST(" + _SCORE + " - 1 AS INTEGER) AS score FROM l1", DUP)
@@ -281,7 +334,7 @@ def csv_contacts(i):
 
 @query(
     "csv_round_trip",
-    L2 + " SELECT job_id, array_to_string(sources, '|') AS sources, company FROM us", DUP)
+    L2 + " SELECT nullif(job_id, '') AS job_id, array_to_string(sources, '|') AS sources, company FROM us", DUP)
 def csv_round_trip(i):
     path = work_dir(i.spark, "csv")
     r = _run(i)
@@ -465,7 +518,7 @@ def cache_merge(i):
 @query("cached_scan", """SELECT company, array_to_string(phone_numbers, '|') AS phone_numbers, array_to_string(emails, '|') AS emails, CAST(NULL AS VARCHAR) AS contact_person,
     CAST(NULL AS VARCHAR) AS address, 'http://x' AS company_website, CAST(NULL AS VARCHAR) AS company_number, CAST(NULL AS VARCHAR) AS company_type,
     array_to_string(enrichment_sources, '|') AS enrichment_sources, false AS ai_used, CAST(NULL AS VARCHAR) AS enriched_at, 0 AS confidence_score,
-    0 AS n_origins, 0 AS n_changes FROM f_cache""", ("f_cache",))
+    CAST(NULL AS INTEGER) AS n_origins, CAST(NULL AS INTEGER) AS n_changes FROM f_cache""", ("f_cache",))
 def cached_scan(i):
     old = i.view("f_cache").select(
         "company", F.to_json("phone_numbers").alias("phone_numbers"), F.to_json("emails").alias("emails"),
@@ -478,22 +531,19 @@ def cached_scan(i):
 
 # ------------------------------------------------------------------ registers, search
 
-_PLAIN = ("àâäáãåçèéêëìíîïñòóôöõùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
-
-
 @query("registry_fuzzy_join")
 def registry_fuzzy_join(i):
     return registry.best_matches(i.view("f_companies"), i.view("f_register"), registry.COMPANY_REGISTER_MIN)
 
 
-@query(
-    "registry_lev_join",
-    f""", c AS (SELECT company, translate(lower(company), '{_PLAIN[0]}', '{_PLAIN[1]}') AS a FROM f_companies),
-    n AS (SELECT translate(lower(name), '{_PLAIN[0]}', '{_PLAIN[1]}') AS b, min(cand_ord) AS cand_ord FROM f_register GROUP BY b),
+_BEST = f""", c AS (SELECT company, {_plain('company')} AS a FROM f_companies),
+    n AS (SELECT {_plain('name')} AS b, min(cand_ord) AS cand_ord FROM f_register GROUP BY b),
     cw AS (SELECT DISTINCT a, unnest(string_split({duck.norm('a')}, ' ')) AS w FROM c), nw AS (SELECT DISTINCT b, cand_ord, unnest(string_split({duck.norm('b')}, ' ')) AS w FROM n),
     p AS (SELECT DISTINCT a, b, cand_ord, CAST(1 - levenshtein(a, b) / CAST(greatest(length(a), length(b)) AS DOUBLE) AS DOUBLE) AS score FROM cw JOIN nw ON cw.w = nw.w WHERE cw.w <> ''),
-    best AS (SELECT * FROM p WHERE score >= 0.75 QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, cand_ord) = 1)
-    SELECT c.company, best.cand_ord, round(best.score, 6) AS score FROM c JOIN best ON best.a = c.a""", ("f_companies", "f_register"))
+    best AS (SELECT * FROM p WHERE score >= 0.75 QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, cand_ord) = 1)"""
+
+
+@query("registry_lev_join", _BEST + " SELECT c.company, best.cand_ord, round(best.score, 6) AS score FROM c JOIN best ON best.a = c.a", ("f_companies", "f_register"))
 def registry_lev_join(i):
     c = i.view("f_companies").select("company", F.translate(F.lower("company"), *_PLAIN).alias("plain"))
     reg = i.view("f_register").select("cand_ord", F.translate(F.lower("name"), *_PLAIN).alias("name"))
@@ -501,13 +551,30 @@ def registry_lev_join(i):
     return c.join(hits.withColumnRenamed("company", "plain"), "plain").select("company", "cand_ord", F.round("score", 6).alias("score"))
 
 
-@query("company_register_parts")
-def company_register_parts(i):
+def _register_profiles(i: Inputs, name: str = "name") -> DataFrame:
     none = F.lit(None).cast("string")
     addr = F.struct("premises", F.col("line1").alias("address_line_1"), none.alias("address_line_2"), F.col("town").alias("locality"),
                     none.alias("region"), F.col("code").alias("postal_code"), none.alias("country"))
-    reg = i.view("f_register").withColumn("registered_office_address", addr).withColumnRenamed("name", "title")
-    out = registry.company_register_parts(i.view("f_companies"), reg, i.view("f_officers"))
+    return i.view("f_register").withColumn("registered_office_address", addr).withColumn("title", F.expr(name)).drop("name")
+
+
+@query("company_register_parts")
+def company_register_parts(i):
+    out = registry.company_register_parts(i.view("f_companies"), _register_profiles(i), i.view("f_officers"))
+    return out.select("company", "company_number", "company_type", "address", "contact_person")
+
+
+@query(
+    "company_register_edit",
+    _BEST + """, o AS (SELECT company_number, arg_min(name, officer_ord) AS contact_person FROM f_officers WHERE coalesce(resigned_on, '') = ''
+      AND regexp_matches(lower(officer_role), 'secretary|director|manager') GROUP BY company_number)
+    SELECT DISTINCT c.a AS company, r.company_number, r.company_type, concat_ws(', ', nullif(premises, ''), nullif(line1, ''), town, code) AS address, o.contact_person
+    FROM c JOIN best ON best.a = c.a JOIN f_register r ON r.cand_ord = best.cand_ord LEFT JOIN o ON o.company_number = r.company_number
+    WHERE r.company_status IS NULL OR r.company_status <> 'dissolved'""", ("f_companies", "f_register", "f_officers"))
+def company_register_edit(i):
+    plain = F.translate(F.lower("company"), *_PLAIN).alias("company")
+    out = registry.company_register_parts(
+        i.view("f_companies").select(plain).distinct(), _register_profiles(i, _plain("name")), i.view("f_officers"), kind="edit")
     return out.select("company", "company_number", "company_type", "address", "contact_person")
 
 
@@ -646,18 +713,28 @@ def runs_audit(i):
     return upsert.upsert(row.drop("b"), again.drop("b"), ["run_id"])
 
 
-@query("run_history", L2 + """ SELECT 'r1' AS run_id, count(*) AS jobs_scraped, count(*) FILTER (hash IS NOT NULL) AS jobs_new,
-    (SELECT count(*) FROM f_dup) - count(*) AS jobs_duplicate FROM us""", DUP)
+@query("run_history", L2 + """, first AS (SELECT DISTINCT hash FROM l1h WHERE source = 'reed')
+    SELECT 'r1' AS run_id, (SELECT count(*) FROM first) AS jobs_scraped, (SELECT count(*) FROM first) AS jobs_new,
+      (SELECT count(*) FROM f_dup WHERE source = 'reed') - (SELECT count(*) FROM first) AS jobs_duplicate, 0::BIGINT AS ai_calls_made, 0::BIGINT AS errors,
+      (SELECT count(*) FROM us) AS stored
+    UNION ALL SELECT 'r2', count(*), count(*) FILTER (hash NOT IN (SELECT hash FROM first)), (SELECT count(*) FROM f_dup) - count(*),
+      (SELECT count(*) FROM conversations WHERE role = 'assistant'), (SELECT count(*) FROM f_postings WHERE job_id = ''), count(*) FROM us""", DUP + ("f_postings",))
 def run_history(i):
-    r = _run(i)
+    """One source is stored by a first run, all sources by a second one, which is sent twice."""
     root = work_dir(i.spark, "history")
     jobs = upsert.KeyedTable(i.spark, f"{root}/jobs", ["hash"])
     people = upsert.KeyedTable(i.spark, f"{root}/contacts", ["company"])
     audit = upsert.KeyedTable(i.spark, f"{root}/runs", ["run_id"])
-    row = runs.run_audit("r1", "2024-01-01T00:00:00Z", "2024-01-01T01:00:00Z", r.raw, r.postings, r.postings, r.contacts)
-    runs.store_run(r, jobs, people, audit, 0, row)
-    runs.store_run(r, jobs, people, audit, 1, row)
-    return audit.current().select("run_id", "jobs_scraped", "jobs_new", "jobs_duplicate")
+    first = runs.run(_dup(i).where("source = 'reed'"), runs.RunOptions(levels=2))
+    runs.store_run(first, jobs, people, audit, 0, runs.run_audit("r1", "2024-01-01T00:00:00Z", "2024-01-01T01:00:00Z", first, jobs, 0))
+    _, rejects = listings.split_rejects(i.view("f_postings"))
+    calls = i.table("conversations").where("role = 'assistant'")
+    second = _run(i)
+    for _ in range(2):
+        row = runs.run_audit("r2", "2024-01-02T00:00:00Z", "2024-01-02T01:00:00Z", second, jobs, 1, rejects, calls)
+        runs.store_run(second, jobs, people, audit, 1, row)
+    stored = F.lit(jobs.current().count()).cast("bigint").alias("stored")
+    return audit.current().select("run_id", "jobs_scraped", "jobs_new", "jobs_duplicate", "ai_calls_made", "errors", stored)
 
 
 @query("union_batches", "SELECT ord, source FROM (SELECT ord, source FROM f_postings UNION ALL SELECT (CAST(1 AS BIGINT) << 50) + ord, 'ads' FROM f_ads) q", ("f_postings", "f_ads"))
@@ -725,26 +802,87 @@ def stream_counts(i):
     return capture.run_counts(_event_stream(i), ["event_type"], f"{root}/table", f"{root}/checkpoint")
 
 
-@query("stream_capture_merge", "SELECT event_type, CAST(user_id AS VARCHAR) AS user_id, arg_max(value, event_id) AS value, arg_min(props, 1000000000 - length(props) * 10000000 + event_id) AS props FROM events GROUP BY event_type, user_id")
+def _event_files(i: Inputs, order: str, files: int = 3) -> DataFrame:
+    """The events as a stream of landed files, one a micro-batch, in that order; rows inside a file are in none."""
+    path = work_dir(i.spark, "events")
+    events = i.table("events")
+    low, high = events.agg(F.min(order), F.max(order)).first()
+    step = (high - low) / files
+    for n in range(files):
+        last = n == files - 1
+        part = events.where((F.col(order) >= low + step * n) & (F.lit(last) | (F.col(order) < low + step * (n + 1))))
+        part.repartition(1, "value").write.mode("append").parquet(path)
+    return capture.file_stream(i.spark, path, events.schema, maxFilesPerTrigger=1)
+
+
+@query("stream_capture_merge", """SELECT event_type, user_id, arg_max(value, event_id) AS value, arg_min(props, 1000000000 - length(props) * 10000000 + event_id) AS props,
+    max(event_id) AS event_id FROM events GROUP BY event_type, user_id""")
 def stream_capture_merge(i):
+    """Three files, the last one sent twice."""
     root = work_dir(i.spark, "captures")
-    table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_type", "user_id"], order="event_id", by_order=True)
-    capture.run_to_table(_event_stream(i), table, f"{root}/checkpoint")
-    rows = table.batches().select("event_type", F.col("user_id").cast("string").alias("user_id"), "value", "props", "event_id")
-    out = capture.merge_captures(rows, ["event_type", "user_id"], F.col("event_id"), longest="props")
-    return out.select("event_type", "user_id", "value", "props")
+    table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_type", "user_id"], order="event_id")
+    rows = _event_files(i, "event_id").select("event_type", "user_id", "event_id", "value", "props")
+    state.drain(state.stream_merge(rows, ["event_type", "user_id"], "event_id", longest="props"), table, f"{root}/checkpoint")
+    return table.current().select("event_type", "user_id", "value", "props", "event_id")
+
+
+@query("stream_repeat_suppress", "SELECT event_id, user_id, event_type FROM events QUALIFY coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) <> event_type, true)")
+def stream_repeat_suppress(i):
+    root = work_dir(i.spark, "repeats")
+    table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_id"], order="event_id")
+    state.drain(state.stream_repeats(_event_files(i, "event_id"), "user_id", "event_id", "event_type"), table, f"{root}/checkpoint")
+    return table.current().select("event_id", "user_id", "event_type")
+
+
+@query(
+    "stream_cache_ttl",
+    """WITH RECURSIVE lookups AS (SELECT user_id, min(ts) AS stored_at FROM events GROUP BY user_id
+      UNION ALL SELECT l.user_id, (SELECT min(e.ts) FROM events e WHERE e.user_id = l.user_id AND e.ts > l.stored_at + INTERVAL 3 DAY) FROM lookups l WHERE l.stored_at IS NOT NULL)
+    SELECT e.event_id, e.user_id, CASE WHEN e.ts = l.stored_at THEN 'lookup' ELSE 'hit' END AS outcome, l.stored_at AS stored_at FROM events e
+    ASOF JOIN (SELECT * FROM lookups WHERE stored_at IS NOT NULL) l ON e.user_id = l.user_id AND e.ts >= l.stored_at""")
+def stream_cache_ttl(i):
+    """Requests of three files for a record per user that lives three days."""
+    root = work_dir(i.spark, "cache")
+    table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_id"], order="event_id")
+    requests = _event_files(i, "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+    state.drain(state.stream_cache(requests, "user_id", "ts", "event_id", 3), table, f"{root}/checkpoint")
+    return table.current().select("event_id", "user_id", "outcome", F.col("stored_at").cast("timestamp_ntz").alias("stored_at"))
+
+
+@query(
+    "stream_inbox_rejects",
+    """, m AS (SELECT custkey, count(*) AS n FROM f_postings GROUP BY custkey)
+    SELECT 'stored' AS kind, count(*) AS n FROM (SELECT DISTINCT source, job_id FROM f_postings WHERE custkey % 7 <> 3 AND job_id <> '')
+    UNION ALL SELECT 'rejected unreadable', count(*) FILTER (custkey % 7 = 3) FROM m
+    UNION ALL SELECT 'rejected missing_job_id', count(*) FROM f_postings WHERE custkey % 7 <> 3 AND job_id = ''
+    UNION ALL SELECT 'received', sum(CASE WHEN custkey % 7 = 3 THEN 1 ELSE n END)::BIGINT FROM m
+    UNION ALL SELECT 'stored in calls', count(*) FROM f_postings WHERE custkey % 7 <> 3 AND job_id <> ''
+    UNION ALL SELECT 'total', count(*) FROM (SELECT DISTINCT source, job_id FROM f_postings WHERE custkey % 7 <> 3 AND job_id <> '')""", ("f_postings",))
+def stream_inbox_rejects(i):
+    """Messages of every customer's postings land as files; every seventh customer's are cut off."""
+    root = work_dir(i.spark, "inbox")
+    item = F.struct("job_id", "source", "title", "company", "location", "salary_text", "requirements", "scraped_at")
+    jobs = i.view("f_postings").groupBy("custkey").agg(F.collect_list(item).alias("jobs"))
+    whole = F.to_json(F.struct("jobs"))
+    messages = jobs.select(F.when(F.col("custkey") % 7 == 3, F.substring(whole, 1, 30)).otherwise(whole).alias("value"))
+    for n in range(3):
+        messages.where(F.pmod(F.hash("value"), F.lit(3)) == n).coalesce(1).write.mode("append").text(f"{root}/landed")
+    box = inbox.Inbox(i.spark, f"{root}/box")
+    box.drain(inbox.message_stream(i.spark, f"{root}/landed", whole_files=False, maxFilesPerTrigger=1), f"{root}/checkpoint")
+    calls = box.calls().agg(F.sum("received").alias("received"), F.sum("stored").alias("stored in calls"), F.max("total").alias("total"))
+    counts = calls.unpivot([], ["received", "stored in calls", "total"], "kind", "n")
+    rejected = box.rejects().groupBy(F.concat(F.lit("rejected "), "reject_reason").alias("kind")).agg(F.count("*").alias("n"))
+    return box.jobs.current().agg(F.count("*").alias("n")).select(F.lit("stored").alias("kind"), "n").unionByName(rejected).unionByName(counts)
 
 
 @query("stream_skip_seen", """SELECT event_id FROM events WHERE concat_ws('/', event_type, user_id, props) NOT IN
-    (SELECT concat_ws('/', event_type, user_id, props) FROM events WHERE ts < (SELECT to_timestamp(avg(epoch(ts))) AT TIME ZONE 'UTC' FROM events))""")
+    (SELECT concat_ws('/', event_type, user_id, props) FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00')""")
 def stream_skip_seen(i):
-    """The later half of the events after the earlier half, of all users, was stored."""
+    """All events after those of an earlier run, of all users, were stored."""
     root = work_dir(i.spark, "fresh")
     key = F.concat_ws("/", "event_type", "user_id", "props").alias("hash")
-    events = i.table("events")
-    middle = events.agg(F.timestamp_seconds(F.avg(F.unix_micros("ts") / 1e6)).alias("middle"))
     stored = upsert.KeyedTable(i.spark, f"{root}/stored", ["hash"], order="hash")
-    stored.write_batch(events.join(F.broadcast(middle), F.col("ts") < F.col("middle")).select(key), 0)
+    stored.write_batch(i.table("events").where("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'").select(key), 0)
     table = upsert.KeyedTable(i.spark, f"{root}/table", ["event_id"], order="event_id")
     out = capture.run_to_table(
         _event_stream(i).withColumn("hash", key), table, f"{root}/checkpoint", lambda d: capture.skip_seen(d, stored.current()))

@@ -38,3 +38,8 @@ def fresh_until(raw: Column, days: int, as_of: Column) -> Column:
     """Freshness test: unknown and unreadable dates are refused."""
     ts = parse_iso(raw)
     return F.coalesce(ts >= as_of - F.make_dt_interval(days=F.lit(days)), F.lit(False))
+
+
+def time_stamp(now: Column | None = None) -> Column:
+    """A point in time as records store it; the job's own time by default."""
+    return F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -104,6 +104,16 @@ def length_compatible(a: Column, b: Column, threshold: float, kind: str = "seque
     return 2 * short >= threshold * (la + lb) - 1e-9
 
 
+def may_reach(a: Column, b: Column, threshold: float) -> Column:
+    """Whether two texts can have that sequence ratio, decided JVM-side.
+
+    Characters outside the matched ones number ``la + lb - 2 * M``. Deleting and inserting them turns one text
+    into the other, so the edit distance is no larger; it is calculated up to that bound only.
+    """
+    most = F.floor((1 - threshold) * (F.length(a) + F.length(b)) + 1e-9).cast("int")
+    return F.call_function("levenshtein", a, b, most) >= 0
+
+
 def shared_buckets(keyed: DataFrame, spread: int = 10_000) -> DataFrame:
     """Keep buckets with at least two members, and say over how many salts each one is spread."""
     sizes = keyed.groupBy("bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)

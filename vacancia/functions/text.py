@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from functools import cache
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,22 +41,17 @@ SITE_PATTERNS = [
     "https://www.{slug}.org.uk", "https://{slug}.co.uk", "https://www.{slug}.co.uk",
     "https://{slug}.com",
 ]
-# Named character references decoded natively (numeric ones are decoded by rule).
-ENTITIES = {
-    "&nbsp;": " ", "&pound;": "£", "&euro;": "€", "&cent;": "¢", "&ndash;": "–",
-    "&mdash;": "—", "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”",
-    "&hellip;": "…", "&bull;": "•", "&middot;": "·", "&copy;": "©", "&reg;": "®",
-    "&trade;": "™", "&deg;": "°", "&frac12;": "½", "&eacute;": "é", "&egrave;": "è",
-    "&agrave;": "à", "&ccedil;": "ç", "&auml;": "ä", "&ouml;": "ö", "&uuml;": "ü",
-    "&szlig;": "ß", "&ntilde;": "ñ", "&laquo;": "«", "&raquo;": "»", "&times;": "×",
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
-}
 # One alternation: comments and script-like blocks go before plain tags are recognised.
 MARKUP = (
     r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>|</?[a-z!?][^>]*>"
 )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value calculated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 
@@ -135,35 +135,62 @@ def parse_location(text: Column) -> Column:
     return F.struct(city(text).alias("city"), postcode(text).alias("postcode"))
 
 
-def decode_entities(c: Column) -> Column:
-    """Named references from the fixed list and every numeric reference; ``&amp;`` last."""
-    out = c
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    out = F.when(F.contains(c, F.lit("&#")), _numeric_entities(out)).otherwise(out)
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+@cache
+def _references() -> tuple[str, str]:
+    """All named character references of HTML as a JSON object, and a pattern of those that need no semicolon.
 
+    The table is the standard library's. Frequent names come first, as a map is searched in order.
+    """
+    short = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    order = sorted(html5, key=lambda n: (n.rstrip(";") not in html5, n))
+    return json.dumps({n: html5[n] for n in order}), "|".join(short)
 
-def _numeric_entities(c: Column) -> Column:
-    pieces = F.split(c, "&#")
 
-    def decode(piece: Column) -> Column:
-        dec = F.regexp_extract(piece, r"^([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(piece, r"^[xX]([0-9a-fA-F]{1,6});", 1)
-        point = F.coalesce(
-            F.conv(F.nullif(hexa, F.lit("")), 16, 10).cast("bigint"),
-            F.nullif(dec, F.lit("")).cast("bigint"),
+# Numeric references 128 to 159 mean the characters of this code page; five of them have none.
+_PAGE = [bytes([i]).decode("cp1252", "replace").replace("\ufffd", chr(i)) for i in range(128, 160)]
+
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric character references of HTML, each decoded once.
+
+    A name without a semicolon is the longest one that needs none; what is no reference stays as it is. A number
+    that is no character becomes U+FFFD.
+    """
+    table, short = _references()
+    named = F.from_json(F.lit(table), "map<string,string>")
+    page = F.lit(_PAGE)
+
+    def number(piece: Column) -> Column:
+        dec = F.regexp_extract(piece, r"^#0*([0-9]{1,8})", 1)
+        hexa = F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]{1,8})", 1)
+        point = F.coalesce(F.conv(F.nullif(hexa, F.lit("")), 16, 10), F.nullif(dec, F.lit(""))).cast("bigint")
+        whole = F.regexp_extract(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+        good = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point <= 0x10FFFF))
+        char = F.when(point.between(128, 159), F.get(page, (point - 128).cast("int"))).when(
+            good, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        ).otherwise("\ufffd")
+        return F.when(whole != "", F.concat(char, F.substring(piece, F.length(whole) + 1, F.length(piece))))
+
+    def name(piece: Column) -> Column:
+        full = F.regexp_extract(piece, r"^[A-Za-z][A-Za-z0-9]{0,31};?", 0)
+        part = F.regexp_extract(piece, f"^(?:{short})", 0)
+
+        def rest(used: Column) -> Column:
+            return F.substring(piece, F.length(used) + 1, F.length(piece))
+
+        return F.coalesce(
+            F.concat(named[full], rest(full)), F.when(part != "", F.concat(named[part], rest(part)))
         )
-        ok = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point <= 0x10FFFF))
-        char = F.decode(F.unhex(F.lpad(F.hex(F.when(ok, point)), 8, "0")), "UTF-32")
-        rest = F.regexp_replace(piece, r"^(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", "")
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&#"), piece))
 
-    return F.concat(
-        F.element_at(pieces, 1),
-        F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode), ""),
-    )
+    def decode(piece: Column) -> Column:
+        found = F.when(F.startswith(piece, F.lit("#")), number(piece)).otherwise(name(piece))
+        return F.coalesce(found, F.concat(F.lit("&"), piece))
+
+    def joined(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), decode)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))
+
+    return bound(c, lambda v: F.when(F.contains(v, F.lit("&")), bound(F.split(v, "&"), joined)).otherwise(v))
 
 
 def html_to_text(html: Column) -> Column:

@@ -10,13 +10,14 @@ the posting whose description is used; the text itself is joined back once, at t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, content_key, norm_name
 from ..schema import JOB_TRACKED, POSTINGS, conform, filled, filled_sql
 from ..session import cut_lineage
+from .counts import StageCounts
 from .fuzzy import THRESHOLD, title_leaders
 
 # Fields that may be filled from another record when null / when empty.
@@ -149,7 +150,7 @@ def company_titles(df: DataFrame, match_location: bool = False, blank_company: s
     return df.withColumn("company_key", key).withColumn("norm_title", norm_name(F.col("title")))
 
 
-def _level3(slim: DataFrame, threshold: float, match_location: bool, blank_company: str) -> DataFrame:
+def _level3(slim: DataFrame, threshold: float, match_location: bool, blank_company: str, kind: str) -> DataFrame:
     """``slim`` is read several times, so it must be cheap to read."""
     rows = company_titles(slim, match_location, blank_company)
     titles = cut_lineage(
@@ -157,7 +158,7 @@ def _level3(slim: DataFrame, threshold: float, match_location: bool, blank_compa
         .groupBy("company_key", F.col("norm_title").alias("title"))
         .agg(F.min("ord").alias("tid"), F.count("*").alias("n"))
     )
-    absorbed = title_leaders(titles.drop("n"), threshold)
+    absorbed = title_leaders(titles.drop("n"), threshold, kind=kind)
     cluster = titles.join(absorbed.select("tid", "leader"), "tid", "left").withColumn(
         "cluster", F.coalesce("leader", "tid")
     )
@@ -178,22 +179,26 @@ def deduplicate(
     threshold: float = THRESHOLD,
     match_location: bool = False,
     blank_company: str = "group",
+    counts: StageCounts | None = None,
+    kind: str = "sequence",
 ) -> DataFrame:
-    """Run the first ``levels`` levels; ``df`` is read once for keys and once for descriptions."""
+    """Run the first ``levels`` levels; ``df`` is read once for keys and once for descriptions.
+
+    ``kind`` is the measure of titles, the sequence ratio or ``edit`` similarity. ``counts`` gets the rows of ``raw, level1, level2, level3`` from the job that runs them.
+    """
+    def counted(stage: str, rows: DataFrame) -> DataFrame:
+        return rows if counts is None else counts.at(stage, rows)
+
     start = _start(df)
-    out = level1(_slim(start))
+    out = counted("level1", level1(counted("raw", _slim(start))))
     if levels >= 2:
-        out = _level2(out)
+        out = counted("level2", _level2(out))
     if levels >= 3:
-        out = _level3(cut_lineage(out), threshold, match_location, blank_company)
+        out = counted("level3", _level3(cut_lineage(out), threshold, match_location, blank_company, kind))
     return conform(_restore(out, start), POSTINGS)
 
 
-def dedup_stats(raw: DataFrame, unique: DataFrame) -> DataFrame:
-    """One row: raw, unique and removed counts."""
-    counts = raw.agg(F.count("*").alias("raw_total")).withColumn("k", F.lit(1)).join(
-        unique.agg(F.count("*").alias("unique_total")).withColumn("k", F.lit(1)), "k"
-    )
-    return counts.select(
-        "raw_total", "unique_total", (F.col("raw_total") - F.col("unique_total")).alias("removed")
-    )
+def dedup_stats(spark: SparkSession, counts: StageCounts) -> DataFrame:
+    """One row: raw, unique and removed counts of a de-duplication that has run."""
+    raw, unique = counts.n("raw"), counts.n(counts.stages()[-1])
+    return spark.createDataFrame([(raw, unique, raw - unique)], "raw_total long, unique_total long, removed long")

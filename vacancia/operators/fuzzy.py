@@ -24,20 +24,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.similarity import length_compatible, ratio_at_least, shared_buckets, signatures
+from ..functions.similarity import edit_similarity, length_compatible, may_reach, ratio_at_least, shared_buckets, signatures
 from ..session import cut_lineage
 
 THRESHOLD = 0.85
 FIRST_WINDOW = 4
 
 
-def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
+def _similar(pairs: DataFrame, threshold: float, kind: str) -> DataFrame:
     """Pairs (early, early_title, late, late_title) at or above the threshold."""
-    near = pairs.where(length_compatible(F.col("early_title"), F.col("late_title"), threshold)).distinct()
-    return near.where(ratio_at_least(threshold)(F.col("early_title"), F.col("late_title")).isNotNull())
+    early, late = F.col("early_title"), F.col("late_title")
+    near = pairs.where(length_compatible(early, late, threshold, kind)).distinct()
+    if kind == "edit":
+        return near.where(edit_similarity(early, late) >= threshold)
+    return near.where(may_reach(early, late, threshold)).where(ratio_at_least(threshold)(early, late).isNotNull())
 
 
-def _against_leaders(rows: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
+def _against_leaders(rows: DataFrame, leaders: DataFrame, threshold: float, kind: str) -> DataFrame:
     """Rows against the leaders before them in their buckets; hot buckets are spread over salts."""
     early = leaders.select(
         "bucket", "company_key", F.col("tid").alias("early"), F.col("title").alias("early_title"),
@@ -52,17 +55,19 @@ def _against_leaders(rows: DataFrame, leaders: DataFrame, threshold: float) -> D
     pairs = early.join(late, ["bucket", "salt", "company_key"]).where(F.col("early") < F.col("late"))
     if "known" in rows.columns:
         pairs = pairs.where(F.col("early") < F.col("known"))
-    return _similar(pairs.select("early", "early_title", "late", "late_title"), threshold)
+    return _similar(pairs.select("early", "early_title", "late", "late_title"), threshold, kind)
 
 
-def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int = FIRST_WINDOW) -> DataFrame:
+def title_leaders(
+    titles: DataFrame, threshold: float = THRESHOLD, window: int = FIRST_WINDOW, kind: str = "sequence",
+) -> DataFrame:
     """Map absorbed titles to their leader.
 
     ``titles`` has one row per (company_key, title) with ``tid``, the ordinal of its first
     posting. Returns ``company_key, title, tid, leader`` (the leader's tid) for titles that are
-    not leaders themselves.
+    not leaders themselves. ``kind='edit'`` compares by edit distance, JVM-side.
     """
-    keys = signatures(threshold)
+    keys = signatures(threshold, kind)
     keyed = titles.select(
         "tid", "title", F.explode(keys(F.col("title"))).alias("sig"), "company_key"
     ).select("tid", "title", "company_key", F.xxhash64("company_key", "sig").alias("bucket"))
@@ -79,11 +84,11 @@ def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int =
         a = front.select("bucket", "company_key", F.col("tid").alias("early"), F.col("title").alias("early_title"))
         b = front.select("bucket", "company_key", F.col("tid").alias("late"), F.col("title").alias("late_title"))
         inside = a.join(b, ["bucket", "company_key"]).where(F.col("early") < F.col("late")).drop("bucket", "company_key")
-        blocked = _similar(inside, threshold).select(F.col("late").alias("tid"))
+        blocked = _similar(inside, threshold, kind).select(F.col("late").alias("tid"))
         leaders = cut_lineage(whole.join(blocked, "tid", "left_anti"))
 
         leading = undecided.join(leaders, "tid", "left_semi")
-        hits = _against_leaders(undecided, leading, threshold)
+        hits = _against_leaders(undecided, leading, threshold, kind)
         taken = cut_lineage(hits.groupBy(F.col("late").alias("tid")).agg(F.min("early").alias("known")))
         absorbed.append(taken)
         left = undecided.join(leaders, "tid", "left_anti").join(taken, "tid", "left_anti")
@@ -96,7 +101,7 @@ def title_leaders(titles: DataFrame, threshold: float = THRESHOLD, window: int =
     taken = reduce(DataFrame.unionByName, absorbed)
     rows = members.join(taken, "tid")
     heads = members.join(taken.select("tid"), "tid", "left_anti")
-    better = _against_leaders(rows, heads, threshold).groupBy(F.col("late").alias("tid")).agg(
+    better = _against_leaders(rows, heads, threshold, kind).groupBy(F.col("late").alias("tid")).agg(
         F.min("early").alias("better")
     )
     final = taken.join(better, "tid", "left").select("tid", F.least("known", "better").alias("leader"))

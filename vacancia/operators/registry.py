@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.similarity import edit_similarity, length_compatible, ratio_at_least, signatures
+from ..functions.similarity import edit_similarity, length_compatible, may_reach, ratio_at_least, signatures
 from ..functions.text import join_parts, norm_name
 from ..schema import filled
 
@@ -51,6 +51,7 @@ def best_matches(
             F.col("score") >= threshold
         )
     else:
+        pairs = pairs.where(may_reach(F.col("a"), F.col("b"), threshold))
         scored = pairs.withColumn("score", ratio_at_least(threshold)(F.col("a"), F.col("b"))).where(
             F.col("score").isNotNull()
         )
@@ -91,10 +92,10 @@ def register_address(addr: Column) -> Column:
 
 def company_register_parts(
     companies: DataFrame, register: DataFrame, officers: DataFrame,
-    threshold: float = COMPANY_REGISTER_MIN,
+    threshold: float = COMPANY_REGISTER_MIN, kind: str = "sequence",
 ) -> DataFrame:
     """Companies to contact fields of their best register entry; a dissolved best match gives none."""
-    hits = best_matches(companies, register.withColumnRenamed("title", "name"), threshold)
+    hits = best_matches(companies, register.withColumnRenamed("title", "name"), threshold, kind)
     profile = register.select(
         "cand_ord", "company_number", "company_type", "company_status",
         register_address(F.col("registered_office_address")).alias("address"),

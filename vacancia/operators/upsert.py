@@ -57,9 +57,10 @@ class KeyedTable:
         rows = self.batches().withColumn("_rank", rank)
         return rows.where(F.col("_rank") == 1).drop("_rank", "batch")
 
-    def new_keys(self, rows: DataFrame) -> DataFrame:
-        """Rows whose key is not stored yet."""
-        return rows.join(self.batches().select(*self.keys).distinct(), self.keys, "left_anti")
+    def new_keys(self, rows: DataFrame, before: int | None = None) -> DataFrame:
+        """Rows whose key is not stored yet, in the batches ``before`` a number or in any."""
+        stored = self.batches() if before is None else self.batches().where(F.col("batch") < before)
+        return rows.join(stored.select(*self.keys).distinct(), self.keys, "left_anti")
 
     def compact(self, path: str) -> KeyedTable:
         """Write the current rows as batch 0 of a new folder and return that table."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cache import cached_contacts, split_cache
 from ..operators.clean import clean, filter_since
+from ..operators.counts import StageCounts
 from ..operators.contacts import first_company_rep, merge_contacts, seed_contacts
 from ..operators.dedup import dedup_stats, deduplicate
 from ..operators.export import nested_objects
@@ -18,7 +19,7 @@ from ..operators.quality import (
 )
 from ..operators.upsert import KeyedTable
 from ..operators.waterfall import Enricher, contacts_for, run_waterfall, seed_parts
-from ..schema import CONTACTS, conform
+from ..schema import CONTACTS, RUNS, conform
 from ..session import cut_lineage
 from ..sources.registers import resume, seen_hashes, seen_keys
 
@@ -45,6 +46,7 @@ class RunResult:
     postings: DataFrame
     contacts: DataFrame
     raw: DataFrame
+    counts: StageCounts
 
     def objects(self) -> DataFrame:
         return nested_objects(self.postings, self.contacts)
@@ -53,7 +55,7 @@ class RunResult:
         flagged = with_contact_flags(self.postings, self.contacts)
         return {
             "sources": source_counts(self.raw, self.postings),
-            "dedup": dedup_stats(self.raw, self.postings),
+            "dedup": dedup_stats(self.raw.sparkSession, self.counts),
             "coverage": field_coverage(flagged),
             "attribution_jobs": attribution_jobs(self.postings),
             "attribution_contacts": attribution_contacts(self.contacts),
@@ -61,13 +63,13 @@ class RunResult:
         }
 
 
-def prepare(raw: DataFrame, options: RunOptions, seen: DataFrame | None = None) -> DataFrame:
+def prepare(raw: DataFrame, options: RunOptions, seen: DataFrame | None = None, counts: StageCounts | None = None) -> DataFrame:
     """De-duplicate, drop what an earlier run stored, apply the recency filter, clean.
 
     The order is part of the meaning: a stored posting may be the leader that absorbs a new one,
     and the recency filter looks at dates that merging may have filled.
     """
-    out = deduplicate(raw, options.levels, options.threshold)
+    out = deduplicate(raw, options.levels, options.threshold, counts=counts)
     if seen is not None:
         out = resume(out, seen)
     if options.since_days is not None:
@@ -101,12 +103,13 @@ def run(
     """Full run on normalised postings; ``seen`` are stored postings, or ``seen_keys`` of them. The de-duplicated frame is stored once: mining, the report
     and every sink read it."""
     options = options or RunOptions()
-    postings = cut_lineage(prepare(raw, options, seen))
+    counts = StageCounts()
+    postings = cut_lineage(prepare(raw, options, seen, counts))
     if options.enrichers or cached is not None:
         contacts = enrich(postings, options, cached)
     else:
         contacts = seed_only_contacts(postings, options.stamp())
-    return RunResult(postings, contacts, raw)
+    return RunResult(postings, contacts, raw, counts)
 
 
 def store_run(
@@ -119,20 +122,25 @@ def store_run(
     runs.write_batch(run_row.withColumn("ord", F.lit(batch).cast("bigint")), batch)
 
 
-def run_audit(run_id: str, started: str, finished: str, raw: DataFrame, unique: DataFrame, new: DataFrame, contacts: DataFrame) -> DataFrame:
-    """One audit row. ``jobs_new`` counts keys that were not stored before."""
-    def n(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count("*").alias(name)).withColumn("k", F.lit(1))
-
-    row = n(raw, "raw_n").join(n(unique, "jobs_scraped"), "k").join(n(new, "jobs_new"), "k").join(
-        n(contacts, "companies_enriched"), "k"
-    )
-    zero = F.lit(0).cast("bigint")
-    return row.select(
-        F.lit(run_id).alias("run_id"), F.lit(started).alias("started_at"), F.lit(finished).alias("finished_at"),
-        "jobs_scraped", "jobs_new", (F.col("raw_n") - F.col("jobs_scraped")).alias("jobs_duplicate"),
-        "companies_enriched", zero.alias("ai_calls_made"), zero.alias("errors"),
-    )
+def run_audit(
+    run_id: str, started: str, finished: str, result: RunResult, jobs: KeyedTable, batch: int,
+    rejects: DataFrame | None = None, calls: DataFrame | None = None,
+) -> DataFrame:
+    """The audit row of a run that is about to be stored under ``batch``.
+
+    ``jobs_scraped`` are the postings kept, ``jobs_new`` those whose key no earlier batch holds, ``jobs_duplicate``
+    what de-duplication removed, as counted in passing. Each of ``rejects`` (refused items) is an error, each of ``calls`` one
+    call of an outside model.
+    """
+    def n(df: DataFrame | None) -> int:
+        return 0 if df is None else df.count()
+
+    counts = result.counts
+    removed = counts.n("raw") - counts.n(counts.stages()[-1])
+    kept = result.postings.count()
+    new = jobs.new_keys(result.postings, batch).count() if batch else kept
+    row = (run_id, started, finished, kept, new, removed, n(result.contacts), n(calls), n(rejects))
+    return result.raw.sparkSession.createDataFrame([row], RUNS)
 
 
 __all__ = ["RunOptions", "RunResult", "enrich", "prepare", "run", "run_audit", "seen_hashes", "seen_keys", "store_run"]

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.dates import dmy_to_iso
+from ..functions.dates import dmy_to_iso, time_stamp
 from ..functions.money import render_salary
 from ..functions.text import cut, html_to_text
-from ..schema import POSTINGS, blank_to_null, conform
+from ..schema import POSTINGS, blank_to_null, conform, packed
 
 ITEM = (
     "jobId bigint, jobTitle string, employerName string, locationName string, "
@@ -50,12 +52,14 @@ def explode_results(pages: DataFrame) -> DataFrame:
         F.posexplode("results").alias("pos", "item"),
     ).select(
         "keyword", "search_location",
-        (F.col("search_ord") * F.lit(1 << 36) + F.col("page_ord") * F.lit(1 << 16) + F.col("pos")).alias("ord"),
+        packed(F.col("search_ord"), packed(F.col("page_ord"), F.col("pos"), 16, 20), 36, 26).alias("ord"),
         "item.*",
     )
 
 
-def project_items(items: DataFrame, source: str = "reed", description_chars: int | None = DESCRIPTION_CHARS) -> DataFrame:
+def project_items(
+    items: DataFrame, source: str = "reed", description_chars: int | None = DESCRIPTION_CHARS, now: Column | None = None,
+) -> DataFrame:
     """API item to posting; the pay period is guessed from the size of the amount."""
     low, high = F.col("minimumSalary"), F.col("maximumSalary")
     ref = F.coalesce(high, low)
@@ -76,6 +80,7 @@ def project_items(items: DataFrame, source: str = "reed", description_chars: int
         dmy_to_iso(F.col("date")).alias("posted_at"),
         dmy_to_iso(F.col("expirationDate")).alias("expires_at"),
         F.col("jobUrl").alias("apply_url"),
+        time_stamp(now).alias("scraped_at"),
     )
     return out
 
@@ -103,8 +108,12 @@ def upgrade_details(
     postings: DataFrame, details: DataFrame, k: int, by: list[str],
     description_chars: int | None = DESCRIPTION_CHARS,
 ) -> DataFrame:
-    """Take the fuller detail row for the first ``k`` postings per search; keep the old on a miss."""
-    ranked = postings.withColumn("_rank", F.row_number().over(W.partitionBy(*by).orderBy("ord")))
+    """Take the fuller detail row for the first ``k`` postings per search; keep the old on a miss.
+
+    Only keys are ranked, and the rank is trimmed before its shuffle, so a search may have any number of postings.
+    """
+    rank = F.row_number().over(W.partitionBy(*by).orderBy("ord"))
+    first = postings.select(*by, "ord", "job_id").withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
     d = details.select(
         F.col("jobId").cast("string").alias("job_id"),
         cut(blank_to_null(html_to_text(F.col("jobDescription"))), description_chars).alias("_description"),
@@ -113,20 +122,21 @@ def upgrade_details(
         .when(F.lower("salaryType").rlike("annum|year"), "annual").alias("_period"),
         blank_to_null("externalUrl").alias("_url"),
     )
-    wanted = F.col("_rank") <= k
+    found = first.join(d, "job_id").select(
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate([*by, "ord"])], "_description", "_job_type", "_period", "_url"
+    )
     have = set(postings.columns)
 
     def old(name: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast("string")
 
-    joined = ranked.join(d, "job_id", "left")
+    match = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate([*by, "ord"])])
+    joined = postings.join(found, match, "left")
     new = {
-        "description": F.coalesce(F.when(wanted, F.col("_description")), old("description")),
-        "job_type": F.coalesce(F.when(wanted, F.col("_job_type")), old("job_type")),
-        "salary_period": F.coalesce(F.when(wanted, F.col("_period")), old("salary_period")),
-        "company_url": F.coalesce(
-            blank_to_null(old("company_url")), F.when(wanted, F.col("_url")), old("company_url")
-        ),
+        "description": F.coalesce("_description", old("description")),
+        "job_type": F.coalesce("_job_type", old("job_type")),
+        "salary_period": F.coalesce("_period", old("salary_period")),
+        "company_url": F.coalesce(blank_to_null(old("company_url")), "_url", old("company_url")),
     }
     keep = [c for c in postings.columns if c not in new]
     return joined.select(*keep, *[v.alias(k) for k, v in new.items()])

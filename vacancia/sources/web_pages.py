@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import epoch_ms_to_date
+from ..functions.dates import epoch_ms_to_date, time_stamp
 from ..functions.money import period_of_unit, render_salary
 from ..functions.text import (
-    absolute_link, cut, html_to_text, is_json, join_parts, strip, url_query_value, url_tail,
+    MARKUP, WS, absolute_link, bound, cut, html_to_text, is_json, join_parts, strip, url_query_value, url_tail,
 )
 from ..schema import blank_to_null, first_filled
 
@@ -48,7 +48,7 @@ def _amount(c: Column) -> Column:
     return F.when(v != 0, v)
 
 
-def project_embedded(items: DataFrame, source: str = "indeed") -> DataFrame:
+def project_embedded(items: DataFrame, source: str = "indeed", now: Column | None = None) -> DataFrame:
     extracted, estimated = F.col("extractedSalary"), F.col("estimatedSalary")
     # The first salary block with any amount counts, as a whole.
     use_first = _amount(extracted["min"]).isNotNull() | _amount(extracted["max"]).isNotNull()
@@ -79,6 +79,7 @@ def project_embedded(items: DataFrame, source: str = "indeed") -> DataFrame:
         epoch_ms_to_date(F.col("pubDate")).alias("posted_at"),
         absolute_link(F.col("viewJobLink"), LINK_HOST, by_id).alias("apply_url"),
         blank_to_null(html_to_text(F.col("snippet"))).alias("description"),
+        time_stamp(now).alias("scraped_at"),
     )
 
 
@@ -174,7 +175,9 @@ def salary_of(obj: Column) -> Column:
     )
 
 
-def project_jobposting(postings: DataFrame, source: str, description_chars: int | None = None) -> DataFrame:
+def project_jobposting(
+    postings: DataFrame, source: str, description_chars: int | None = None, now: Column | None = None,
+) -> DataFrame:
     """JobPosting JSON (column ``posting``) to posting columns."""
     keep = [c for c in postings.columns if c != "posting"]
     p = postings.select(*keep, F.from_json("posting", _POSTING).alias("p")).select(*keep, "p.*")
@@ -225,6 +228,7 @@ def project_jobposting(postings: DataFrame, source: str, description_chars: int
         F.col("datePosted").alias("posted_at"),
         F.col("validThrough").alias("expires_at"),
         F.col("url").alias("apply_url"),
+        time_stamp(now).alias("scraped_at"),
     )
 
 
@@ -254,47 +258,107 @@ def ld_address(html: Column) -> Column:
 # ---------------------------------------------------------------- cards and single pages
 
 
-def _by_attribute(attribute: str, value: str) -> str:
-    """Pattern for the text of the element whose attribute contains ``value``."""
-    return rf"""(?is)<([a-z0-9]+)\b[^>]*\b{attribute}\s*=\s*["'][^"']*{value}[^"']*["'][^>]*>(.*?)</\1\s*>"""
+def _opening(tag: str, attribute: str | None = None, value: str = "", starts: bool = False) -> str:
+    """Pattern of an opening tag, with an attribute that contains, or starts with, a value."""
+    if attribute is None:
+        return rf"<{tag}\b[^>]*>"
+    quoted, bare = ("", "") if starts else ("[^\"']*", "[^\\s\"'>]*")
+    return rf"""<{tag}\b[^>]*\b{attribute}\s*=\s*(?:["']{quoted}{value}[^"']*["']|{bare}{value}[^\s"'>]*)[^>]*>"""
 
 
-def _by_title(inside: str) -> str:
-    return rf"""(?is){inside}<span\b[^>]*\btitle\s*=\s*(["'])(.*?)\1"""
+_ANY = "[a-z][a-z0-9]*"
+_HEADING, _TEST_ID = ("h2", "class", "jobTitle"), (_ANY, "data-testid", "jobTitle")
+_LINK, _NAMED = ("a",), ("span", "title")
 
-
-# Patterns per field, tried in order; the second group is the value.
-CARD_PATTERNS = {
+# Selectors per field, tried in order; each is a chain of elements, one inside the other.
+CARD_SELECTORS = {
     "title": [
-        _by_title(r"""<h2\b[^>]*class\s*=\s*["'][^"']*jobTitle.*?"""),
-        _by_attribute("class", "jobTitle"),
-        _by_attribute("data-testid", "jobTitle"),
-        _by_title(""),
+        (_HEADING, _LINK, _NAMED), (_HEADING, _NAMED), (_HEADING, _LINK), (_HEADING,),
+        (_TEST_ID, _LINK, _NAMED), (_TEST_ID, _LINK), (_TEST_ID,),
+        (("a", "id", "job_", True), _NAMED), (_NAMED,),
     ],
     "company": [
-        _by_attribute("data-testid", "company-name"),
-        _by_attribute("class", "companyName"),
-        _by_attribute("class", "company-name"),
-        _by_attribute("data-tn-element", "companyName"),
+        ((_ANY, "data-testid", "company-name"),), ((_ANY, "class", "companyName"),), ((_ANY, "class", "company-name"),),
+        (("a", "data-tn-element", "companyName"),),
     ],
     "location": [
-        _by_attribute("data-testid", "text-location"),
-        _by_attribute("class", "companyLocation"),
-        _by_attribute("class", "job-location"),
-        _by_attribute("class", "location"),
+        ((_ANY, "data-testid", "text-location"),), ((_ANY, "class", "companyLocation"),), ((_ANY, "class", "job-location"),),
+        ((_ANY, "class", "resultContent"), (_ANY, "class", "location")), ((_ANY, "class", "location"),),
     ],
     "salary_text": [
-        _by_attribute("data-testid", "attribute_snippet_testid"),
-        _by_attribute("class", "salary-snippet"),
-        _by_attribute("class", "salaryText"),
-    ],
-    "posted_at": [
-        _by_attribute("data-testid", "myJobsStateDate"),
-        _by_attribute("class", "date"),
+        ((_ANY, "data-testid", "attribute_snippet_testid"),), ((_ANY, "class", "salary-snippet"),), ((_ANY, "class", "salaryText"),),
     ],
+    "posted_at": [((_ANY, "data-testid", "myJobsStateDate"),), (("span", "class", "date"),), ((_ANY, "class", "date"),)],
 }
 
 
+# Markup and white space: what is left of an element without them is text.
+_BLANK = rf"{MARKUP}|{WS}|&(?:nbsp|#160|#[xX][aA]0)(?:;|\b)"
+
+
+def tag_pieces(html: Column) -> Column:
+    """Markup cut before every tag: array of (text, the same in lower case, name of the tag, whether it closes)."""
+    pieces = F.filter(F.split(html, r"(?=<[a-zA-Z/])"), lambda p: p != "")
+    return F.transform(
+        pieces,
+        lambda p: F.struct(
+            p.alias("text"), F.lower(p).alias("low"),
+            F.lower(F.regexp_extract(p, r"^</?([a-zA-Z][a-zA-Z0-9]*)", 1)).alias("tag"), F.startswith(p, F.lit("</")).alias("closing"),
+        ),
+    )
+
+
+def outer_pieces(pieces: Column, opening: Column, needle: Column) -> Column:
+    """Pieces of the first element whose opening tag matches, up to the closing tag that balances it.
+
+    Null without such an element; one that is never closed reaches to the end. One fold carries a depth and a
+    number over the pieces and copies no text. A tag without ``needle`` in it is not matched.
+    """
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"))
+
+    def balanced(rest: Column) -> Column:
+        def step(acc: Column, piece: Column) -> Column:
+            own = piece["tag"] == F.get(rest, F.lit(0))["tag"]
+            turn = F.when(own & piece["closing"], -1).when(own, 1).otherwise(0)
+            going = (acc["n"] == 0) | (acc["depth"] > 0)
+            depth = F.when(going, acc["depth"] + turn).otherwise(0)
+            return F.struct(depth.alias("depth"), (acc["n"] + (depth > 0).cast("int")).alias("n"))
+
+        return F.slice(rest, F.lit(1), F.aggregate(rest, start, step)["n"])
+
+    def hit(p: Column) -> Column:
+        return F.contains(p["low"], needle) & F.rlike(p["text"], opening)
+
+    place = F.array_position(F.transform(pieces, hit), F.lit(True)).cast("int")
+    return bound(place, lambda at: F.when(at > 0, bound(F.slice(pieces, at, F.size(pieces)), balanced)))
+
+
+def markup_of(pieces: Column) -> Column:
+    """Markup inside the element that the pieces make up."""
+    return F.regexp_replace(F.array_join(F.transform(pieces, lambda p: p["text"]), ""), r"^<[^>]*>", "")
+
+
+def _parts(selector: tuple) -> Column:
+    """A selector's opening tags as data: (pattern, what the tag must contain at least)."""
+    return F.array(*[
+        F.struct(F.lit(f"(?is)^{_opening(*p)}").alias("opening"), F.lit((p[2] if len(p) > 2 else p[-1]).lower()).alias("needle")) for p in selector
+    ])
+
+
+def selected(pieces: Column, selectors: list[tuple]) -> Column:
+    """For each selector the pieces of the element that it leads to, or null.
+
+    Selectors are data of one expression, so that a plan does not grow with them.
+    """
+    # Every step looks behind the first piece, the opening tag of the element found before.
+    whole = F.concat(F.slice(pieces, F.lit(1), F.lit(1)), pieces)
+
+    def step(found: Column, part: Column) -> Column:
+        return outer_pieces(F.slice(found, F.lit(2), F.greatest(F.size(found), F.lit(0))), part["opening"], part["needle"])
+
+    return bound(whole, lambda w: F.transform(F.array(*map(_parts, selectors)), lambda s: F.aggregate(s, w, step)))
+
+
 def card_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per result card: page markup cut at every element that carries ``data-jk``."""
     keep = [c for c in pages.columns if c != html]
@@ -303,39 +367,48 @@ def card_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     return cards.where(F.col("card").rlike(r"(?i)^<[a-z0-9]+\b[^>]*\bdata-jk\s*="))
 
 
-def project_cards(cards: DataFrame, patterns: dict[str, list[str]] | None = None, source: str = "indeed") -> DataFrame:
-    """Per field, the first pattern with a non-empty value wins."""
-    patterns = patterns or CARD_PATTERNS
+def project_cards(
+    cards: DataFrame, selectors: dict[str, list[tuple]] | None = None, source: str = "indeed", now: Column | None = None,
+) -> DataFrame:
+    """Per field, the first selector with a non-empty value wins.
+
+    A title is taken from the element's ``title`` attribute before its text.
+    """
+    selectors = selectors or CARD_SELECTORS
     keep = [c for c in cards.columns if c != "card"]
     job_id = F.regexp_extract("card", r"""(?i)\bdata-jk\s*=\s*["']([^"']*)["']""", 1)
 
-    def field(name: str) -> Column:
-        found = F.array(*[F.regexp_extract("card", p, 2) for p in patterns[name]])
-        return F.get(F.filter(F.transform(found, html_to_text), lambda v: v != ""), F.lit(0))
+    rows = cards.withColumn("_pieces", tag_pieces(F.col("card")))
+
+    def attribute(element: Column) -> Column:
+        return F.regexp_extract(F.get(element, F.lit(0))["text"], r"""(?is)^<[^>]*?\btitle\s*=\s*(["'])(.*?)\1""", 2)
+
+    def says(text: Column) -> Column:
+        return F.regexp_replace(text, _BLANK, "") != ""
+
+    def first(name: str, read) -> Column:
+        """What is read from the first element that says something."""
+        texts = F.transform(selected(F.col("_pieces"), selectors[name]), lambda e: F.when(e.isNotNull(), read(e)))
+        return blank_to_null(html_to_text(F.get(F.filter(texts, says), F.lit(0))))
+
+    def named(element: Column) -> Column:
+        return F.when(says(attribute(element)), attribute(element)).otherwise(markup_of(element))
 
-    return cards.select(
+    return rows.select(
         *keep,
         job_id.alias("job_id"),
         F.lit(source).alias("source"),
-        F.coalesce(field("title"), F.lit("Unknown")).alias("title"),
-        *[field(n).alias(n) for n in ("company", "location", "salary_text", "posted_at")],
+        F.coalesce(first("title", named), F.lit("Unknown")).alias("title"),
+        *[first(n, markup_of).alias(n) for n in ("company", "location", "salary_text", "posted_at")],
         F.when(job_id != "", F.concat(F.lit(LINK_BY_ID), job_id)).alias("apply_url"),
+        time_stamp(now).alias("scraped_at"),
     )
 
 
 def inner_of_div(html: Column, div_id: str) -> Column:
-    """Markup inside the div with the given id, up to the closing tag that balances it."""
-    rest = F.regexp_extract(html, rf"""(?is)<div\b[^>]*\bid\s*=\s*["']{div_id}["'][^>]*>(.*)$""", 1)
-    pieces = F.split(rest, r"(?i)(?=<div\b)|(?=</div\s*>)")
-
-    def step(acc: Column, piece: Column) -> Column:
-        turn = F.when(piece.rlike(r"(?i)^<div\b"), 1).when(piece.rlike(r"(?i)^</div"), -1).otherwise(0)
-        depth = F.when(acc["depth"] <= 0, 0).otherwise(acc["depth"] + turn)
-        out = F.when(depth > 0, F.concat(acc["out"], piece)).otherwise(acc["out"])
-        return F.struct(depth.alias("depth"), out.alias("out"))
-
-    start = F.struct(F.lit(1).alias("depth"), F.lit("").alias("out"))
-    return F.aggregate(pieces, start, step)["out"]
+    """Markup inside the div with the given id, up to the closing tag that balances it; empty without one."""
+    element = outer_pieces(tag_pieces(html), F.lit(f"(?is)^{_opening('div', 'id', div_id)}"), F.lit(div_id.lower()))
+    return F.coalesce(bound(element, lambda e: F.when(e.isNotNull(), markup_of(e))), F.lit(""))
 
 
 def project_job_page(pages: DataFrame, description_chars: int | None = None) -> DataFrame:
