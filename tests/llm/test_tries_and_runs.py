@@ -242,3 +242,92 @@ def test_very_long_text_is_read_in_parts():
     part.add(text, None)
     (runs, digest), = part.rows()
     assert runs.tolist() == [[0, 750_000, 5]] and digest == hashlib.sha256(b"word of a long text").hexdigest()
+
+
+CLASH = "doc_id long, text string, source string, key string, _k string, __key string, __kept string, group_size int, row string, id int"
+
+
+def clashing(rows):
+    return [(d, t, s, "k", "kk", "kkk", "kkkk", 7, "r", 9) for d, t, s in rows]
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Planted toxic texts, exact copies and near copies go; every other text stays, mixed and encoded."""
+    import corpus_pipeline
+    from vacancia.llm import mixing
+
+    rng = random.Random(11)
+    plain = [f"w{i}" for i in range(400)]
+    toxic = [f"vile{i}" for i in range(6)]
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 5 == 0
+        words = [rng.choice(plain) for _ in range(40)]
+        if bad:
+            words = [rng.choice(toxic) if rng.random() < 0.5 else w for w in words]
+        rows.append((i, " ".join(words), f"s{i % 3}"))
+        labels.append((i, 1, int(bad)))
+    clean = [r for r in rows if r[0] % 5]
+    exact = [(1000 + r[0], r[1].replace(" ", "  "), r[2]) for r in clean[:20]]
+    near = [(2000 + r[0], r[1] + " tail", r[2]) for r in clean[20:40]]
+    odd = [(3000, "", "s0"), (3001, None, None), (3002, "   ", "s0"), (1, rows[1][1], "s1"), (None, "no identifier here at all", "s1")]
+    every = rows + exact + near + odd
+    folder = str(tmp_path / "sf")
+    docs = spark.createDataFrame(clashing(every), CLASH)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+
+    kept = corpus_pipeline.drop_toxic(spark, docs, folder)
+    assert kept.columns == docs.columns
+    left = {r["doc_id"] for r in kept.collect()}
+    assert left == {d for d, _, _ in every} - {d for d, _, _ in rows if d % 5 == 0}
+
+    once = corpus_pipeline.drop_copies(spark, kept, folder).cache()
+    assert once.columns == docs.columns and once.where("__key <> 'kkk' OR group_size <> 7").count() == 0
+    # Of equal texts the longest original stays.
+    bare = {}
+    for d, t, _ in every:
+        if d in left:
+            text = t or ""
+            mark = "".join(text.split())
+            bare[mark] = min(bare.get(mark, (1, 0)), (-len(text), d if d is not None else -1))
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in once.collect()) == sorted(d for _, d in bare.values())
+
+    apart = corpus_pipeline.drop_near_copies(spark, once, folder).cache()
+    gone = {r["doc_id"] for r in once.collect()} - {r["doc_id"] for r in apart.collect()}
+    assert apart.columns == docs.columns and gone == {d for d, _, _ in near}
+
+    mixed = corpus_pipeline.mix(spark, apart, folder).cache()
+    uses = collections.Counter(r["doc_id"] for r in mixed.collect())
+    assert mixed.columns == docs.columns and set(uses) == {r["doc_id"] for r in apart.collect()} and max(uses.values()) <= 2
+    plan = mixing.mixed_rows(apart, repeat_limit=corpus_pipeline.REPEAT_LIMIT)
+    assert plan.count() == mixed.count()
+
+    out = corpus_pipeline.encode(spark, mixed, folder)
+    assert out.where("NOT restored").count() == 0 and out.count() == mixed.count()
+
+
+def test_huge_and_tiny_vectors_with_pivots_in_small_spaces(spark):
+    from vacancia.llm import embeddings
+
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(6, 5))
+    vectors = np.repeat(base, 20, axis=0) + rng.normal(size=(120, 5)) * 0.12
+    scales = np.tile([1.0, 1e200, 1e-200, 1e-3], 30)
+    rows = [(i, (v * s).tolist(), i % 2) for i, (v, s) in enumerate(zip(vectors, scales))] + [(500, [0.0] * 5, 0), (501, [0.0, 1e-300, 0.0, 0.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    close = (unit @ unit.T >= 0.93) & (np.arange(120)[:, None] % 2 == np.arange(120)[None] % 2)
+    found = {r["vec_id"]: r for r in embeddings.near_vectors(df, 0.93, per_pivot=8).collect()}
+    plain = {r["vec_id"]: r for r in embeddings.near_vectors(df, 0.93).collect()}
+    labels = np.arange(120)
+    while True:
+        new = np.where(close, labels[None], 10**9).min(1)
+        if (new == labels).all():
+            break
+        labels = new
+    for i in range(120):
+        assert found[i]["n_links"] == plain[i]["n_links"] == close[i].sum() - 1
+        assert found[i]["component_id"] == plain[i]["component_id"] == labels[i]
+    assert found[500]["n_links"] == found[501]["n_links"] == 0

@@ -153,7 +153,12 @@ def _cached(data, pattern: str | None):
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, ids, decoded`` of every row, and the columns to keep; batches leave in small slices."""
+    """``doc_id, ids, decoded`` of every row, and the columns to keep; batches leave in small slices.
+
+    Columns to keep may not have the names of these three or ``text``.
+    """
+    if clash := {"doc_id", "text", "ids", "decoded"} & {k.lower() for k in keep}:
+        raise ValueError(f"columns of the result: {sorted(clash)}")
     data = ship_file(docs.sparkSession, path)
 
     def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def whole_text(text: str | Column) -> Column:
     """A text, with null as the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -31,33 +31,47 @@ from .common import components, ship
 
 #: Vectors of a cell at which it is split, vectors that a pivot stands for, and pivots at most.
 BLOCK, PER_PIVOT, PIVOTS = 2048, 4096, 8192
+#: A space of fewer vectors is one cell; every other has two pivots at least.
+SMALL_SPACE = 16
 #: Slack for rounding in the copying bounds; links themselves are decided by the cosine.
 _SLACK = 1e-6
 
 
 def _unit(vectors) -> np.ndarray:
     matrix = np.stack([np.asarray(v, np.float64) for v in vectors])
-    return matrix / np.sqrt((matrix * matrix).sum(axis=1))[:, None]
+    with np.errstate(over="ignore", under="ignore"):
+        square = (matrix * matrix).sum(axis=1)
+    # Squares of huge or tiny parts leave the range of a double: bring the largest part to 1 first.
+    odd = ~np.isfinite(square) | (square < 1e-200)
+    if odd.any():
+        matrix[odd] /= np.abs(matrix[odd]).max(axis=1)[:, None]
+        square[odd] = (matrix[odd] * matrix[odd]).sum(axis=1)
+    return matrix / np.sqrt(square)[:, None]
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (a @ b.T), 0))
 
 
-# A row (id, space, vector) whose vector has a direction; the last test needs the one before.
+# A row (id, space, vector) whose vector has a direction.
 _USABLE = """CASE WHEN space IS NULL OR id IS NULL OR vector IS NULL THEN false
     WHEN exists(vector, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity')) THEN false
-    ELSE aggregate(vector, 0D, (s, x) -> s + x * x) > 0 END"""
+    ELSE exists(vector, x -> x <> 0) END"""
 
 
 def pivot_rows(reps: DataFrame, per_pivot: int, pivots: int) -> DataFrame:
-    """``space, vector``: about one row in ``per_pivot`` of each larger space, at least one; about ``pivots`` at most."""
+    """``space, vector``: about one row in ``per_pivot`` of each larger space, and two about at least.
+
+    So few spaces hold more than the ``pivots``-th part of all rows that the pivots number some ``3 * pivots`` at most.
+    """
     sizes = reps.groupBy("space").agg(F.count("*").alias("n"))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     per_pivot = max(per_pivot, -(-total // pivots))
     place = F.shiftrightunsigned(F.xxhash64("id"), 11) / float(1 << 53)
-    large = reps.withColumn("place", place).join(sizes.where(F.col("n") > per_pivot), "space")
-    few = large.where(F.col("place") * F.col("n") < F.ceil(F.col("n") / per_pivot)).select("space", "vector")
+    least = min(per_pivot, max(SMALL_SPACE, -(-total // pivots)))
+    large = reps.withColumn("place", place).join(sizes.where(F.col("n") > least), "space")
+    wanted = F.greatest(F.lit(2), F.ceil(F.col("n") / per_pivot))
+    few = large.where(F.col("place") * F.col("n") < wanted).select("space", "vector")
     # A space of which the threshold lets nothing through has its first row.
     first = large.groupBy("space").agg(F.min_by("vector", F.struct("place", "id")).alias("vector"))
     return few.union(first.join(few.select("space").distinct(), "space", "left_anti"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import row_key, whole_text
+from .common import row_key, spare, whole_text
 
 # Fixed value: the characters that do not count.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -82,10 +82,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows without its exact copies, all columns kept."""
-    found = exact_duplicates(docs, id_col, text_col).where("kept")
-    kept = found.select(row_key("doc_id", "text_sha256").alias("__kept"), "group_size")
+    """The input's rows without its exact copies; columns of any name stay as they are."""
+    mine, other = spare(docs, "__key"), spare(docs, "__kept")
+    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(row_key("doc_id", "text_sha256").alias(other))
     key = row_key(F.col(id_col).cast("long"), F.sha2(normal_text(text_col), 256))
-    rows = docs.withColumn("__key", key).join(kept, F.col("__key") == F.col("__kept"), "left_semi")
+    rows = docs.withColumn(mine, key).join(kept, F.col(mine) == F.col(other), "left_semi")
     # Rows repeated with identifier and text share a key.
-    return rows.dropDuplicates(["__key"]).select(*docs.columns)
+    return rows.dropDuplicates([mine]).drop(mine)

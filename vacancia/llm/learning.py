@@ -26,3 +26,12 @@ def labelled(docs: DataFrame, marks: DataFrame, folds: int, held_out: int, id_co
     """``id, text, y`` of the documents that have one of the ``marks`` (id, y)."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
     return texts.where(fold("id", folds) != held_out).join(marks, "id")
+
+
+def sampled(key: str, share: float) -> Column:
+    """Whether a row is in a hash sample of that share, which may be as small as 2^-50."""
+    hashed = F.xxhash64(key)
+    low, whole = F.pmod(hashed, F.lit(1 << 20)), int(share * (1 << 20))
+    # Where the first bits are just those of the share, the next ones decide.
+    rest = F.pmod(F.shiftright(hashed, 20), F.lit(1 << 30)) < int((share * (1 << 20) - whole) * (1 << 30))
+    return (low < whole) | ((low == whole) & rest)

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import compact, components, mix, row_key, slices, whole_text, word_hashes, worker_state
+from .common import compact, components, mix, row_key, slices, spare, whole_text, word_hashes, worker_state
 
 BANDS, ROWS = 40, 5
 STARS = 1
@@ -235,7 +235,8 @@ def near_duplicates(
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, per_cent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows, one document of each near-duplicate group (the smallest identifier)."""
-    kept = _labelled(docs, k, per_cent, id_col, text_col).where("kept").select(row_key("doc_id", "text_hash").alias("_k"))
+    """The input's rows, one document of each near-duplicate group (the smallest identifier); columns of any name stay as they are."""
+    name = spare(docs, "_k")
+    kept = _labelled(docs, k, per_cent, id_col, text_col).where("kept").select(row_key("doc_id", "text_hash").alias(name))
     key = row_key(F.col(id_col).cast("long"), F.xxhash64(whole_text(text_col)))
-    return docs.join(kept, key == F.col("_k"), "left_semi")
+    return docs.join(kept, key == F.col(name), "left_semi")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix, ship, slices, whole_text
-from .learning import fold, labelled, teaching_labels
+from .learning import fold, labelled, sampled, teaching_labels
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 BITS, PART_ROWS, TRAINING_ROWS = 18, 5_000, 40_000
@@ -101,7 +101,7 @@ def quality_scores(
     n_marks = marks.count()
     share = min(1.0, training_rows / max(1, n_marks))
     parts = -(-int(n_marks * share) // PART_ROWS) or 1
-    chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    chosen = sampled("id", share)
     # About TRAINING_ROWS identifiers at most, so texts need not be shuffled to meet them.
     weights = train(labelled(docs, F.broadcast(marks.where(chosen)), FOLDS, HELD_OUT, id_col, text_col), parts)
     model = ship(spark, weights, weights.nbytes)

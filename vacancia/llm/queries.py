@@ -108,4 +108,22 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("op")}
-SQL: dict[str, str] = {}
+# A-Z to lower case, as the operators do it.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: SQL of the queries that it can express; the others are tested against brute force.
+SQL: dict[str, str] = {
+    "op9_exact_dedup": """WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS sha FROM documents),
+        k AS (SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY sha) AS group_size FROM t WINDOW w AS (PARTITION BY sha ORDER BY chars DESC, doc_id))
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha AS text_sha256 FROM k""",
+    "op12_decontaminate": f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        bw AS (SELECT DISTINCT item_id, len(w[i : i + 9]) AS k, w[i : i + 9] AS win FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) u(i) WHERE len(w) > 0),
+        ks AS (SELECT DISTINCT k FROM bw),
+        dw AS (SELECT doc_id, i, k, w[i : i + k - 1] AS win FROM d, ks, unnest(range(1, len(w) - k + 2)) u(i)),
+        hits AS (SELECT doc_id, i, dw.k, item_id FROM dw JOIN bw ON bw.k = dw.k AND bw.win = dw.win),
+        marked AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM hits, unnest(range(i, i + k)) u(x) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items FROM hits GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN marked ON marked.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id""",
+}

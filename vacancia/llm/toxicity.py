@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from ..session import cut_lineage, work_dir
-from .common import mix, row_key, ship, slices, whole_text, word_hashes, worker_state
-from .learning import fold, labelled, teaching_labels
+from .common import mix, row_key, ship, slices, spare, whole_text, word_hashes, worker_state
+from .learning import fold, labelled, sampled, teaching_labels
 
 #: Characters of an n-gram in the class models, and in the shared distribution that they fall back to.
 ORDER, SHARED = 8, 3
@@ -397,7 +397,7 @@ def toxicity_scores(
     """``doc_id, held_out, score, predicted, text_hash`` of every row, taught by the labelled ones."""
     marks = teaching_labels(labels, label, FOLDS, HELD_OUT)
     share = min(CALIBRATION, CALIBRATION_ROWS / max(1, marks.count()))
-    spared = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    spared = sampled("id", share)
     # The same join at every size.
     rows = labelled(docs, marks.where(~spared).hint("merge"), FOLDS, HELD_OUT, id_col, text_col)
     ratios = log_ratios(_stored(count_ngrams(rows)))
@@ -418,8 +418,8 @@ def toxicity_scores(
 
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows that are not predicted toxic, decided by identifier and text."""
-    scores = toxicity_scores(docs, labels, id_col, text_col)
-    toxic = scores.where("predicted = 1").select(row_key("doc_id", "text_hash").alias("key")).distinct()
+    """The input's rows that are not predicted toxic, decided by identifier and text; columns of any name stay as they are."""
+    scores, name = toxicity_scores(docs, labels, id_col, text_col), spare(docs, "key")
+    toxic = scores.where("predicted = 1").select(row_key("doc_id", "text_hash").alias(name)).distinct()
     key = row_key(F.col(id_col).cast("long"), F.xxhash64(whole_text(text_col)))
-    return docs.join(toxic, key == F.col("key"), "left_anti")
+    return docs.join(toxic, key == F.col(name), "left_anti")
