@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.functions.similarity import ratio_at_least
-from vacancia.operators import cache, contacts, dedup, export, quality, registry, upsert, waterfall, websites
+from vacancia.operators import cache, contacts, dedup, export, quality, registry, replies, upsert, waterfall, websites
 from vacancia.operators.counts import StageCounts
-from vacancia.plans import runs
+from vacancia.plans import lookups, runs
 from vacancia.schema import CONTACT_PARTS, CONTACTS, POSTINGS, conform, union_sources
 from vacancia.session import cut_lineage, work_dir
-from vacancia.sources import listings, registers
+from vacancia.sources import listings, plugin, registers
 from vacancia.streaming import capture, inbox, state
 
 from . import duck
@@ -667,6 +667,117 @@ def model_parts(i):
     return out.select(F.col("company").cast("bigint").alias("ord"), F.get("phone_numbers", F.lit(0)).alias("phone"), F.get("enrichment_sources", F.lit(0)).alias("origin"))
 
 
+# The whole waterfall over landed tables, with names in plain letters and the edit measure.
+_NO = "CAST(NULL AS VARCHAR)"
+_LOOKUPS = f""", pp AS (SELECT * REPLACE ({_plain('company')} AS company) FROM f_postings),
+    comp AS (SELECT company, first(company_url ORDER BY ord) AS url, min(ord) AS first_ord FROM pp WHERE coalesce(company, '') <> '' GROUP BY company),
+    {_seed_cte("pp", name="seed")}{_BEST.replace("AS score FROM cw", "AS score FROM cw")},
+    best70 AS (SELECT * FROM p WHERE score >= 0.7 QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, cand_ord) = 1),
+    o AS (SELECT company_number, arg_min(name, officer_ord) AS contact_person FROM f_officers WHERE coalesce(resigned_on, '') = ''
+      AND regexp_matches(lower(officer_role), 'secretary|director|manager') GROUP BY company_number),
+    m AS ({_MATCH}), mc AS (SELECT b.a AS company, CASE WHEN phone <> '' THEN {duck.clean_phone('phone')} END AS ph, lower(email) AS em, nullif(concat_ws(', ', nullif(a1, ''), pc), '') AS ad
+      FROM best70 b JOIN m ON m.cand_ord = b.cand_ord),
+    parts AS (
+      SELECT company, 0 AS priority, phones AS phone_numbers, emails, {_NO} AS contact_person, {_NO} AS address, {_NO} AS company_website, {_NO} AS company_number,
+        {_NO} AS company_type, false AS ai_used, {_NO} AS enriched_at, 'job_description' AS label FROM seed
+      UNION ALL SELECT company, 1, ['+44 20 7946 ' || lpad(right(regexp_extract(url, '[0-9]+'), 4), 4, '0')], [], {_NO}, {_NO}, url, {_NO}, {_NO}, false, {_NO}, 'website' FROM comp WHERE url IS NOT NULL
+      UNION ALL SELECT b.a, 2, [], [], o.contact_person, concat_ws(', ', nullif(premises, ''), nullif(line1, ''), town, code), {_NO}, r.company_number, r.company_type, false, {_NO}, 'companies_house'
+        FROM best b JOIN f_register r ON r.cand_ord = b.cand_ord LEFT JOIN o ON o.company_number = r.company_number WHERE r.company_status IS NULL OR r.company_status <> 'dissolved'
+      UNION ALL SELECT company, 3, CASE WHEN ph IS NULL THEN [] ELSE [ph] END, CASE WHEN em IS NULL THEN [] ELSE [em] END, {_NO}, ad, {_NO}, {_NO}, 'charity', false, {_NO}, 'charities'
+        FROM mc WHERE ph IS NOT NULL OR em IS NOT NULL OR ad IS NOT NULL
+      UNION ALL SELECT company, 7, CASE WHEN first_ord % 3 = 0 THEN ['+44 20 7946 0958'] ELSE ['ask desk'] END, [], {_NO}, {_NO}, {_NO}, {_NO}, {_NO}, true, {_NO}, 'gemini' FROM comp WHERE first_ord % 3 < 2)"""
+_LOOKED_UP = _LOOKUPS + _GATED_SEED.replace("f_parts", "parts") + _merge_cte("gated")
+_LOOKUP_VIEWS = ("f_postings", "f_companies", "f_register", "f_officers")
+_NO_TIME = _CONTACT_COLS.replace("ai_used, enriched_at,", "ai_used,")
+
+
+def _landed(i: Inputs) -> tuple[DataFrame, lookups.Landed]:
+    p = conform(i.view("f_postings"), POSTINGS).withColumn("company", F.translate(F.lower("company"), *_PLAIN))
+    none = F.lit(None).cast("string")
+    site = F.col("company_url")
+    tail = F.lpad(F.substring(F.regexp_extract(site, "([0-9]+)", 1), -4, 4), 4, "0")
+    pages = p.where(site.isNotNull()).select(
+        F.concat(site, F.lit("/contact")).alias("url"), F.concat(F.lit("<p>Call 020 7946 "), tail, F.lit("</p>")).alias("html")).distinct()
+    charities = i.sql(_MATCH).select(
+        F.translate(F.lower("company"), *_PLAIN).alias("charity_name"), "cand_ord", F.col("phone").alias("charity_contact_phone"), "email",
+        F.col("a1").alias("charity_contact_address1"), none.alias("charity_contact_address2"), none.alias("charity_contact_address3"),
+        F.col("pc").alias("charity_contact_postcode"), none.alias("charity_contact_web"))
+    first = p.where("company <> ''").groupBy("company").agg((F.min("ord") % 3).alias("m"))
+    body = F.to_json(F.struct(F.when(F.col("m") == 0, "020 7946 0958").otherwise("ask desk").alias("phone"), F.lit("null").alias("email"),
+                              F.when(F.col("m") == 1, "high").alias("confidence")))
+    answers = first.where("m < 2").select("company", F.lit("gemini").alias("provider"), body.alias("raw_response"))
+    return p, lookups.Landed(
+        pages=pages, register=_register_profiles(i, _plain("name")), officers=i.view("f_officers"), charities=charities, replies=answers, kind="edit")
+
+
+@query("enrich_full", _LOOKED_UP + f" SELECT {_NO_TIME} FROM scored" + _ALL_COMPANIES.replace("f_companies", "comp").replace("false, NULL, 0", "false, 0"), _LOOKUP_VIEWS)
+def enrich_full(i):
+    """Seeds, company pages, two registers and model replies, each asked only for companies still lacking data."""
+    postings, landed = _landed(i)
+    out = runs.enrich(postings, runs.RunOptions(enrichers=landed.enrichers(), as_of=F.to_timestamp(F.lit(AS_OF))))
+    return _contact_row(out).drop("enriched_at")
+
+
+@query("cache_second_run", _LOOKED_UP + """ SELECT comp.company, coalesce(array_to_string(s.phones, '|'), '') AS phone_numbers, coalesce(array_to_string(""" + _SORTED + """, '|'), '') AS emails,
+    coalesce(len(s.phones) > 0 OR len(s.emails) > 0 OR s.address IS NOT NULL, false) AS from_cache FROM comp LEFT JOIN scored s ON s.company = comp.company""", _LOOKUP_VIEWS)
+def cache_second_run(i):
+    """The same run a day later: what the first one found is reused, the others are looked up again."""
+    postings, landed = _landed(i)
+    first = cut_lineage(runs.enrich(postings, runs.RunOptions(enrichers=landed.enrichers(), as_of=F.to_timestamp(F.lit(AS_OF)))))
+    later = runs.RunOptions(enrichers=landed.enrichers(), as_of=F.to_timestamp(F.lit("2024-06-02 00:00:00")))
+    out = runs.enrich(postings, later, first)
+    return out.select("company", joined("phone_numbers"), joined("emails"), F.array_contains("enrichment_sources", "cache").alias("from_cache"))
+
+
+# Replies about postings: every second one has an answer, some of them broken.
+_REPLY = """, q AS (SELECT p.*, ord % 2 = 0 AND ord % 14 <> 0 AS answered, CASE WHEN ord % 10 = 0 THEN 'null' ELSE '  Acme ' || CAST(ord % 50 AS VARCHAR) END AS offered,
+      CASE WHEN ord % 6 = 4 AND ord % 4 = 0 THEN '+44 7700 900' || lpad(CAST(ord % 1000 AS VARCHAR), 3, '0') END AS rp,
+      CASE WHEN ord % 6 = 4 THEN 'hr@d' || CAST(dk AS VARCHAR) || '.co.uk' END AS re FROM f_postings p),
+    a AS (SELECT * REPLACE (CASE WHEN answered AND coalesce(company, '') = '' AND offered <> 'null' THEN trim(offered) ELSE company END AS company,
+        CASE WHEN answered AND len(requirements) = 0 THEN ['pin', 'level ' || CAST(ord % 7 AS VARCHAR)] ELSE requirements END AS requirements,
+        CASE WHEN answered AND len(benefits) = 0 THEN ['b1', 'b2', 'b3', 'b4', 'b5', 'b6', 'b7', 'b8'] ELSE benefits END AS benefits),
+      answered AND len(requirements) = 0 AS new_r, answered AND len(benefits) = 0 AS new_b, answered AND coalesce(company, '') = '' AND offered <> 'null' AS new_c FROM q)"""
+
+
+def _replied(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    p = conform(i.view("f_postings"), POSTINGS).withColumn("field_sources", dedup.origin_map())
+    key = F.col("ord").cast("string")
+    short = F.lpad((F.col("ord") % 1000).cast("string"), 3, "0")
+    body = F.to_json(F.struct(
+        F.array(F.lit("pin"), F.lit(""), F.concat(F.lit("level "), (F.col("ord") % 7).cast("string"))).alias("requirements"),
+        F.array(*[F.lit(f"b{n}") for n in range(1, 11)]).alias("benefits"),
+        F.when(F.col("ord") % 10 == 0, "null").otherwise(F.concat(F.lit("  Acme "), (F.col("ord") % 50).cast("string"))).alias("company_name"),
+        F.when(F.col("ord") % 4 == 0, F.concat(F.lit("07700 900"), short)).otherwise("0161 496 0000").alias("phone"),
+        F.concat(F.lit("HR@d"), F.col("dk").cast("string"), F.lit(".co.uk")).alias("email"),
+    ))
+    raw = F.when(F.col("ord") % 14 == 0, F.concat(key, F.lit(" {broken"))).otherwise(F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+    answers = i.view("f_postings").where("ord % 2 = 0").select("ord", F.lit("gemini").alias("provider"), raw.alias("raw_response"))
+    return replies.apply_replies(p, contacts.seed_contacts(p), answers)
+
+
+@query("apply_replies", _REPLY + """ SELECT ord, company, array_to_string(requirements, '|') AS requirements, array_to_string(benefits, '|') AS benefits,
+    CASE WHEN new_r THEN 'gemini_description' WHEN len(requirements) > 0 THEN source END AS o_requirements,
+    CASE WHEN new_b THEN 'gemini_description' WHEN len(benefits) > 0 THEN source END AS o_benefits,
+    CASE WHEN new_c THEN 'gemini_description' WHEN coalesce(company, '') <> '' THEN source END AS o_company FROM a""", ("f_postings",))
+def apply_replies(i):
+    done, _ = _replied(i)
+    fs = F.col("field_sources")
+    return done.select(
+        "ord", "company", joined("requirements"), joined("benefits"), *[F.get(fs[c], F.lit(0)).alias(f"o_{c}") for c in ("requirements", "benefits", "company")])
+
+
+@query("apply_replies_seeds", _REPLY + ", " + _seed_cte("f_postings", name="old") + """, long AS (
+      SELECT company, 'p' AS kind, unnest(phones) AS v, generate_subscripts(phones, 1) AS k FROM old UNION ALL SELECT company, 'e', unnest(emails), generate_subscripts(emails, 1) FROM old
+      UNION ALL SELECT company, 'p', rp, 1000000 + ord FROM a WHERE answered AND rp IS NOT NULL AND coalesce(company, '') <> ''
+      UNION ALL SELECT company, 'e', re, 1000000 + ord FROM a WHERE answered AND re IS NOT NULL AND coalesce(company, '') <> ''),
+    d AS (SELECT company, kind, v, min(k) AS k FROM long GROUP BY ALL)
+    SELECT company, coalesce(string_agg(v, '|' ORDER BY k) FILTER (kind = 'p'), '') AS phones, coalesce(string_agg(v, '|' ORDER BY k) FILTER (kind = 'e'), '') AS emails
+    FROM d GROUP BY company""", ("f_postings",))
+def apply_replies_seeds(i):
+    _, seeds = _replied(i)
+    return seeds.select("company", F.array_join("phone_numbers", "|").alias("phones"), F.array_join("emails", "|").alias("emails"))
+
+
 # ------------------------------------------------------------------ tables
 
 @query(
@@ -889,6 +1000,30 @@ def stream_skip_seen(i):
     return out.select("event_id")
 
 
+@query("source_plugin", """SELECT job_id, source, trim(title) AS title, company, CASE WHEN price % 2 = 0 THEN CAST(price AS DOUBLE) END AS salary_min,
+    array_to_string(requirements, '|') AS requirements, CASE ord % 3 WHEN 0 THEN 'nurse' ELSE 'carer' END AS keyword, 'Area ' || CAST(custkey % 7 AS VARCHAR) AS search_location
+    FROM f_postings WHERE job_id <> ''""", ("f_postings",))
+def source_plugin(i):
+    """Landed searches read through a source plug-in as a stream: half of them at first, the others in a second batch."""
+    root = work_dir(i.spark, "plugin")
+    keyword = F.when(F.col("ord") % 3 == 0, "nurse").otherwise("carer")
+    area = F.concat(F.lit("Area "), (F.col("custkey") % 7).cast("string"))
+    rows = i.view("f_postings").select(
+        "job_id", "source", "title", "company", F.when(F.col("price") % 2 == 0, F.col("price")).alias("salary_min"), "requirements",
+        F.concat_ws("@", keyword, area).alias("search"), F.col("custkey") % 7 < 4)
+    rows = rows.withColumnsRenamed({rows.columns[-1]: "early"})
+    i.spark.dataSource.register(plugin.LandedSearches)
+    table = upsert.KeyedTable(i.spark, f"{root}/table", ["source", "job_id"], order="pos")
+    for early in (True, False):
+        rows.where(F.col("early") == early).drop("early").write.mode("append").partitionBy("search").json(f"{root}/landed")
+        stream = i.spark.readStream.format("landed_searches").option("path", f"{root}/landed").load()
+        capture.run_to_table(stream, table, f"{root}/checkpoint")
+    out = listings.normalise(table.current().withColumn("ord", F.col("pos")))
+    places = table.current().select("source", "job_id", "keyword", "search_location")
+    return out.join(places, ["source", "job_id"]).select(
+        "job_id", "source", "title", "company", "salary_min", joined("requirements"), "keyword", "search_location")
+
+
 @query("title_ratio")
 def title_ratio(i):
     """Sequence ratio of the company name against its register row with the same key."""

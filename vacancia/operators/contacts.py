@@ -41,7 +41,7 @@ def first_company_rep(postings: DataFrame) -> DataFrame:
     return postings.where(filled("company")).groupBy("company").agg(rep).select("company", "rep.*")
 
 
-def _two_lists(long: DataFrame) -> DataFrame:
+def two_lists(long: DataFrame) -> DataFrame:
     """(company, kind, value, o) to one row per company with phone and e-mail arrays."""
     lists = ordered_values(long, ["company", "kind"], "value", F.col("o"))
     none = F.array().cast("array<string>")
@@ -69,7 +69,7 @@ def mine_contacts(postings: DataFrame, text: str = "description") -> DataFrame:
 
 def seed_contacts(postings: DataFrame) -> DataFrame:
     """Contact part per company from its own postings, values in order of first appearance."""
-    found = _two_lists(mine_contacts(postings))
+    found = two_lists(mine_contacts(postings))
     return found.withColumn("enrichment_sources", F.array(F.lit("job_description")))
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.phones import clean_phone
-from ..functions.text import clean_email, content_key, is_json, join_parts
+from ..functions.phones import clean_phone, extract_phones
+from ..functions.text import clean_email, content_key, extract_emails, html_to_text, is_json, join_parts
 from ..schema import CONTACTS, blank_to_null, conform, filled, first_filled
 
 Source = Callable[[SparkSession, str], DataFrame]
@@ -50,13 +50,27 @@ def search_hits(results: DataFrame, own_host: str = "duckduckgo.com") -> DataFra
     return results.where(F.startswith(link, F.lit("http")) & ~F.contains(link, F.lit(own_host)))
 
 
+def _present(df: DataFrame, *names: str) -> Column:
+    """The first spelling of a field that a row has."""
+    cols = [F.col(n) for n in names if n in df.columns]
+    return F.coalesce(*cols) if cols else F.lit(None).cast("string")
+
+
+def charity_text_parts(pages: DataFrame, items: int = 3) -> DataFrame:
+    """Charity result pages read as text (``company, html``): the first phones and e-mails, if there are any."""
+    text = pages.select("company", html_to_text(F.col("html")).alias("t"))
+    out = text.select(
+        "company", F.slice(extract_phones(F.col("t")), 1, items).alias("phone_numbers"),
+        F.slice(extract_emails(F.col("t")), 1, items).alias("emails"), F.lit("charity").alias("company_type"),
+        F.array(F.lit("charities")).alias("enrichment_sources"),
+    )
+    return out.where((F.size("phone_numbers") > 0) | (F.size("emails") > 0))
+
+
 def charity_parts(matches: DataFrame) -> DataFrame:
     """Matched charity-register rows to contact fields; first present spelling of a field counts."""
-    have = set(matches.columns)
-
     def present(*names: str) -> Column:
-        cols = [F.col(n) for n in names if n in have]
-        return F.coalesce(*cols) if cols else F.lit(None).cast("string")
+        return _present(matches, *names)
 
     phone = clean_phone(blank_to_null(present("charity_contact_phone", "phone")))
     email = clean_email(blank_to_null(present("charity_contact_email", "email")))
@@ -81,7 +95,7 @@ def care_parts(matches: DataFrame, details: DataFrame | None = None) -> DataFram
     The detail table is consulted only where phone or address is missing; it fills a missing
     phone and names the first contact.
     """
-    m = matches.withColumn("_phone", clean_phone(blank_to_null("phone"))).withColumn(
+    m = matches.withColumn("_phone", clean_phone(blank_to_null(_present(matches, "phone", "telephone")))).withColumn(
         "_address",
         join_parts(
             *[F.col(c) for c in ("postalAddressLine1", "postalAddressLine2", "postalAddressTownCity", "postalCode")]
@@ -97,7 +111,7 @@ def care_parts(matches: DataFrame, details: DataFrame | None = None) -> DataFram
         )
         d = details.select(
             "providerId",
-            clean_phone(blank_to_null("phone")).alias("_detail_phone"),
+            clean_phone(blank_to_null(_present(details, "phone", "telephone"))).alias("_detail_phone"),
             blank_to_null(name).alias("_detail_person"),
         )
         m = m.join(d, "providerId", "left")
