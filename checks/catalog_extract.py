@@ -677,11 +677,11 @@ def link_ids(i):
 @query(
     "request_render",
     """SELECT ord, 'Title: ' || coalesce(nullif(title, ''), 'Unknown') || '; company: ' || coalesce(company, 'Unknown') || '; text: '
-       || coalesce(nullif(substr(description, 1, 1500), ''), 'Unknown') AS prompt FROM f_postings""", POST)
+       || coalesce(nullif(description, ''), 'Unknown') AS prompt FROM f_postings""", POST)
 def request_render(i):
     return i.view("f_postings").select("ord", text.request_text(
         "Title: {title}; company: {company}; text: {description}", title=F.col("title"), company=F.col("company"),
-        description=text.cut(F.col("description"), 1500)).alias("prompt"))
+        description=F.col("description")).alias("prompt"))
 
 
 @query(
