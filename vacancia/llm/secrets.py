@@ -1,18 +1,23 @@
 """Secret scans in SQL expressions: three fixed patterns, and strings that look random.
 
-Two Markov models over characters are counted from labelled samples of the whole corpus: the random
-class from the values that the patterns find, the ordinary class from long identifiers that are no part
-of one. Every text is scanned once; what is kept of it are its spans and long strings. A further string of ``LEAST`` characters is a secret when the logarithm of its likelihood ratio,
-added up over its characters, exceeds ``LEAST_RATIO`` and ``LEAST_MEAN`` per character. The model has
-one number for each pair of characters of a fixed alphabet and becomes a literal of the query.
-
-Spans are code points, end exclusive. Nulls count as empty texts, which have no spans. Without a sample
-of either class only the patterns speak. Rows repeat with their input.
+Markov models over characters are counted from labelled samples of the whole corpus. Random: digests of every
+document's identifier, written in base 64 and in hexadecimal, and the long values that the patterns find, each with the
+samples in its own writing. Ordinary: long identifiers that are no part of such a value, as they stand and by twos in the
+usual spellings (snake, kebab, path, capitals, camel). A further string of ``LEAST`` characters is a secret when the
+mean logarithm of its likelihood ratio, by the better of the two random models, exceeds a threshold. The threshold comes
+from the samples of every ``HELD_OUT``-th document by hash, which no count includes: it makes the sum of
+missed random and flagged ordinary samples smallest. The models have one number for each pair of characters of a fixed
+alphabet and become literals of the query.
+
+Spans are code points, end exclusive. Nulls count as empty texts, which have no spans. Without ordinary samples only
+the patterns speak. Rows repeat with their input; other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +36,25 @@ KINDS = ["assign", "access", "hex", "markov"]
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Characters of a string to be judged, and of an ordinary identifier to learn from.
 LEAST, ORDINARY = 20, 12
-LEAST_RATIO, LEAST_MEAN = 12.0, 0.5
+#: Shortest found value that says how random strings look; shorter ones are often chosen by people.
+CHOSEN = 16
+#: One in so many documents sets the threshold; the one used while nothing is held out.
+HELD_OUT, LEAST_MEAN = 5, 0.5
+#: Weight of single characters where a pair of characters is rare, and steps of the threshold.
+SMOOTHING, STEPS = 4.0, 16
 _SIDE = len(ALPHABET)
+_ORDINARY, _MIXED, _HEX = range(3)
+
+
+@dataclass
+class Model:
+    """Log ratios of the two random models, a row for each first character, and what held-out samples gave."""
+
+    mixed: list[float]
+    hexadecimal: list[float]
+    threshold: float = LEAST_MEAN
+    recall: float | None = None
+    false_rate: float | None = None
 
 
 def _run(length: int) -> str:
@@ -43,7 +65,8 @@ def _run(length: int) -> str:
 def _spans(text: str, pattern: str, kind: str) -> Column:
     """Matches as structs (start, kind, end, value), leftmost and without overlap.
 
-    What lies between the matches, and the matches, give the starts as running sums.
+    What lies between the matches, and the matches, give the starts as running sums; a text is read by the pattern
+    once to see whether it matches, and three times more if it does.
     """
     match = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1 if kind == "assign" else 0))
@@ -83,41 +106,124 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return texts.select("doc_id", base.alias("base"), "long", F.coalesce(others, none).alias("others"))
 
 
-def pair_counts(scanned: DataFrame) -> DataFrame:
-    """``random, pair, n``: neighbouring characters in the labelled samples of scanned documents."""
-    random = F.filter(F.transform("base", lambda s: F.regexp_replace(s["value"], "[.]", "")), lambda v: v.rlike("[0-9]"))
-    ordinary = F.filter(
+def samples(scanned: DataFrame) -> DataFrame:
+    """``held, kind, token``: labelled samples of scanned documents, of the ordinary, mixed or hexadecimal kind."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    digest = F.sha2(name, 256)
+    values = F.filter(
+        F.transform("base", lambda s: F.regexp_replace(s["value"], "[.]", "")),
+        lambda v: v.rlike("[0-9]") & (F.length(v) >= CHOSEN),
+    )
+    found = F.transform(
+        values, lambda v: F.struct(F.when(v.rlike("^[0-9a-f]+$"), _HEX).otherwise(_MIXED).alias("kind"), v.alias("token"))
+    )
+    made = F.array(
+        # Without the padding, which no random choice makes.
+        F.struct(F.lit(_MIXED).alias("kind"), F.base64(F.unhex(digest)).substr(1, 42).alias("token")),
+        F.struct(F.lit(_HEX).alias("kind"), digest.alias("token")),
+    )
+    words = F.filter(
         "long", lambda w: ~F.exists("base", lambda s: F.contains(s["value"], w) | F.contains(w, s["value"]))
     )
-    samples = F.concat(
-        F.transform(random, lambda v: F.struct(F.lit(True).alias("random"), v.alias("token"))),
-        F.transform(ordinary, lambda v: F.struct(F.lit(False).alias("random"), v.alias("token"))),
+    # A sequence from 1 to less than 1 would count downwards.
+    twos = F.when(
+        F.size("words") > 1,
+        F.transform(F.sequence(F.lit(1), F.size("words") - 1, F.lit(2)), lambda i: F.slice("words", i, 2)),
+    ).otherwise(F.array().cast("array<array<string>>"))
+
+    def spelled(two: Column) -> Column:
+        snake = F.array_join(two, "_")
+        camel = F.concat(F.lower(F.get(two, F.lit(0))), F.initcap(F.get(two, F.lit(1))))
+        return F.array(snake, F.upper(snake), camel, F.array_join(two, "-"), F.array_join(two, "/"))
+
+    ordinary = F.concat("words", F.flatten(F.transform(twos, spelled)))
+    every = F.concat(
+        found, made, F.transform(ordinary, lambda w: F.struct(F.lit(_ORDINARY).alias("kind"), w.alias("token")))
     )
-    tokens = scanned.select(F.explode(samples).alias("s")).select("s.random", "s.token")
-    pairs = tokens.select("random", F.explode(F.regexp_extract_all("token", F.lit("(?=(..))"), F.lit(1))).alias("pair"))
-    return pairs.groupBy("random", "pair").agg(F.count("*").alias("n"))
+    rows = scanned.withColumn("words", words).select(
+        (F.pmod(F.crc32(F.encode(name, "UTF-8")), F.lit(HELD_OUT)) == 0).alias("held"), F.explode(every).alias("s")
+    )
+    return rows.select("held", "s.kind", "s.token")
 
 
-def train(scanned: DataFrame) -> list[float] | None:
-    """Log ratios, a row for each first character; at most two counts for each pair reach the driver."""
-    counts = {(r["random"], r["pair"]): r["n"] for r in pair_counts(scanned).collect()}
-    if len({random for random, _ in counts}) < 2:
+def pair_counts(sampled: DataFrame) -> DataFrame:
+    """``kind, pair, n``: neighbouring characters of the samples that are not held out."""
+    pairs = sampled.where(~F.col("held")).select(
+        "kind", F.explode(F.regexp_extract_all("token", F.lit("(?=(..))"), F.lit(1))).alias("pair")
+    )
+    return pairs.groupBy("kind", "pair").agg(F.count("*").alias("n"))
+
+
+def _logs(counts: Counter) -> list[float]:
+    """Logarithms of second characters' shares after each first one, smoothed by their shares in all."""
+    seconds = Counter()
+    for (_, second), n in counts.items():
+        seconds[second] += n
+    whole = sum(seconds.values()) + 0.5 * _SIDE
+    shares = [(seconds[c] + 0.5) / whole for c in ALPHABET]
+    out = []
+    for first in ALPHABET:
+        row = [counts[first, c] for c in ALPHABET]
+        out += [math.log((n + SMOOTHING * p) / (sum(row) + SMOOTHING)) for n, p in zip(row, shares)]
+    return out
+
+
+def train(scanned: DataFrame) -> Model | None:
+    """Count the models and set the threshold; the driver gets pairs of the alphabet and a histogram of fixed steps."""
+    sampled = samples(scanned)
+    counts = [Counter() for _ in range(3)]
+    for r in pair_counts(sampled).collect():
+        counts[r["kind"]][tuple(r["pair"])] += r["n"]
+    if not counts[_ORDINARY]:
         return None
-    logs = {}
-    for random in (True, False):
-        for first in ALPHABET:
-            row = [counts.get((random, first + c), 0) + 0.5 for c in ALPHABET]
-            logs[random, first] = [math.log(n / sum(row)) for n in row]
-    return [a - b for first in ALPHABET for a, b in zip(logs[True, first], logs[False, first])]
+    ordinary, mixed, hexadecimal = map(_logs, counts)
+    model = Model([a - b for a, b in zip(mixed, ordinary)], [a - b for a, b in zip(hexadecimal, ordinary)])
+    # The shortest strings to be judged are the hardest: random samples are held to that length.
+    token = F.when(F.col("kind") == _ORDINARY, F.col("token")).otherwise(F.col("token").substr(1, LEAST))
+    step = F.least(F.greatest(F.floor(mean_ratio(token, model) * STEPS), F.lit(-20 * STEPS)), F.lit(20 * STEPS))
+    rows = (
+        sampled.where("held").groupBy((F.col("kind") > 0).alias("random"), step.alias("step"))
+        .agg(F.count("*").alias("n")).collect()
+    )
+    held = {flag: Counter({r["step"]: r["n"] for r in rows if r["random"] == flag}) for flag in (True, False)}
+    sizes = {flag: sum(c.values()) for flag, c in held.items()}
+    if not all(sizes.values()):
+        return model
+
+    def rates(t: int) -> tuple[float, float]:
+        caught = sum(n for s, n in held[True].items() if s >= t)
+        flagged = sum(n for s, n in held[False].items() if s >= t)
+        return caught / sizes[True], flagged / sizes[False]
+
+    steps = range(-20 * STEPS, 20 * STEPS + 1)
+    cost = [1 - recall + wrong for recall, wrong in map(rates, steps)]
+    best = [t for t, c in zip(steps, cost) if c <= min(cost) + 1e-12]
+    middle = best[len(best) // 2]
+    model.threshold = middle / STEPS
+    model.recall, model.false_rate = rates(middle)
+    return model
+
 
+def _literal(numbers: list[float]) -> Column:
+    return F.split(F.lit(",".join(f"{r:.6g}" for r in numbers)), ",").cast("array<double>")
+
+
+def mean_ratio(token: Column, model: Model) -> Column:
+    """Mean log-likelihood ratio per step from character to character, by the random model that fits better."""
+    mixed, hexadecimal = _literal(model.mixed), _literal(model.hexadecimal)
 
-def _looks_random(token: Column, ratios: Column) -> Column:
     def place(i: Column) -> Column:
         return F.instr(F.lit(ALPHABET), token.substr(i, F.lit(1))) - 1
 
-    places = F.sequence(F.lit(2), F.length(token))
-    total = F.aggregate(places, F.lit(0.0), lambda s, i: s + F.get(ratios, place(i - 1) * _SIDE + place(i)))
-    return (total > LEAST_RATIO) & (total > LEAST_MEAN * F.length(token))
+    def step(state: Column, i: Column) -> Column:
+        at = place(i - 1) * _SIDE + place(i)
+        return F.struct((state["m"] + F.get(mixed, at)).alias("m"), (state["h"] + F.get(hexadecimal, at)).alias("h"))
+
+    start = F.struct(F.lit(0.0).alias("m"), F.lit(0.0).alias("h"))
+    return F.aggregate(
+        F.sequence(F.lit(2), F.length(token)), start, step,
+        lambda state: F.greatest(state["m"], state["h"]) / (F.length(token) - 1),
+    )
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,10 +232,10 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     model = train(scanned)
     if model is None:
         return scanned.select("doc_id", "base", F.col("base").alias("spans"))
-    ratios = F.split(F.lit(",".join(f"{r:.6g}" for r in model)), ",").cast("array<double>")
     others = F.filter(
         "others",
-        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & _looks_random(s["value"], ratios),
+        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        & (mean_ratio(s["value"], model) >= model.threshold),
     )
     return scanned.select("doc_id", "base", F.array_sort(F.concat("base", others)).alias("spans"))
 
