@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vacancia.session import SETTINGS
+
 from . import catalog_entities, catalog_extract
 from .fixtures import Inputs
 
@@ -13,6 +15,7 @@ def inputs(spark, sf_dir: str) -> Inputs:
     """Views are set up once per session and folder; they are lazy and hold no rows."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if _OPEN.get("key") != key:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        for name in ("spark.sql.session.timeZone", "spark.sql.sources.fileCompressionFactor"):
+            spark.conf.set(name, SETTINGS[name])
         _OPEN.update(key=key, inputs=Inputs(spark, sf_dir))
     return _OPEN["inputs"]

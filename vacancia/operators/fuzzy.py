@@ -5,7 +5,7 @@ whose title is similar enough, else it becomes a leader. Leaders are the lexicog
 maximal independent set of the similarity graph, which rounds of joins can find without placing
 a company in one task and without writing out all pairs of a group:
 
-1. titles meet only in buckets of lossless signatures;
+1. titles meet only in buckets of lossless signatures; a company of few titles is one bucket;
 2. a round looks at the first few undecided titles of every bucket. A title that is inside that
    window in *all* its buckets and has no similar undecided title before it is a leader. The
    window starts small and doubles: masses of alike titles are absorbed while it is small, and
@@ -25,10 +25,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.similarity import edit_similarity, length_compatible, may_reach, ratio_at_least, shared_buckets, signatures
-from ..session import cut_lineage
+from ..session import landed
 
 THRESHOLD = 0.85
 FIRST_WINDOW = 4
+# Companies of up to this many titles are one bucket: comparing all of them is cheaper than keys.
+SMALL_COMPANY = 64
 
 
 def _similar(pairs: DataFrame, threshold: float, kind: str) -> DataFrame:
@@ -58,6 +60,19 @@ def _against_leaders(rows: DataFrame, leaders: DataFrame, threshold: float, kind
     return _similar(pairs.select("early", "early_title", "late", "late_title"), threshold, kind)
 
 
+def _keyed(titles: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Titles once per bucket. Companies of a single title have no pair and are left out."""
+    n_titles = titles.groupBy("company_key").agg(F.count("*").alias("_titles")).where(F.col("_titles") > 1)
+    sized = titles.join(n_titles, "company_key")
+    few = sized.where(F.col("_titles") <= SMALL_COMPANY).select(
+        "tid", "title", "company_key", F.xxhash64("company_key").alias("bucket"))
+    keys = signatures(threshold, kind)
+    many = sized.where(F.col("_titles") > SMALL_COMPANY).select(
+        "tid", "title", F.explode(keys(F.col("title"))).alias("sig"), "company_key"
+    ).select("tid", "title", "company_key", F.xxhash64("company_key", "sig").alias("bucket"))
+    return few.unionByName(many)
+
+
 def title_leaders(
     titles: DataFrame, threshold: float = THRESHOLD, window: int = FIRST_WINDOW, kind: str = "sequence",
 ) -> DataFrame:
@@ -67,16 +82,12 @@ def title_leaders(
     posting. Returns ``company_key, title, tid, leader`` (the leader's tid) for titles that are
     not leaders themselves. ``kind='edit'`` compares by edit distance, JVM-side.
     """
-    keys = signatures(threshold, kind)
-    keyed = titles.select(
-        "tid", "title", F.explode(keys(F.col("title"))).alias("sig"), "company_key"
-    ).select("tid", "title", "company_key", F.xxhash64("company_key", "sig").alias("bucket"))
-    members = cut_lineage(shared_buckets(keyed))
+    members = landed(shared_buckets(_keyed(titles, threshold, kind)))
 
     undecided, absorbed = members, []
     while not undecided.isEmpty():
         rank = F.row_number().over(W.partitionBy("bucket").orderBy("tid"))
-        front = cut_lineage(undecided.withColumn("_rank", rank).where(F.col("_rank") <= window).drop("_rank"))
+        front = landed(undecided.withColumn("_rank", rank).where(F.col("_rank") <= window).drop("_rank"))
         seen = front.groupBy("tid").agg(F.count("*").alias("n_front"))
         total = undecided.groupBy("tid").agg(F.count("*").alias("n_all"))
         whole = seen.join(total, "tid").where(F.col("n_front") == F.col("n_all")).select("tid")
@@ -85,14 +96,14 @@ def title_leaders(
         b = front.select("bucket", "company_key", F.col("tid").alias("late"), F.col("title").alias("late_title"))
         inside = a.join(b, ["bucket", "company_key"]).where(F.col("early") < F.col("late")).drop("bucket", "company_key")
         blocked = _similar(inside, threshold, kind).select(F.col("late").alias("tid"))
-        leaders = cut_lineage(whole.join(blocked, "tid", "left_anti"))
+        leaders = landed(whole.join(blocked, "tid", "left_anti"))
 
         leading = undecided.join(leaders, "tid", "left_semi")
         hits = _against_leaders(undecided, leading, threshold, kind)
-        taken = cut_lineage(hits.groupBy(F.col("late").alias("tid")).agg(F.min("early").alias("known")))
+        taken = landed(hits.groupBy(F.col("late").alias("tid")).agg(F.min("early").alias("known")))
         absorbed.append(taken)
         left = undecided.join(leaders, "tid", "left_anti").join(taken, "tid", "left_anti")
-        undecided = cut_lineage(shared_buckets(left))
+        undecided = landed(shared_buckets(left))
         window *= 2
 
     if not absorbed:

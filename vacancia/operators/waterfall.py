@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import CONTACTS, conform, has_items
-from ..session import cut_lineage
+from ..session import landed
 from .contacts import as_parts, merge_contacts
 
 # Order in which lookups are consulted.
@@ -49,13 +49,13 @@ def run_waterfall(
     ``enrichers`` are (priority, function of companies giving contact fields). Each stage's parts
     are checkpointed: they decide who enters the next stage. ``enriched_at`` stamps what has no time of its own.
     """
-    parts = cut_lineage(seed_parts(seeds, enriched_at))
+    parts = landed(seed_parts(seeds, enriched_at))
     for priority, enrich in sorted(enrichers, key=lambda e: e[0]):
         done = parts.groupBy("company").agg(
             F.max(has_items("phone_numbers")).alias("p"), F.max(has_items("emails")).alias("e")
         ).where("p AND e").select("company")
         pending = companies.join(done, "company", "left_anti")
-        found = cut_lineage(as_parts(enrich(pending), priority, enriched_at))
+        found = landed(as_parts(enrich(pending), priority, enriched_at))
         parts = parts.unionByName(found)
     return parts
 

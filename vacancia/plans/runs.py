@@ -20,7 +20,7 @@ from ..operators.quality import (
 from ..operators.upsert import KeyedTable
 from ..operators.waterfall import Enricher, contacts_for, run_waterfall, seed_parts
 from ..schema import CONTACTS, RUNS, conform
-from ..session import cut_lineage
+from ..session import landed
 from ..sources.registers import resume, seen_hashes, seen_keys
 
 
@@ -84,8 +84,8 @@ def seed_only_contacts(postings: DataFrame, enriched_at: Column | None = None) -
 
 def enrich(postings: DataFrame, options: RunOptions, cached: DataFrame | None = None) -> DataFrame:
     """Contact per company: fresh cache entries reused, the waterfall for everyone else."""
-    companies = cut_lineage(first_company_rep(postings))
-    seeds = cut_lineage(seed_contacts(postings))
+    companies = landed(first_company_rep(postings))
+    seeds = landed(seed_contacts(postings))
     if cached is None:
         return contacts_for(companies, run_waterfall(companies, seeds, options.enrichers, options.stamp()))
     fresh, _ = split_cache(conform(cached, CONTACTS), options.cache_days, options.now())
@@ -104,7 +104,7 @@ def run(
     and every sink read it."""
     options = options or RunOptions()
     counts = StageCounts()
-    postings = cut_lineage(prepare(raw, options, seen, counts))
+    postings = landed(prepare(raw, options, seen, counts))
     if options.enrichers or cached is not None:
         contacts = enrich(postings, options, cached)
     else:
