@@ -13,10 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
-from ..functions.text import content_hash, content_key, norm_name
+from ..functions.text import content_hash, content_key, hash_of, norm_name
 from ..schema import JOB_TRACKED, POSTINGS, conform, filled, filled_sql
-from ..session import cut_lineage
+from ..session import landed
 from .counts import StageCounts
 from .fuzzy import THRESHOLD, title_leaders
 
@@ -42,10 +43,16 @@ def last_per_key(df: DataFrame, keys: list[str], order: str = "ord") -> DataFram
 
 def origin_map() -> Column:
     """Origin of every populated tracked field of a fresh posting: its own source."""
-    types = {f.name: f for f in POSTINGS.fields}
-    marks = [f"CASE WHEN {filled_sql(types[n])} THEN '{n}' END" for n in JOB_TRACKED]
-    names = f"array_compact(array({', '.join(marks)}))"
-    return F.expr(f"map_from_arrays({names}, transform({names}, x -> array(source)))")
+    return F.expr(_origins())
+
+
+def _origins(prefix: str = "", slim: bool = False) -> str:
+    types = {f.name: f.dataType for f in POSTINGS.fields}
+    tests = {n: filled_sql(StructField(prefix + n, types[n])) for n in JOB_TRACKED}
+    if slim:
+        tests["description"] = f"coalesce({prefix}description.filled, false)"
+    marks = [f"CASE WHEN {test} THEN struct('{n}' AS key, array({prefix}source) AS value) END" for n, test in tests.items()]
+    return f"map_from_entries(array_compact(array({', '.join(marks)})))"
 
 
 def completeness(slim: bool = False) -> Column:
@@ -53,8 +60,9 @@ def completeness(slim: bool = False) -> Column:
     return F.expr(_completeness(slim))
 
 
-def _completeness(slim: bool) -> str:
-    skip = {"ord", "sources", "field_sources"} | ({"description"} if slim else set())
+def _completeness(slim: bool, fresh: bool = False) -> str:
+    """The digest of a fresh record is not there yet; it counts the same for all of them."""
+    skip = {"ord", "sources", "field_sources"} | ({"description"} if slim else set()) | ({"hash"} if fresh else set())
     tests = [filled_sql(f) for f in POSTINGS.fields if f.name not in skip]
     if slim:
         tests.append("coalesce(description.filled, false)")
@@ -67,6 +75,8 @@ def with_hash(df: DataFrame) -> DataFrame:
     )
 
 
+# Follow from the other fields of a fresh posting, so they are added behind the shuffles.
+_DERIVED = ("sources", "field_sources", "hash")
 # The key of level 1 and the ordinal: postings that share an ordinal keep their own texts.
 _REF = ["source", "job_id", "ord"]
 
@@ -82,20 +92,26 @@ def _restore(slim: DataFrame, full: DataFrame) -> DataFrame:
     return out.withColumn("description", F.col("_text"))
 
 
-def merge_groups(df: DataFrame, keys: list[str]) -> DataFrame:
+def merge_groups(df: DataFrame, keys: list[str], fresh: bool = False) -> DataFrame:
     """One record per key: the richest (ties: earliest), gaps filled by (richness, order).
 
     All aggregates combine map-side and hold one record or a set of source names, so a group may
-    be of any size. ``sources`` lists the first record's, then the others by name.
+    be of any size. ``sources`` lists the first record's, then the others by name. ``fresh`` records
+    come without sources and origins, which are their own source; the merged ones have them.
     """
     columns = [c for c in df.columns if c not in keys]
     order = "_order"
     # Source and id keep the choice of one record when ordinals repeat.
-    rows = df.withColumn(order, F.expr(f"struct(-({_completeness(slim=True)}) AS s, ord AS o, source AS p, job_id AS j)"))
+    rows = df.withColumn(order, F.expr(f"struct(-({_completeness(slim=True, fresh=fresh)}) AS s, ord AS o, source AS p, job_id AS j)"))
     held = {n: f"{n} IS NOT NULL" for n in FILL_WHEN_NULL}
     held |= {n: f"coalesce(size({n}), 0) > 0" for n in FILL_WHEN_EMPTY}
 
+    sources = "array(source)" if fresh else "sources"
+
     def donor(name: str) -> str:
+        if fresh:
+            # The order names the source already.
+            return f"min(struct({order} AS o, {name} AS v)) FILTER (WHERE {held[name]}) AS _{name}"
         origin = f"coalesce(field_sources['{name}'], array(source))"
         return f"min_by(struct({name} AS v, {origin} AS origin), {order}) FILTER (WHERE {held[name]}) AS _{name}"
 
@@ -105,35 +121,41 @@ def merge_groups(df: DataFrame, keys: list[str]) -> DataFrame:
             for e in [
                 f"min_by(struct({', '.join(columns)}), {order}) AS base",
                 "min(ord) AS first_ord",
-                "min_by(sources, ord) AS first_sources",
-                "collect_set(sources) AS all_sources",
+                f"min_by({sources}, ord) AS first_sources",
+                f"collect_set({sources}) AS all_sources",
                 *[donor(n) for n in held],
             ]
         ]
     )
     lack = {n: f"base.{n} IS NULL" for n in FILL_WHEN_NULL}
     lack |= {n: f"coalesce(size(base.{n}), 0) <= 0" for n in FILL_WHEN_EMPTY}
+    own = _origins("base.", slim=True) if fresh else "base.field_sources"
     gains = ", ".join(
-        f"CASE WHEN {test} AND _{n} IS NOT NULL THEN struct('{n}' AS key, _{n}.origin AS value) END"
+        f"CASE WHEN {test} AND _{n} IS NOT NULL THEN struct('{n}' AS key, {f'array(_{n}.o.p)' if fresh else f'_{n}.origin'} AS value) END"
         for n, test in lack.items()
     )
     special = {
         "ord": "first_ord",
         "sources": "array_distinct(concat(first_sources, array_sort(array_distinct(flatten(all_sources)))))",
-        "field_sources": f"map_concat(base.field_sources, map_from_entries(array_compact(array({gains}))))",
+        "field_sources": f"map_concat({own}, map_from_entries(array_compact(array({gains}))))",
     }
     special |= {n: f"CASE WHEN {test} THEN coalesce(_{n}.v, base.{n}) ELSE base.{n} END" for n, test in lack.items()}
+    columns = list(dict.fromkeys([*columns, "sources", "field_sources"]))
     return merged.selectExpr(*keys, *[f"{special.get(c, f'base.{c}')} AS {c}" for c in columns])
 
 
 def _start(df: DataFrame) -> DataFrame:
-    ready = with_hash(conform(df, POSTINGS))
-    return ready.withColumn("sources", F.array("source")).withColumn("field_sources", origin_map())
+    return conform(df, POSTINGS).drop(*_DERIVED)
+
+
+def _derived(slim: DataFrame) -> DataFrame:
+    return with_hash(slim).withColumn("sources", F.array("source")).withColumn("field_sources", F.expr(_origins(slim=True)))
 
 
 def _level2(slim: DataFrame) -> DataFrame:
     key = content_key(F.col("title"), F.col("company"), F.col("location"), F.col("job_id"))
-    return merge_groups(slim.withColumn("_key", key), ["_key"]).drop("_key")
+    merged = merge_groups(slim.withColumn("_key", key), ["_key"], fresh=True)
+    return merged.withColumn("hash", hash_of(F.col("_key"))).drop("_key")
 
 
 def company_titles(df: DataFrame, match_location: bool = False, blank_company: str = "group") -> DataFrame:
@@ -153,7 +175,7 @@ def company_titles(df: DataFrame, match_location: bool = False, blank_company: s
 def _level3(slim: DataFrame, threshold: float, match_location: bool, blank_company: str, kind: str) -> DataFrame:
     """``slim`` is read several times, so it must be cheap to read."""
     rows = company_titles(slim, match_location, blank_company)
-    titles = cut_lineage(
+    titles = landed(
         rows.where(F.col("company_key").isNotNull())
         .groupBy("company_key", F.col("norm_title").alias("title"))
         .agg(F.min("ord").alias("tid"), F.count("*").alias("n"))
@@ -163,7 +185,7 @@ def _level3(slim: DataFrame, threshold: float, match_location: bool, blank_compa
         "cluster", F.coalesce("leader", "tid")
     )
     crowded = cluster.groupBy("cluster").agg(F.sum("n").alias("size")).where(F.col("size") > 1)
-    members = cut_lineage(
+    members = landed(
         cluster.join(crowded, "cluster").select("company_key", F.col("title").alias("norm_title"), "cluster")
     )
     # Most rows are alone in their cluster and pass through; only the others are regrouped.
@@ -191,10 +213,12 @@ def deduplicate(
 
     start = _start(df)
     out = counted("level1", level1(counted("raw", _slim(start))))
-    if levels >= 2:
+    if levels < 2:
+        out = _derived(out)
+    else:
         out = counted("level2", _level2(out))
     if levels >= 3:
-        out = counted("level3", _level3(cut_lineage(out), threshold, match_location, blank_company, kind))
+        out = counted("level3", _level3(landed(out), threshold, match_location, blank_company, kind))
     return conform(_restore(out, start), POSTINGS)
 
 
