@@ -215,3 +215,31 @@ def test_upsert_twice_is_once(spark):
     once = upsert.upsert(old, new, ["k"])
     twice = upsert.upsert(once, new, ["k"])
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [("a", 1, None), ("b", 3, "x"), ("c", 4, "y")]
+
+
+def test_register_names_meet_in_blocks(spark, monkeypatch):
+    rng = random.Random(11)
+    monkeypatch.setattr(registry, "BLOCK_COMPANIES", 7)
+    monkeypatch.setattr(registry, "BLOCK_NAMES", 5)
+    # One word that all share, names longer than a machine word, and many ties.
+    companies = ["the " + n for n in noisy(rng, 40)] + ["the " + "very long name of a care home " * 3 + n for n in noisy(rng, 6)]
+    names = ["THE " + n for n in noisy(rng, 60)] + [companies[-1] + " s", companies[-2][:-3], companies[0].upper()]
+    left = spark.createDataFrame([(c,) for c in companies], "company string")
+    right = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "name string, cand_ord bigint")
+
+    def edit(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return 1 - row[-1] / max(len(a), len(b))
+
+    for kind, measure in (("sequence", ratio), ("edit", edit)):
+        want = {}
+        for c in companies:
+            score, k = max((measure(c, n.lower()), -k) for k, n in enumerate(names))
+            if score >= 0.75:
+                want[c] = (-k, round(score, 9))
+        got = {r.company: (r.cand_ord, round(r.score, 9)) for r in registry.best_matches(left, right, 0.75, kind).collect()}
+        assert len(want) > 10 and got == want

@@ -21,6 +21,7 @@ from collections.abc import Callable
 from difflib import SequenceMatcher
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -114,6 +115,92 @@ def may_reach(a: Column, b: Column, threshold: float) -> Column:
     return F.call_function("levenshtein", a, b, most) >= 0
 
 
+def _shared_characters(lefts: list[str], rights: list[str], threshold: float, kind: str) -> tuple[np.ndarray, ...]:
+    """Pairs (i, j), and the most characters they can have in order alike: those whose bags share enough characters, and of names up to 64 long whose common subsequences are long enough.
+
+    Matched blocks, and characters that no edit touches, are a common subsequence.
+    """
+    alphabet = {ch: n for n, ch in enumerate(sorted(set("".join(lefts)) & set("".join(rights))))}
+    none, width = len(alphabet), max(map(len, rights))
+    wide = np.uint8 if width < 256 else np.int32
+    counts = np.zeros((none + 1, len(rights)), dtype=wide)
+    codes = np.full((len(rights), min(width, 64)), none, dtype=np.int32)
+    for j, text in enumerate(rights):
+        for n, ch in enumerate(text):
+            at = alphabet.get(ch, none)
+            counts[at, j] += 1
+            if n < 64:
+                codes[j, n] = at
+    la, lb = np.array([len(x) for x in lefts]), np.array([len(x) for x in rights])
+
+    def least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.ceil((threshold * np.maximum(x, y) if kind == "edit" else threshold * (x + y) / 2) - 1e-9)
+
+    masks = np.zeros((len(lefts), none + 1), dtype=np.uint64)
+    rows, cols, most = [], [], []
+    for i, text in enumerate(lefts):
+        overlap = np.zeros(len(rights), dtype=np.int32 if wide is np.int32 else np.uint16)
+        for ch, n in Counter(text).items():
+            if ch in alphabet:
+                overlap += np.minimum(counts[alphabet[ch]], min(n, np.iinfo(wide).max))
+        hit = np.flatnonzero(overlap >= least(la[i], lb))
+        rows.append(np.full(len(hit), i)), cols.append(hit), most.append(overlap[hit].astype(np.int64))
+        for n, ch in enumerate(text[:64]):
+            if ch in alphabet:
+                masks[i, alphabet[ch]] |= np.uint64(1 << n)
+    rows, cols, most = np.concatenate(rows), np.concatenate(cols), np.concatenate(most)
+    for at in range(0, len(rows), 16_384):
+        i, j = rows[at : at + 16_384], cols[at : at + 16_384]
+        # Longest common subsequence of all pairs, a bit for each character on the left: the bits that are off at the end.
+        v = np.full(len(i), ~np.uint64(0))
+        for n in range(int(min(lb[j].max(initial=0), 64))):
+            u = v & masks[i, codes[j, n]]
+            v = (v + u) | (v - u)
+        long = (la[i] > 64) | (lb[j] > 64)
+        most[at : at + 16_384] = np.where(long, most[at : at + 16_384], np.bitwise_count(~v))
+    keep = most >= least(la[rows], lb[cols])
+    return rows[keep], cols[keep], most[keep]
+
+
+def near_names(threshold: float, kind: str = "sequence") -> Callable[[Column, Column], Column]:
+    """Two lists of names to the pairs ``(i, j, score)`` of positions that may reach the threshold.
+
+    Of the sequence ratio, the best pairs of each left name with their score: all that share the
+    highest one, so that a tie can be settled. Of the edit measure all pairs, without a score.
+    """
+
+    def best(i: int, near: list[int], most: list[int], lefts: list[str], rights: list[str], matcher: SequenceMatcher) -> list[tuple]:
+        a, top, out = lefts[i], threshold, []
+        matcher.set_seq1(a)
+        for bound, j in sorted(((2.0 * m / (len(a) + len(rights[j])), j) for m, j in zip(most, near)), reverse=True):
+            if bound < top:
+                break
+            matcher.set_seq2(rights[j])
+            score = matcher.ratio()
+            if score >= top:
+                out, top = [x for x in out if x[2] >= score] + [(i, j, score)], score
+        return out
+
+    @F.pandas_udf("array<struct<i:int,j:int,score:double>>")
+    def near(lefts: pd.Series, rights: pd.Series) -> pd.Series:
+        matcher, out = SequenceMatcher(None), []
+        for a, b in zip(lefts, rights):
+            a, b = list(a), list(b)
+            i, j, most = _shared_characters(a, b, threshold, kind)
+            if kind == "edit":
+                out.append([{"i": x, "j": y, "score": None} for x, y in zip(i.tolist(), j.tolist())])
+                continue
+            found: list[tuple] = []
+            ends = np.searchsorted(i, np.arange(len(a) + 1))
+            for n in np.unique(i).tolist():
+                own = slice(ends[n], ends[n + 1])
+                found += best(n, j[own].tolist(), most[own].tolist(), a, b, matcher)
+            out.append([{"i": x, "j": y, "score": s} for x, y, s in found])
+        return pd.Series(out, dtype=object)
+
+    return near
+
+
 def shared_buckets(keyed: DataFrame, spread: int = 10_000) -> DataFrame:
     """Keep buckets with at least two members, and say over how many salts each one is spread."""
     sizes = keyed.groupBy("bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.similarity import edit_similarity, length_compatible, may_reach, ratio_at_least, signatures
+from ..functions.similarity import edit_similarity, near_names
 from ..functions.text import join_parts, norm_name
 from ..schema import filled
 
@@ -14,12 +14,21 @@ from ..schema import filled
 COMPANY_REGISTER_MIN = 0.75
 CHARITY_REGISTER_MIN = 0.70
 CARE_REGISTER_MIN = 0.70
+# Names of a word that meet at once; results do not depend on it.
+BLOCK_COMPANIES, BLOCK_NAMES = 1024, 2048
 
 
 def _words(name: Column) -> Column:
     return F.array_distinct(F.filter(F.split(norm_name(name), " +"), lambda w: w != ""))
 
 
+def _blocks(names: DataFrame, name: str, shared: DataFrame, size: int, part: str, held: Column, lists: str) -> DataFrame:
+    """Lists of up to about ``size`` names that hold a word: (word, part, list)."""
+    rows = names.withColumn("word", F.explode(_words(F.col(name)))).join(shared, "word")
+    at = F.pmod(F.xxhash64(name), F.ceil(F.col(f"n_{part}") / size)).cast("int")
+    return rows.groupBy("word", at.alias(part)).agg(F.collect_list(held).alias(lists))
+
+
 def best_matches(
     companies: DataFrame, register: DataFrame, threshold: float, kind: str = "sequence"
 ) -> DataFrame:
@@ -27,35 +36,31 @@ def best_matches(
 
     ``companies(company)`` and ``register(name, cand_ord)``; ratio on lower-cased raw names; ties
     go to the earliest candidate. Names are first made distinct, so a name held by many rows is
-    compared once. Candidates meet on (shared word, signature): the signature splits a word that
-    very many names share, and loses no pair that can reach the threshold, so there is no limit
-    on candidates. ``kind='edit'`` compares by edit distance, JVM-side.
+    compared once. The names that share a word meet in blocks of bounded size, each of which is one row; no pair
+    becomes a row unless it may reach the threshold, and of the sequence ratio only the best of a
+    block does. There is no limit on candidates. ``kind='edit'`` takes the edit distance JVM-side.
     """
-    keys = signatures(threshold, kind, k=2)
     left = companies.where(filled("company")).select("company", F.lower("company").alias("a"))
     right = register.where(filled("name")).select("cand_ord", F.lower("name").alias("b"))
     names_a = left.select("a").distinct()
     names_b = right.groupBy("b").agg(F.min("cand_ord").alias("cand_ord"))
 
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        words = df.withColumn("sig", keys(F.col(name))).withColumn("word", F.explode(_words(F.col(name))))
-        return words.select(
-            *df.columns, F.explode(F.transform("sig", lambda s: F.xxhash64("word", s))).alias("bucket")
-        )
-
-    ka, kb = keyed(names_a, "a"), keyed(names_b, "b")
-    pairs = ka.join(kb, "bucket").where(length_compatible(F.col("a"), F.col("b"), threshold, kind))
-    pairs = pairs.select("a", "b", "cand_ord").distinct()
+    def sizes(df: DataFrame, name: str, part: str) -> DataFrame:
+        return df.select(F.explode(_words(F.col(name))).alias("word")).groupBy("word").agg(F.count("*").alias(f"n_{part}"))
+
+    shared = sizes(names_a, "a", "pa").join(sizes(names_b, "b", "pb"), "word")
+    blocks_a = _blocks(names_a, "a", shared, BLOCK_COMPANIES, "pa", F.col("a"), "as_")
+    blocks_b = _blocks(names_b, "b", shared, BLOCK_NAMES, "pb", F.struct("b", "cand_ord"), "bs")
+    # Every block of a word's companies is a key of its own, so that a word of many names is many tasks' work.
+    parts = shared.select("word", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_pa") / BLOCK_COMPANIES).cast("int") - 1)).alias("pa"))
+    met = blocks_a.join(blocks_b.join(parts, "word"), ["word", "pa"])
+    found = F.explode(near_names(threshold, kind)(F.col("as_"), F.transform("bs", lambda x: x["b"]))).alias("f")
+    pairs = met.select("as_", "bs", found).select(
+        F.get("as_", F.col("f.i")).alias("a"), F.get("bs", F.col("f.j")).alias("m"), F.col("f.score").alias("score"))
+    pairs = pairs.select("a", "m.b", "m.cand_ord", "score")
     if kind == "edit":
-        scored = pairs.withColumn("score", edit_similarity(F.col("a"), F.col("b"))).where(
-            F.col("score") >= threshold
-        )
-    else:
-        pairs = pairs.where(may_reach(F.col("a"), F.col("b"), threshold))
-        scored = pairs.withColumn("score", ratio_at_least(threshold)(F.col("a"), F.col("b"))).where(
-            F.col("score").isNotNull()
-        )
-    best = scored.groupBy("a").agg(
+        pairs = pairs.withColumn("score", edit_similarity(F.col("a"), F.col("b"))).where(F.col("score") >= threshold)
+    best = pairs.groupBy("a").agg(
         F.min_by(F.struct("b", "cand_ord", "score"), F.struct((-F.col("score")).alias("s"), "cand_ord")).alias("m")
     )
     return left.join(best, "a").select(
