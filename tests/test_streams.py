@@ -103,3 +103,10 @@ def test_inbox_keeps_rejects_and_counts_calls(spark, tmp_path):
     messages = spark.read.text(str(land / "1.json"), wholetext=True).select(F.lit("1.json").alias("file"), F.col("value").alias("body"))
     box.store(messages, 0)
     assert box.calls().where("batch = 0").first()["total"] == 1 and box.jobs.current().count() == 2
+
+
+def test_field_merge_is_an_aggregation_of_the_engine(spark, tmp_path):
+    spark.createDataFrame([("a", 1, "x")], "k string, ord bigint, description string").write.parquet(f"{tmp_path}/in")
+    rows = capture.file_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
+    plan = state.stream_merge(rows, ["k"], "ord")._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
