@@ -275,7 +275,7 @@ def jobposting_project(i):
         location, CASE WHEN ord % 2 = 0 THEN nullif(salary_text, '') END AS salary_text,
         'https://uk.indeed.com/viewjob?jk=J' || CAST(ord AS VARCHAR) AS apply_url FROM f_postings""", POST)
 def card_extract(i):
-    p = i.view("f_postings")
+    p = i.columns("f_postings", "ord", "custkey", "title", "company", "location", "salary_text")
     third = F.col("ord") % 3
     heading = (
         F.when(F.col("ord") % 7 == 0, F.lit(""))
@@ -459,7 +459,7 @@ def salary_ld(i):
         .when(m == 2, F.lit('{"value":{"minValue":"lots","maxValue":5,"unitText":"MONTHLY"}}'))
         .when(m == 3, F.lit('{"value":{"minValue":0}}'))
     )
-    s = i.view("f_postings").select("ord", web_pages.salary_of(obj).alias("s"))
+    s = i.columns("f_postings", "ord", "price").select("ord", web_pages.salary_of(obj).alias("s"))
     return s.select("ord", F.col("s.min").alias("lo"), F.col("s.max").alias("hi"), F.col("s.period").alias("period"))
 
 
@@ -705,7 +705,7 @@ def json_repair(i):
        FROM (SELECT ord, description, '020 7946 ' || lpad(CAST((ord - ord % 5) % 10000 AS VARCHAR), 4, '0') AS phone,
              'hr@d' || CAST(dk AS VARCHAR) || '.co.uk' AS email FROM f_postings) q""", POST)
 def literal_guard(i):
-    p = i.view("f_postings").withColumn(
+    p = i.columns("f_postings", "ord", "description", "dk").withColumn(
         "phone", F.concat(F.lit("020 7946 "), F.lpad(((F.col("ord") - F.col("ord") % 5) % 10000).cast("string"), 4, "0"))
     ).withColumn("email", F.concat(F.lit("hr@d"), F.col("dk").cast("string"), F.lit(".co.uk")))
     phone, email = registers.literal_guard(F.col("description"), F.col("phone"), F.col("email"))
