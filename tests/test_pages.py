@@ -62,3 +62,32 @@ def test_repository_works_without_its_optional_part(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); print(len(q), sum(n.startswith('op') for n in q), 'pipeline' in q, set(e.oracle_sql()) <= set(q))"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True).stdout.split()
     assert int(out[0]) > 108 and out[1:] == ["0", "False", "True"]
+
+
+def test_selectors_behind_the_first_good_one_are_not_looked_for(spark):
+    selectors = web_pages.CARD_SELECTORS | {"title": [(("h2",),), (("h2", "class", "("),)]}
+    cards = spark.createDataFrame([('<div data-jk="1"><h2 class="x">Nurse</h2><h2 class="(">no</h2></div>',)], "card string")
+    assert web_pages.project_cards(cards, selectors).first()["title"] == "Nurse"
+
+
+def test_queries_of_few_columns_store_no_whole_postings(spark, tmp_path):
+    from checks.fixtures import Inputs
+
+    spark.createDataFrame([(k, k % 2, 100.0 + k) for k in range(40)], "o_orderkey bigint, o_custkey bigint, o_totalprice double").selectExpr(
+        "*", "TIMESTAMP '2024-01-01 00:00:00' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = {
+        "customer": spark.sql("SELECT explode(array(0L, 1L)) AS c_custkey, 0 AS c_nationkey"),
+        "nation": spark.sql("SELECT 0 AS n_nationkey, 'N' AS n_name"),
+        "documents": spark.sql("SELECT id AS doc_id, 'Acme care staff nurse ' || id AS text FROM range(3)"),
+    }
+    for t in "region supplier part lineitem events embeddings pages benchmark labels conversations".split():
+        rows[t] = spark.sql("SELECT 1 AS x")
+    for t, df in rows.items():
+        df.write.parquet(f"{tmp_path}/{t}.parquet")
+    i = Inputs(spark, str(tmp_path))
+    few = i.columns("f_postings", "ord", "price", "description", "dk")
+    n_parts = i.view("f_parts").count()
+    assert not i.landed & {"f_postings"} and n_parts > 0
+    got = sorted(map(str, few.collect()))
+    assert len(got) == 40 and got == sorted(map(str, i.view("f_postings").select("ord", "price", "description", "dk").collect()))
+    assert "f_postings" in i.landed

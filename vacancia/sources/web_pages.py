@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -341,12 +343,12 @@ def markup_of(pieces: Column) -> Column:
 def _parts(selector: tuple) -> Column:
     """A selector's opening tags as data: (pattern, what the tag must contain at least)."""
     return F.array(*[
-        F.struct(F.lit(f"(?is)^{_opening(*p)}").alias("opening"), F.lit((p[2] if len(p) > 2 else p[-1]).lower()).alias("needle")) for p in selector
+        F.struct(F.lit(f"(?is)^{_opening(*p)}").alias("opening"), F.lit(p[2].lower() if len(p) > 2 else p[1] if len(p) > 1 else f"<{p[0]}").alias("needle")) for p in selector
     ])
 
 
-def selected(pieces: Column, selectors: list[tuple]) -> Column:
-    """For each selector the pieces of the element that it leads to, or null.
+def first_selected(pieces: Column, selectors: list[tuple], read: Callable[[Column], Column], good: Callable[[Column], Column]) -> Column:
+    """What is read from the element of the first selector for which it is good; later ones are not looked for. Null if there is none.
 
     Selectors are data of one expression, so that a plan does not grow with them.
     """
@@ -356,7 +358,15 @@ def selected(pieces: Column, selectors: list[tuple]) -> Column:
     def step(found: Column, part: Column) -> Column:
         return outer_pieces(F.slice(found, F.lit(2), F.greatest(F.size(found), F.lit(0))), part["opening"], part["needle"])
 
-    return bound(whole, lambda w: F.transform(F.array(*map(_parts, selectors)), lambda s: F.aggregate(s, w, step)))
+    def read_one(element: Column) -> Column:
+        text = F.when(element.isNotNull(), read(element))
+        return bound(text, lambda t: F.when(good(t), t))
+
+    def next_one(found: Column, selector: Column, w: Column) -> Column:
+        return F.when(found.isNotNull(), found).otherwise(bound(F.aggregate(selector, w, step), read_one))
+
+    every = F.array(*map(_parts, selectors))
+    return bound(whole, lambda w: F.aggregate(every, F.lit(None).cast("string"), lambda found, s: next_one(found, s, w)))
 
 
 def card_rows(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -388,8 +398,8 @@ def project_cards(
 
     def first(name: str, read) -> Column:
         """What is read from the first element that says something."""
-        texts = F.transform(selected(F.col("_pieces"), selectors[name]), lambda e: F.when(e.isNotNull(), read(e)))
-        return blank_to_null(html_to_text(F.get(F.filter(texts, says), F.lit(0))))
+        found = first_selected(F.col("_pieces"), selectors[name], read, says)
+        return blank_to_null(bound(found, lambda t: F.when(t.isNotNull(), html_to_text(t))))
 
     def named(element: Column) -> Column:
         return F.when(says(attribute(element)), attribute(element)).otherwise(markup_of(element))
