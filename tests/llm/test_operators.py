@@ -237,3 +237,13 @@ def test_vectors(spark):
         assert all(found[i]["n_links"] == 5 and found[i]["component_id"] == 0 for i in (0, 1, 2, 3, 4, 10))
         assert all(found[i]["n_links"] == 0 and found[i]["kept"] for i in (11, 12, 13, 14, 15, 16, 17))
     assert embeddings.near_vectors(vectors.limit(0), 0.93).count() == 0
+
+
+def test_toxicity_keeps_no_shuffles_beside_stored_steps(spark, monkeypatch):
+    name, kept, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", toxicity._stored, []
+    monkeypatch.setattr(toxicity, "_stored", lambda rows: seen.append(spark.conf.get(name)) or kept(rows))
+    docs = spark.createDataFrame([(i, f"word{i % 3} text") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(30)], "doc_id long, toxic int")
+    before = spark.conf.get(name)
+    assert toxicity.toxicity_scores(docs, labels).count() == 30
+    assert set(seen) == {"true"} and spark.conf.get(name) == before

@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from ..session import cut_lineage, work_dir
+from ..session import brief_shuffles, cut_lineage, work_dir
 from .common import mix, row_key, ship, slices, spare, whole_text, word_hashes, worker_state
 from .learning import fold, labelled, sampled, teaching_labels
 
@@ -396,14 +396,16 @@ def toxicity_scores(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted, text_hash`` of every row, taught by the labelled ones."""
     marks = teaching_labels(labels, label, FOLDS, HELD_OUT)
-    share = min(CALIBRATION, CALIBRATION_ROWS / max(1, marks.count()))
-    spared = sampled("id", share)
-    # The same join at every size.
-    rows = labelled(docs, marks.where(~spared).hint("merge"), FOLDS, HELD_OUT, id_col, text_col)
-    ratios = log_ratios(_stored(count_ngrams(rows)))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
-    measured = measure(texts, word_differences(texts, ratios, entries), words)
-    points = measured.join(marks.where(spared), "id").select("x", "y").toPandas()
+    # Every step's result is stored: what was shuffled for it is not kept beside it.
+    with brief_shuffles(docs.sparkSession):
+        share = min(CALIBRATION, CALIBRATION_ROWS / max(1, marks.count()))
+        spared = sampled("id", share)
+        # The same join at every size.
+        rows = labelled(docs, marks.where(~spared).hint("merge"), FOLDS, HELD_OUT, id_col, text_col)
+        ratios = log_ratios(_stored(count_ngrams(rows)))
+        texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
+        measured = measure(texts, word_differences(texts, ratios, entries), words)
+        points = measured.join(marks.where(spared), "id").select("x", "y").toPandas()
     toxic, total = int(points["y"].sum()), len(points)
     if 0 < toxic < total:
         *weights, offset = fit_curve(np.stack(points["x"].to_list()), points["y"].to_numpy(float)).tolist()
