@@ -110,3 +110,17 @@ def test_field_merge_is_an_aggregation_of_the_engine(spark, tmp_path):
     rows = capture.file_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
     plan = state.stream_merge(rows, ["k"], "ord")._jdf.queryExecution().analyzed().toString()
     assert "Aggregate" in plan and "TransformWithState" not in plan
+
+
+def test_streams_that_share_a_call_keep_their_own_last_row_and_whole_numbers(spark, tmp_path):
+    big = 2**60
+    rows = [(big + i, None if i % 5 == 0 else big + i % 7, "xyx"[i % 3] if i % 4 else None) for i in range(60)]
+    df = spark.createDataFrame([*rows, (None, big + 1, "x")], "id long, user long, kind string")
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], order="id")
+    stream = landed(df, str(tmp_path / "in"), [rows[:20][::-1], rows[20:], [(None, big + 1, "x")]])
+    plan = state.stream_repeats(stream, "user", "id", "kind", buckets=2)
+    assert plan.schema == df.schema and "__bucket" in plan._jdf.queryExecution().analyzed().toString()
+    state.drain(plan, table, str(tmp_path / "c"))
+    want = capture.drop_repeats(df.where("id IS NOT NULL"), "user", "id", "kind").collect()
+    got = [tuple(r) for r in table.current().select("id", "user", "kind").collect() if r["id"] is not None]
+    assert sorted(got, key=str) == sorted(map(tuple, want), key=str)
