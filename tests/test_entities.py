@@ -243,3 +243,18 @@ def test_register_names_meet_in_blocks(spark, monkeypatch):
                 want[c] = (-k, round(score, 9))
         got = {r.company: (r.cand_ord, round(r.score, 9)) for r in registry.best_matches(left, right, 0.75, kind).collect()}
         assert len(want) > 10 and got == want
+
+
+def test_register_blocks_are_compared_in_many_tasks(spark):
+    names = [(f"common word{n}", n) for n in range(40)]
+    left, right = spark.createDataFrame([(n,) for n, _ in names], "company string"), spark.createDataFrame(names, "name string, cand_ord long")
+    before = registry.BLOCK_COMPANIES, registry.BLOCK_NAMES
+    registry.BLOCK_COMPANIES, registry.BLOCK_NAMES = 8, 8
+    try:
+        for kind in ("edit", "sequence"):
+            hits = registry.best_matches(left, right, 0.75, kind)
+            assert {r.company: r.cand_ord for r in hits.collect()} == dict(names)
+            plan = hits._jdf.queryExecution().optimizedPlan().toString()
+            assert "RepartitionByExpression" in plan and "MapInPandas" in plan
+    finally:
+        registry.BLOCK_COMPANIES, registry.BLOCK_NAMES = before

@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import sys
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 from itertools import combinations
 
@@ -162,11 +162,12 @@ def _shared_characters(lefts: list[str], rights: list[str], threshold: float, ki
     return rows[keep], cols[keep], most[keep]
 
 
-def near_names(threshold: float, kind: str = "sequence") -> Callable[[Column, Column], Column]:
-    """Two lists of names to the pairs ``(i, j, score)`` of positions that may reach the threshold.
+def near_names(threshold: float, kind: str = "sequence") -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For ``mapInPandas``: blocks (as_, bs, ords) to the pairs (a, b, cand_ord, score) that may reach the threshold.
 
     Of the sequence ratio, the best pairs of each left name with their score: all that share the
-    highest one, so that a tie can be settled. Of the edit measure all pairs, without a score.
+    highest one, so that a tie can be settled. Of the edit measure all pairs, without a score. Pairs leave in parts
+    of bounded size, so those of many blocks are never held together.
     """
 
     def best(i: int, near: list[int], most: list[int], lefts: list[str], rights: list[str], matcher: SequenceMatcher) -> list[tuple]:
@@ -181,22 +182,32 @@ def near_names(threshold: float, kind: str = "sequence") -> Callable[[Column, Co
                 out, top = [x for x in out if x[2] >= score] + [(i, j, score)], score
         return out
 
-    @F.pandas_udf("array<struct<i:int,j:int,score:double>>")
-    def near(lefts: pd.Series, rights: pd.Series) -> pd.Series:
-        matcher, out = SequenceMatcher(None), []
-        for a, b in zip(lefts, rights):
-            a, b = list(a), list(b)
-            i, j, most = _shared_characters(a, b, threshold, kind)
-            if kind == "edit":
-                out.append([{"i": x, "j": y, "score": None} for x, y in zip(i.tolist(), j.tolist())])
-                continue
-            found: list[tuple] = []
-            ends = np.searchsorted(i, np.arange(len(a) + 1))
-            for n in np.unique(i).tolist():
-                own = slice(ends[n], ends[n + 1])
-                found += best(n, j[own].tolist(), most[own].tolist(), a, b, matcher)
-            out.append([{"i": x, "j": y, "score": s} for x, y, s in found])
-        return pd.Series(out, dtype=object)
+    def table(parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate(column) for name, column in zip(("a", "b", "cand_ord", "score"), zip(*parts))})
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher, parts, held, most_pairs = SequenceMatcher(None), [], 0, 65_536
+        for batch in batches:
+            for lefts, rights, ords in zip(batch["as_"], batch["bs"], batch["ords"]):
+                a, b = list(lefts), list(rights)
+                i, j, most = _shared_characters(a, b, threshold, kind)
+                score = np.full(len(i), np.nan)
+                if kind != "edit":
+                    found: list[tuple] = []
+                    ends = np.searchsorted(i, np.arange(len(a) + 1))
+                    for n in np.unique(i).tolist():
+                        own = slice(ends[n], ends[n + 1])
+                        found += best(n, j[own].tolist(), most[own].tolist(), a, b, matcher)
+                    i, j, score = (np.array([x[k] for x in found], dtype=t) for k, t in enumerate((np.int64, np.int64, float)))
+                for at in range(0, len(i), most_pairs):
+                    x, y = i[at : at + most_pairs], j[at : at + most_pairs]
+                    parts.append((np.asarray(lefts, dtype=object)[x], np.asarray(rights, dtype=object)[y], np.asarray(ords)[y], score[at : at + most_pairs]))
+                    held += len(x)
+                    if held >= most_pairs:
+                        yield table(parts)
+                        parts, held = [], 0
+        if parts:
+            yield table(parts)
 
     return near
 

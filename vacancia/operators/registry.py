@@ -54,10 +54,12 @@ def best_matches(
     # Every block of a word's companies is a key of its own, so that a word of many names is many tasks' work.
     parts = shared.select("word", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n_pa") / BLOCK_COMPANIES).cast("int") - 1)).alias("pa"))
     met = blocks_a.join(blocks_b.join(parts, "word"), ["word", "pa"])
-    found = F.explode(near_names(threshold, kind)(F.col("as_"), F.transform("bs", lambda x: x["b"]))).alias("f")
-    pairs = met.select("as_", "bs", found).select(
-        F.get("as_", F.col("f.i")).alias("a"), F.get("bs", F.col("f.j")).alias("m"), F.col("f.score").alias("score"))
-    pairs = pairs.select("a", "m.b", "m.cand_ord", "score")
+    # Blocks are small and comparing them is long: dealt out by number, as by size they would all come to one task.
+    tasks = 3 * companies.sparkSession.sparkContext.defaultParallelism
+    met = met.repartition(tasks, "word", "pa", "pb").select(
+        "as_", F.transform("bs", lambda x: x["b"]).alias("bs"), F.transform("bs", lambda x: x["cand_ord"]).alias("ords"))
+    ord_type = register.schema["cand_ord"].dataType.simpleString()
+    pairs = met.mapInPandas(near_names(threshold, kind), f"a string, b string, cand_ord {ord_type}, score double")
     if kind == "edit":
         pairs = pairs.withColumn("score", edit_similarity(F.col("a"), F.col("b"))).where(F.col("score") >= threshold)
     best = pairs.groupBy("a").agg(
