@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from checks import catalog_entities
 from vacancia.operators.upsert import KeyedTable
 from vacancia.streaming import capture, inbox, state
 
@@ -124,3 +125,30 @@ def test_streams_that_share_a_call_keep_their_own_last_row_and_whole_numbers(spa
     want = capture.drop_repeats(df.where("id IS NOT NULL"), "user", "id", "kind").collect()
     got = [tuple(r) for r in table.current().select("id", "user", "kind").collect() if r["id"] is not None]
     assert sorted(got, key=str) == sorted(map(tuple, want), key=str)
+
+
+class Events:
+    """Stands for the inputs of a query that reads the events only."""
+
+    def __init__(self, df):
+        self.spark, self.df = df.sparkSession, df
+
+    def table(self, name):
+        assert name == "events"
+        return self.df
+
+
+@pytest.mark.parametrize("ids", [[*range(30), None, None], [None, None]])
+def test_the_last_file_is_sent_twice_and_rows_without_a_number_come_too(spark, tmp_path, monkeypatch, ids):
+    rows = [(n, "new" if n is None else "old", (n or 0) % 4, float(n or 0), "x" * ((n or 0) % 3)) for n in ids]
+    df = spark.createDataFrame(rows, "event_id long, event_type string, user_id long, value double, props string")
+    monkeypatch.setattr(catalog_entities, "work_dir", lambda spark, name: str(tmp_path / name))
+    out = catalog_entities.stream_capture_merge(Events(df)).collect()
+    sent = [r[0] for r in spark.read.parquet(str(tmp_path / "events")).select("event_id").collect()]
+    last = [n for n in ids if n is None or n >= 29 * 2 / 3]
+    assert sorted(map(str, sent)) == sorted(map(str, [*ids, *last]))
+    table = KeyedTable(spark, str(tmp_path / "captures" / "table"), ["event_type", "user_id"], order="event_id")
+    stored = {r["batch"]: r["n"] for r in table.batches().groupBy("batch").agg(F.count("*").alias("n")).collect()}
+    assert stored[2] == stored[3] == len({(n is None, (n or 0) % 4) for n in last})
+    want = {("old", u): max(n for n in ids if n is not None and n % 4 == u) for u in range(4)} if len(ids) > 2 else {}
+    assert {(r["event_type"], r["user_id"]): r["event_id"] for r in out} == {**want, ("new", 0): None}
