@@ -162,6 +162,234 @@ def _shared_characters(lefts: list[str], rights: list[str], threshold: float, ki
     return rows[keep], cols[keep], most[keep]
 
 
+def _least_alike(a: int | np.ndarray, b: int | np.ndarray, threshold: float, kind: str) -> np.ndarray:
+    """Fewest characters that two texts of these lengths have in order alike if they reach the threshold."""
+    return np.ceil((threshold * np.maximum(a, b) if kind == "edit" else threshold * (a + b) / 2) - 1e-9)
+
+
+def _edits(a: str, b: str) -> int:
+    """Edit distance; a column of the table is two numbers of a bit for each character of ``a``."""
+    if not a:
+        return len(b)
+    at: dict[str, int] = {}
+    for n, ch in enumerate(a):
+        at[ch] = at.get(ch, 0) | 1 << n
+    full, last, more, less, score = (1 << len(a)) - 1, 1 << len(a) - 1, (1 << len(a)) - 1, 0, len(a)
+    for ch in b:
+        same = at.get(ch, 0)
+        diagonal = (((same & more) + more) ^ more) | same
+        up, down = less | ~(diagonal | more) & full, more & diagonal
+        score += bool(up & last) - bool(down & last)
+        up, down = up << 1 | 1, down << 1
+        more, less = (down | ~(same | less | up)) & full, up & (same | less) & full
+    return score
+
+
+def _alike(a: str, b: str, threshold: float, kind: str, matcher: SequenceMatcher) -> bool:
+    """Whether an earlier and a later text reach the threshold, as ``edit_similarity`` and ``ratio_at_least`` say."""
+    if kind == "edit":
+        longest = max(len(a), len(b))
+        return longest == 0 or 1 - _edits(a, b) / longest >= threshold
+    matcher.set_seqs(a, b)
+    return matcher.real_quick_ratio() >= threshold and matcher.quick_ratio() >= threshold and matcher.ratio() >= threshold
+
+
+def first_leaders(threshold: float, kind: str = "sequence") -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For ``mapInPandas``: companies (company_key, tids, titles) of few titles, in order, to their absorbed titles (company_key, title, tid, leader)."""
+
+    def leaders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher, places = SequenceMatcher(None), {}
+
+        def bag(text: str) -> int:
+            """A bit for each occurrence-numbered character."""
+            seen: Counter = Counter()
+            bits = 0
+            for ch in text:
+                seen[ch] += 1
+                bits |= 1 << places.setdefault((ch, seen[ch]), len(places))
+            return bits
+
+        for batch in batches:
+            out = []
+            for company, tids, titles in zip(batch["company_key"], batch["tids"], batch["titles"]):
+                heads: list[tuple] = []
+                for tid, title in zip(tids.tolist(), titles):
+                    own, size = bag(title), len(title)
+                    for head, text, other, length in heads:
+                        least = max(threshold * max(size, length) if kind == "edit" else threshold * (size + length) / 2, 0) - 1e-9
+                        if head < tid and min(size, length) >= least and (own & other).bit_count() >= least and _alike(text, title, threshold, kind, matcher):
+                            out.append((company, title, tid, head))
+                            break
+                    else:
+                        heads.append((tid, title, own, size))
+            if out:
+                yield pd.DataFrame({name: np.array(column, dtype=kept) for name, column, kept in zip(("company_key", "title", "tid", "leader"), zip(*out), (object, object, np.int64, np.int64))})
+
+    return leaders
+
+
+def bag_bits(c: Column) -> Column:
+    """64 bits of a text's occurrence-numbered characters; two texts differ in no more bits than their bags do in characters."""
+
+    @F.pandas_udf("bigint")
+    def bits(texts: pd.Series) -> pd.Series:
+        places: dict[tuple[str, int], int] = {}
+
+        def place(ch: str, nth: int) -> int:
+            at = "abcdefghijklmnopqrstuvwxyz ".find(ch)
+            if at < 0:
+                return 1 << 57 + (ord(ch) + nth) % 7
+            return 1 << (at if nth == 1 else 27 + at % 20 if nth == 2 else 47 + (at + nth) % 10)
+
+        out = np.zeros(len(texts), dtype=np.uint64)
+        for n, text in enumerate(texts):
+            seen: Counter = Counter()
+            found = 0
+            for ch in text:
+                seen[ch] += 1
+                token = (ch, seen[ch])
+                if token not in places:
+                    places[token] = place(*token)
+                found |= places[token]
+            out[n] = found
+        return pd.Series(out.view(np.int64))
+
+    return bits(c)
+
+
+class _Block:
+    """Texts by length, as arrays: their bags of 64 bits, and the codes of their first 64 characters."""
+
+    def __init__(self, tids: np.ndarray, texts: np.ndarray, bits: np.ndarray):
+        lengths = np.array([len(x) for x in texts], dtype=np.int64)
+        order = np.argsort(lengths, kind="stable")
+        self.length, self.tid = lengths[order], np.asarray(tids)[order]
+        self.bits = np.ascontiguousarray(np.asarray(bits)[order]).view(np.uint64)
+        self.text = np.asarray(texts, dtype=object)[order]
+        self.wide = min(int(self.length.max(initial=1)) or 1, 64)
+        # An end mark would be cut off by numpy, but lengths are known.
+        self.chars = np.array([x[: self.wide] for x in self.text], dtype=f"U{self.wide}").view(np.uint32).reshape(len(self.text), self.wide)
+
+
+def _near_by_bags(a: _Block, b: _Block, alone: bool, threshold: float, kind: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Parts of the pairs (i, j) whose lengths and bags may reach the threshold; of one block each pair once."""
+    rows, cols, held, limits = [], [], 0, {}
+    for i in range(len(a.text)):
+        size = int(a.length[i])
+        if size not in limits:
+            least = _least_alike(size, b.length, threshold, kind)
+            fit = np.flatnonzero(least <= np.minimum(size, b.length))
+            low, high = (int(fit[0]), int(fit[-1]) + 1) if len(fit) else (0, 0)
+            limits[size] = low, high, np.clip(size + b.length[low:high] - 2 * least[low:high], 0, 255).astype(np.uint8)
+        low, high, limit = limits[size]
+        start = max(low, i + 1) if alone else low
+        hit = np.flatnonzero(np.bitwise_count(b.bits[start:high] ^ a.bits[i]) <= limit[start - low :]) if start < high else ()
+        if len(hit):
+            rows.append(np.full(len(hit), i)), cols.append(hit + start)
+            held += len(hit)
+        if held >= 262_144:
+            yield np.concatenate(rows), np.concatenate(cols)
+            rows, cols, held = [], [], 0
+    if held:
+        yield np.concatenate(rows), np.concatenate(cols)
+
+
+def _in_order(a: _Block, b: _Block, kind: str) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """For pairs of texts up to 64 long: their longest common subsequence, or their edit distance."""
+    letters = np.unique(a.chars)
+    code = np.minimum(np.searchsorted(letters, b.chars), len(letters) - 1)
+    code = np.where(letters[code] == b.chars, code, len(letters)).astype(np.int32)
+    masks = np.zeros((len(a.text), len(letters) + 1), dtype=np.uint64)
+    each, own = np.arange(len(a.text)), np.searchsorted(letters, a.chars)
+    for n in range(a.wide):
+        masks[each, own[:, n]] |= np.where(n < a.length, np.uint64(1 << n), np.uint64(0))
+    one = np.uint64(1)
+
+    def common(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        v = np.full(len(i), ~np.uint64(0))
+        for n in range(int(min(b.length[j].max(initial=0), 64))):
+            u = v & np.where(n < b.length[j], masks[i, code[j, n]], np.uint64(0))
+            v = (v + u) | (v - u)
+        return np.bitwise_count(~v).astype(np.int64)
+
+    def edits(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        last = (np.maximum(a.length[i], 1) - 1).astype(np.uint64)
+        more, less, score = np.full(len(i), ~np.uint64(0)), np.zeros(len(i), dtype=np.uint64), a.length[i].copy()
+        for n in range(int(min(b.length[j].max(initial=0), 64))):
+            same, within = masks[i, code[j, n]], n < b.length[j]
+            diagonal = (((same & more) + more) ^ more) | same
+            up, down = less | ~(diagonal | more), more & diagonal
+            score += within * ((up >> last & one).astype(np.int64) - (down >> last & one).astype(np.int64))
+            up, down = up << one | one, down << one
+            more, less = np.where(within, down | ~(same | less | up), more), np.where(within, up & (same | less), less)
+        return score
+
+    return edits if kind == "edit" else common
+
+
+def near_titles(threshold: float, kind: str, crowded: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For ``mapInPandas``: pairs of blocks of a company's titles to all pairs (company_key, early, late) that reach the threshold.
+
+    Bags of 64 bits leave few pairs, common subsequences or edit distances fewer, all on arrays; the sequence ratio is taken of
+    those. Blocks with more than ``crowded`` such pairs a title say so by a row of the company alone and end there.
+    """
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = SequenceMatcher(None)
+
+        def found(a: _Block, b: _Block, alone: bool) -> tuple[list[np.ndarray], list[np.ndarray]] | None:
+            early, late, n = [], [], 0
+            measure = _in_order(a, b, kind)
+            for rows, cols in _near_by_bags(a, b, alone, threshold, kind):
+                short = (a.length[rows] <= 64) & (b.length[cols] <= 64)
+                value = np.zeros(len(rows), dtype=np.int64)
+                value[short] = measure(rows[short], cols[short])
+                longest = np.maximum(np.maximum(a.length[rows], b.length[cols]), 1)
+                near = 1 - value / longest >= threshold if kind == "edit" else value >= _least_alike(a.length[rows], b.length[cols], threshold, kind)
+                keep = ~short | near
+                i, j, sure = rows[keep], cols[keep], (short & (kind == "edit"))[keep]
+                n += len(i)
+                if n > crowded * (len(a.text) + len(b.text)):
+                    return None
+                first, second = np.minimum(a.tid[i], b.tid[j]), np.maximum(a.tid[i], b.tid[j])
+                sure &= first < second
+                for k in np.flatnonzero(~sure & (first < second)).tolist():
+                    x, y = a.text[i[k]], b.text[j[k]]
+                    if a.tid[i[k]] > b.tid[j[k]]:
+                        x, y = y, x
+                    sure[k] = _alike(x, y, threshold, kind, matcher)
+                early.append(first[sure]), late.append(second[sure])
+            return early, late
+
+        def rows(company: list, early: list | np.ndarray, late: list | np.ndarray) -> pd.DataFrame:
+            return pd.DataFrame({"company_key": np.array(company, dtype=object), "early": pd.array(early, dtype="Int64"), "late": pd.array(late, dtype="Int64")})
+
+        for batch in batches:
+            for company, left, texts, bits, right, others, marks in zip(*(batch[c] for c in ("company_key", "a_tid", "a_title", "a_bits", "b_tid", "b_title", "b_bits"))):
+                alone = right is None
+                a = _Block(left, texts, bits)
+                pairs = found(a, a if alone else _Block(right, others, marks), alone)
+                if pairs is None:
+                    yield rows([company], [None], [None])
+                elif pairs[0]:
+                    yield rows([None] * sum(map(len, pairs[0])), *map(np.concatenate, pairs))
+
+    return near
+
+
+def taken_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For ``mapInPandas`` in one task: similar pairs (early, late) by late, then early, to the titles that an earlier leader takes."""
+    taken: set[int] = set()
+    for batch in batches:
+        out = []
+        for early, late in zip(batch["early"].tolist(), batch["late"].tolist()):
+            if late not in taken and early not in taken:
+                taken.add(late)
+                out.append(late)
+        if out:
+            yield pd.DataFrame({"tid": np.array(out, dtype=np.int64)})
+
+
 def near_names(threshold: float, kind: str = "sequence") -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """For ``mapInPandas``: blocks (as_, bs, ords) to the pairs (a, b, cand_ord, score) that may reach the threshold.
 

@@ -1,9 +1,13 @@
-"""Near-duplicate titles within a company: greedy leader clustering as distributed rounds.
+"""Near-duplicate titles within a company: greedy leader clustering.
 
 Semantics: titles of one company in order of first appearance; a title joins the earliest leader
 whose title is similar enough, else it becomes a leader. Leaders are the lexicographically first
-maximal independent set of the similarity graph, which rounds of joins can find without placing
-a company in one task and without writing out all pairs of a group:
+maximal independent set of the similarity graph.
+
+A company of few titles is gone through in one piece. The titles of a larger one meet in blocks of bounded
+size by length, each pair of which is one row and yields the similar pairs; the graph of these is settled
+from its first titles on. Masses of alike titles would be too many pairs: a company that has blocks full of
+them is left to rounds of joins, which do without placing it in one task and without writing out all its pairs:
 
 1. titles meet only in buckets of lossless signatures; a company of few titles is one bucket;
 2. a round looks at the first few undecided titles of every bucket. A title that is inside that
@@ -24,13 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.similarity import edit_similarity, length_compatible, may_reach, ratio_at_least, shared_buckets, signatures
+from ..functions.similarity import (
+    bag_bits, edit_similarity, first_leaders, length_compatible, may_reach, near_titles, ratio_at_least, shared_buckets, signatures, taken_in_order,
+)
 from ..session import landed
 
 THRESHOLD = 0.85
 FIRST_WINDOW = 4
 # Companies of up to this many titles are one bucket: comparing all of them is cheaper than keys.
 SMALL_COMPANY = 64
+# Titles of a company that meet at once, similar pairs a title beyond which a block is crowded, and pairs that one task
+# settles; results do not depend on them.
+BLOCK, CROWDED, AT_ONCE = 16_384, 64, 1_000_000
 
 
 def _similar(pairs: DataFrame, threshold: float, kind: str) -> DataFrame:
@@ -80,8 +89,74 @@ def title_leaders(
 
     ``titles`` has one row per (company_key, title) with ``tid``, the ordinal of its first
     posting. Returns ``company_key, title, tid, leader`` (the leader's tid) for titles that are
-    not leaders themselves. ``kind='edit'`` compares by edit distance, JVM-side.
+    not leaders themselves. ``kind='edit'`` compares by edit distance. ``window`` is the first one of the rounds.
+    """
+    rows = titles.where(F.col("tid").isNotNull()).select("company_key", "title", F.col("tid").cast("bigint").alias("tid"))
+    sizes = rows.groupBy("company_key").agg(F.count("*").alias("_titles")).where(F.col("_titles") > 1)
+    few = rows.join(sizes.where(F.col("_titles") <= SMALL_COMPANY), "company_key").groupBy("company_key").agg(
+        F.array_sort(F.collect_list(F.struct("tid", "title"))).alias("held"))
+    few = few.select("company_key", F.col("held.tid").alias("tids"), F.col("held.title").alias("titles"))
+    out = few.mapInPandas(first_leaders(threshold, kind), "company_key string, title string, tid bigint, leader bigint")
+
+    many = landed(
+        rows.join(sizes.where(F.col("_titles") > SMALL_COMPANY), "company_key").select("company_key", "title", "tid", "_titles", bag_bits(F.col("title")).alias("bits")))
+    if many.isEmpty():
+        return out
+    found = landed(_blocks(many, threshold, kind).mapInPandas(near_titles(threshold, kind, CROWDED), "company_key string, early bigint, late bigint"))
+    pairs = found.where(F.col("early").isNotNull()).select("early", "late")
+    crowded = found.where(F.col("early").isNull()).select("company_key").distinct()
+    of = many.select("company_key", "title", "tid")
+    if not crowded.isEmpty():
+        masses = of.join(crowded, "company_key", "left_semi")
+        out = out.unionByName(_in_rounds(masses, threshold, window, kind))
+        pairs = pairs.join(masses.select(F.col("tid").alias("early")), "early", "left_anti")
+    return out.unionByName(of.join(_settled(pairs), "tid").select("company_key", "title", "tid", "leader"))
+
+
+def _blocks(many: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Pairs of blocks of a company whose titles' lengths may go together; a block beside itself has no second one."""
+    size = F.length("title")
+    # One block, or blocks of one length each.
+    rows = many.withColumn("_length", F.when(F.col("_titles") <= BLOCK, F.lit(0)).otherwise(size))
+    parts = rows.groupBy("company_key", "_length").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("_parts"))
+    dealt = rows.join(parts, ["company_key", "_length"]).withColumn("_part", F.pmod(F.xxhash64("title"), F.col("_parts")).cast("int"))
+    blocks = landed(
+        dealt.groupBy("company_key", "_length", "_part").agg(F.collect_list(F.struct("tid", "title", "bits")).alias("held"), F.min(size).alias("_size")))
+
+    def side(name: str) -> DataFrame:
+        return blocks.select("company_key", F.struct("_length", "_part").alias(f"{name}_at"), F.col("_size").alias(f"{name}_size"),
+                             *[F.col(f"held.{x}").alias(f"{name}_{y}") for x, y in (("tid", "tid"), ("title", "title"), ("bits", "bits"))])
+
+    a, b = side("a"), side("b")
+    short, long = F.col("a_size"), F.col("b_size")
+    together = short >= threshold * long - 1e-9 if kind == "edit" else 2 * short >= threshold * (short + long) - 1e-9
+    others = a.join(b, "company_key").where((F.col("a_at") < F.col("b_at")) & together)
+    alone = a.select("*", *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in b.columns if c != "company_key"])
+    tasks = 3 * many.sparkSession.sparkContext.defaultParallelism
+    # Blocks are small and comparing them is long: dealt out by number.
+    return alone.unionByName(others).repartition(tasks, "company_key", "a_at", "b_at")
+
+
+def _settled(pairs: DataFrame) -> DataFrame:
+    """Absorbed titles and their leaders (tid, leader), from all similar pairs (early, late).
+
+    A title without a similar one before it leads; those after it that are similar to it are taken and take no others. Of many
+    pairs rounds of joins do this, until the rest fits one task.
     """
+    left, taken = landed(pairs.distinct()), []
+    while left.count() > AT_ONCE:
+        heads = left.select("early").join(left.select(F.col("late").alias("early")), "early", "left_anti").distinct()
+        gone = landed(left.join(heads, "early", "left_semi").select(F.col("late").alias("tid")).distinct())
+        taken.append(gone)
+        left = left.join(gone.withColumnRenamed("tid", "early"), "early", "left_anti")
+        left = landed(left.join(gone.withColumnRenamed("tid", "late"), "late", "left_anti"))
+    rest = left.repartition(1).sortWithinPartitions("late", "early").mapInPandas(taken_in_order, "tid bigint")
+    taken = landed(reduce(DataFrame.unionByName, [*taken, rest]))
+    leading = pairs.join(taken.withColumnRenamed("tid", "early"), "early", "left_anti")
+    return leading.groupBy(F.col("late").alias("tid")).agg(F.min("early").alias("leader"))
+
+
+def _in_rounds(titles: DataFrame, threshold: float, window: int, kind: str) -> DataFrame:
     members = landed(shared_buckets(_keyed(titles, threshold, kind)))
 
     undecided, absorbed = members, []
