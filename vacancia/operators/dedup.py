@@ -173,22 +173,21 @@ def company_titles(df: DataFrame, match_location: bool = False, blank_company: s
 
 
 def _level3(slim: DataFrame, threshold: float, match_location: bool, blank_company: str, kind: str) -> DataFrame:
-    """``slim`` is read several times, so it must be cheap to read."""
-    rows = company_titles(slim, match_location, blank_company)
+    # Read several times, with the names it is searched by.
+    rows = landed(company_titles(slim, match_location, blank_company))
     titles = landed(
         rows.where(F.col("company_key").isNotNull())
         .groupBy("company_key", F.col("norm_title").alias("title"))
         .agg(F.min("ord").alias("tid"), F.count("*").alias("n"))
     )
-    absorbed = title_leaders(titles.drop("n"), threshold, kind=kind)
-    cluster = titles.join(absorbed.select("tid", "leader"), "tid", "left").withColumn(
-        "cluster", F.coalesce("leader", "tid")
-    )
-    crowded = cluster.groupBy("cluster").agg(F.sum("n").alias("size")).where(F.col("size") > 1)
+    absorbed = landed(title_leaders(titles.drop("n"), threshold, kind=kind).groupBy("tid").agg(F.min("leader").alias("leader")))
+    heads = absorbed.select(F.col("leader").alias("tid")).distinct().withColumn("leads", F.lit(True))
+    # Most rows are alone in their cluster and pass through; only the others are regrouped.
+    cluster = titles.join(absorbed, "tid", "left").join(heads, "tid", "left")
     members = landed(
-        cluster.join(crowded, "cluster").select("company_key", F.col("title").alias("norm_title"), "cluster")
+        cluster.where((F.col("n") > 1) | F.col("leader").isNotNull() | F.col("leads"))
+        .select("company_key", F.col("title").alias("norm_title"), F.coalesce("leader", "tid").alias("cluster"))
     )
-    # Most rows are alone in their cluster and pass through; only the others are regrouped.
     tagged = rows.join(members, ["company_key", "norm_title"], "left").drop("company_key", "norm_title")
     alone = tagged.where(F.col("cluster").isNull()).drop("cluster")
     merged = merge_groups(tagged.where(F.col("cluster").isNotNull()), ["cluster"]).drop("cluster")
@@ -218,7 +217,7 @@ def deduplicate(
     else:
         out = counted("level2", _level2(out))
     if levels >= 3:
-        out = counted("level3", _level3(landed(out), threshold, match_location, blank_company, kind))
+        out = counted("level3", _level3(out, threshold, match_location, blank_company, kind))
     return conform(_restore(out, start), POSTINGS)
 
 
