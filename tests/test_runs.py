@@ -1,9 +1,12 @@
 """Whole runs over landed tables: replies applied, lookups asked in order, cache reused, sources plugged in, counts."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
+from checks import catalog_entities
+from checks.fixtures import TABLES, Inputs
 from vacancia.operators import contacts, dedup
 from vacancia.operators.counts import StageCounts
 from vacancia.operators.replies import apply_replies
@@ -170,3 +173,40 @@ def test_landed_searches_are_read_as_a_growing_stream(spark, tmp_path):
     rows = table.batches().select("batch", "job_id", "search_location", "requirements").collect()
     assert sorted((r["batch"], r["job_id"], r["search_location"]) for r in rows) == [(0, "0", "Leeds"), (1, "1", "New York")]
     assert json.loads(rows[0]["requirements"]) == ["é"]
+
+
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(n).getName() for n in range(found.size())) if name.startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffle_files(spark):
+    rows = [(n, f"j{n}", f"s{n % 3}", f"Nurse {n % 40}", f"Co {n % 7}", f"Call 020 7946 {n:04d}, mail hr@c{n}.org") for n in range(300)]
+    raw = spark.createDataFrame(rows, "ord long, job_id string, source string, title string, company string, description string")
+    before = _shuffle_files(spark)
+    result = runs.run(raw, runs.RunOptions(levels=2))
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    # Stored once: reading the contacts again mines no text again.
+    assert "Exchange" not in result.contacts._jdf.queryExecution().executedPlan().toString() and result.contacts.inputFiles()
+    assert result.contacts.count() == 7 and result.counts.n("raw") == 300
+
+
+def test_history_stores_no_postings_to_count_its_rejects(spark, tmp_path, monkeypatch):
+    stored = []
+    monkeypatch.setattr(Inputs, "_land", lambda self, names, _old=Inputs._land: (stored.extend(names), _old(self, names))[1])
+    for table in TABLES:
+        spark.range(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    for table, rows, schema in (
+        ("documents", [(0, "a b c d e"), (1, "f g h i j")], "doc_id long, text string"), ("nation", [(0, "N")], "n_nationkey int, n_name string"),
+        ("customer", [(1, 0)], "c_custkey long, c_nationkey int"), ("conversations", [("assistant",), ("user",)], "role string"),
+        ("orders", [(n, 1, 10.5, "2024-01-01") for n in range(100)], "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate string"),
+    ):
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{tmp_path}/{table}.parquet")
+    found = {r["run_id"]: r for r in catalog_entities.run_history(Inputs(spark, str(tmp_path))).collect()}
+    assert set(stored) == {"f_dup"} and found["r2"]["errors"] == 2 and found["r1"]["errors"] == 0
+    assert found["r2"]["ai_calls_made"] == 1 and found["r2"]["jobs_scraped"] == found["r2"]["stored"]

@@ -218,6 +218,9 @@ def deduplicate(
         out = counted("level2", _level2(out))
     if levels >= 3:
         out = counted("level3", _level3(out, threshold, match_location, blank_company, kind))
+    elif levels == 2:
+        # Stored before the texts come back: the shuffles of both levels need no disk any more.
+        out = landed(out)
     return conform(_restore(out, start), POSTINGS)
 
 

@@ -20,7 +20,7 @@ from ..operators.quality import (
 from ..operators.upsert import KeyedTable
 from ..operators.waterfall import Enricher, contacts_for, run_waterfall, seed_parts
 from ..schema import CONTACTS, RUNS, conform
-from ..session import landed
+from ..session import brief_shuffles, landed
 from ..sources.registers import resume, seen_hashes, seen_keys
 
 
@@ -79,7 +79,8 @@ def prepare(raw: DataFrame, options: RunOptions, seen: DataFrame | None = None,
 
 def seed_only_contacts(postings: DataFrame, enriched_at: Column | None = None) -> DataFrame:
     """Contacts mined from the postings alone."""
-    return merge_contacts(seed_parts(seed_contacts(postings), enriched_at))
+    # Both halves of the merge read the parts: the texts are mined once.
+    return merge_contacts(landed(seed_parts(seed_contacts(postings), enriched_at)))
 
 
 def enrich(postings: DataFrame, options: RunOptions, cached: DataFrame | None = None) -> DataFrame:
@@ -100,8 +101,8 @@ def run(
     raw: DataFrame, options: RunOptions | None = None, seen: DataFrame | None = None,
     cached: DataFrame | None = None,
 ) -> RunResult:
-    """Full run on normalised postings; ``seen`` are stored postings, or ``seen_keys`` of them. The de-duplicated frame is stored once: mining, the report
-    and every sink read it."""
+    """Full run on normalised postings; ``seen`` are stored postings, or ``seen_keys`` of them. The de-duplicated frame and the contacts are stored once: mining, the report
+    and every sink read them."""
     options = options or RunOptions()
     counts = StageCounts()
     postings = landed(prepare(raw, options, seen, counts))
@@ -109,7 +110,7 @@ def run(
         contacts = enrich(postings, options, cached)
     else:
         contacts = seed_only_contacts(postings, options.stamp())
-    return RunResult(postings, contacts, raw, counts)
+    return RunResult(postings, landed(contacts), raw, counts)
 
 
 def store_run(
@@ -138,7 +139,8 @@ def run_audit(
     counts = result.counts
     removed = counts.n("raw") - counts.n(counts.stages()[-1])
     kept = result.postings.count()
-    new = jobs.new_keys(result.postings, batch).count() if batch else kept
+    with brief_shuffles(result.raw.sparkSession):
+        new = jobs.new_keys(result.postings, batch).count() if batch else kept
     row = (run_id, started, finished, kept, new, removed, n(result.contacts), n(calls), n(rejects))
     return result.raw.sparkSession.createDataFrame([row], RUNS)
 
