@@ -99,3 +99,10 @@ def test_address_near_postcode(spark):
     at = long.index("LS1 3AB")
     want = " ".join(long[max(0, at - 100): at + 7 + 20].split())[:200]
     assert got == [want, None]
+
+
+def test_names_are_normalised_in_one_pass_over_punctuation_and_space(spark):
+    names = {"  A.B -  Ltd.\x1c": "a b", "Ward 　Lead (NHS Trust)": "ward lead", "x ltd y": "x  y", "_a\x85": "_a", "É!ltd": "é", "ltdx plc1": "ltdx plc1", "": "", None: ""}
+    df = spark.createDataFrame([(n,) for n in names], "name string").select("name", text.norm_name(F.col("name")).alias("norm"))
+    assert {r.name: r.norm for r in df.collect()} == names
+    assert df._jdf.queryExecution().analyzed().toString().count("regexp_replace") == 2
